@@ -19,7 +19,9 @@ from stillwell.sources.specs import SourceSpec
 def allowed_outcomes(stations: DataFrame, log: DataFrame, allowed) -> DataFrame:
     """One outcome per listed station; a station outside the allowlist is ``skipped``."""
     every = stations.select(F.col("id").cast("string").alias("location_id"))
-    wanted = only_stations(every, [str(i) for i in allowed]).withColumn("_in", F.lit(True))
+    if not isinstance(allowed, DataFrame):
+        allowed = [str(i) for i in allowed]
+    wanted = only_stations(every, allowed).withColumn("_in", F.lit(True))
     fetched = fetch_outcomes(log).select("location_id", "outcome")
     joined = every.join(wanted, "location_id", "left").join(fetched, "location_id", "left")
     return joined.select(

@@ -66,6 +66,9 @@ CITY_READINGS = _fields(
     ("reading_id", STRING), ("location_id", STRING), ("location_name", STRING),
     ("latitude", DOUBLE), ("longitude", DOUBLE), ("timestamp", LONG), ("value", DOUBLE),
 )
+DIVER_READINGS = _fields(
+    ("location_id", STRING), ("timestamp", LONG), ("value", DOUBLE), ("result_quality", STRING),
+)
 FETCH_LOG = _fields(
     ("location_id", STRING), ("attempt", LONG), ("status", INT), ("error", STRING),
 )

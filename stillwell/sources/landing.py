@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from stillwell import schemas
 from stillwell.functions import reading_id
 from stillwell.operators.filters import cut_pages, only_stations, within
-from stillwell.operators.joins import fits_broadcast
+from stillwell.operators.joins import fits_broadcast, lookup_join
 
 
 def read_reading_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -74,9 +74,10 @@ def merge_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def read_stations(spark: SparkSession, path: str) -> DataFrame:
-    """The station list payload: a JSON array, or one station per line."""
-    return spark.read.schema(schemas.STATION_PAYLOAD).option("multiLine", "true").json(path)
+def read_stations(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    """The station list payload: JSON array files, or one station per line."""
+    reader = spark.read.schema(schemas.STATION_PAYLOAD)
+    return reader.option("multiLine", str(not lines).lower()).json(path)
 
 
 def flatten_stations(stations: DataFrame) -> DataFrame:
@@ -135,6 +136,14 @@ def name_rows(names: DataFrame) -> DataFrame:
     )
 
 
+def with_names(readings: DataFrame, names: DataFrame) -> DataFrame:
+    """Readings with the vendor's name of their parameter; null where it has none."""
+    lookup = names.where(F.col("kind") == "parameter").select(
+        F.col("code").alias("parameter_id"), F.col("name").alias("parameter_name")
+    )
+    return lookup_join(readings, lookup, "parameter_id")
+
+
 def observation_parameters() -> Column:
     """Per-observation metadata from feature attributes; absent entries leave no key.
 

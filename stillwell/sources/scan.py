@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from stillwell.operators.grouping import last_per_key
 
 LOAD_PATTERN = r"(?:/load_id=(\d+\.\d+)/[^/]*|/(\d+\.\d+)\.[^/]*)$"
-DATE_FOLDERS = "year int, month int, day int"
 
 
 def load_id_of(path: Column) -> Column:
@@ -61,8 +60,9 @@ def _scan(spark: SparkSession, root: str, schema: T.StructType, chosen: Column)
 
 
 def _empty_scan(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    extra = T.StructType.fromDDL("load_id double, file string, row bigint")
-    return spark.createDataFrame([], T.StructType(schema.fields + extra.fields))
+    extra = [T.StructField("load_id", T.DoubleType()), T.StructField("file", T.StringType()),
+             T.StructField("row", T.LongType())]
+    return spark.createDataFrame([], T.StructType(schema.fields + extra))
 
 
 def _guarded(spark, root, schema, chosen) -> DataFrame:

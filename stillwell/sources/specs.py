@@ -149,11 +149,6 @@ CITY_WELLS = SourceSpec(
 
 
 # --- diver wells (mapped in documents only, so not scheduled) --------------------------
-DIVER_READINGS = T.StructType.fromDDL(
-    "location_id string, timestamp bigint, value double, result_quality string"
-)
-
-
 def diver_stations(wells: DataFrame) -> DataFrame:
     """Wells of the third source as a station table with its source-specific facts."""
     specific = F.create_map(
@@ -174,7 +169,7 @@ def diver_stations(wells: DataFrame) -> DataFrame:
 
 DIVERS = SourceSpec(
     name="san_acacia", agency="SanAcaciaReach", dataset="raw_sanacaciareach", cron=None,
-    schema=DIVER_READINGS, readings_table="san_acacia_readings",
+    schema=schemas.DIVER_READINGS, readings_table="san_acacia_readings",
     stations_table="san_acacia_locations", backfill_table="san_acacia_backfill_readings",
     sensor=C.DIVER_SENSOR, location_text=C.LOCATION_MADE, keep=lambda raw: raw,
     failure=_logger_failure, time=_logger_time, result=lambda: F.col("value"),
