@@ -64,7 +64,7 @@ def daily_watermarks(spark, folder):
     for rows in (first, second):
         append_loads(rows, zone.raw(LOGGERS))
         run_daily(spark, LOGGERS, zone)
-    marks = watermarks(read_state(spark, zone.state), LOGGERS.dataset)
+    marks = watermarks(read_state(spark, zone.progress(LOGGERS.dataset)), LOGGERS.dataset)
     return marks.select("datastream_key", F.unix_micros("watermark").alias("watermark_us"))
 
 

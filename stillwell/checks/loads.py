@@ -43,8 +43,8 @@ def effective(spark, folder, obs):
     held = S.existing(spark, folder).withColumn(
         "phenomenon_time", F.timestamp_seconds(F.unix_seconds("phenomenon_time") - 15 * S.DAY)
     )
-    keys = obs.select("datastream_key").distinct()
-    return watermarks.effective_watermarks(settle(keys), S.stored_watermarks(spark, folder), held)
+    keys = settle(obs.select("datastream_key").distinct())
+    return watermarks.effective_watermarks(keys, S.stored_watermarks(spark, folder), held)
 
 
 # --- watermarks ------------------------------------------------------------------------

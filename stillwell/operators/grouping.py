@@ -3,21 +3,12 @@
 from pyspark.sql import DataFrame, functions as F
 
 
-def _pick(df: DataFrame, keys: list[str], order: list[str], chooser) -> DataFrame:
-    rest = [name for name in df.columns if name not in keys]
-    # Wrapping in a struct keeps a null inside the chosen row, which min_by alone would skip.
-    chosen = chooser(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(chosen).select(*keys, *[f"_row.{name}" for name in rest])
-
-
-def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of every key in ``order``, whole."""
-    return _pick(df, keys, order, F.min_by)
-
-
 def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of every key in ``order``, whole."""
-    return _pick(df, keys, order, F.max_by)
+    rest = [name for name in df.columns if name not in keys]
+    # Wrapping in a struct keeps a null inside the chosen row, which max_by alone would skip.
+    chosen = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
+    return df.groupBy(*keys).agg(chosen).select(*keys, *[f"_row.{name}" for name in rest])
 
 
 def unique_readings(readings: DataFrame, order: list[str]) -> DataFrame:

@@ -59,16 +59,17 @@ def split_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str) ->
 
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "left",
-    *, derived: bool = False,
+    *, derived: bool = False, small: bool | None = None,
 ) -> DataFrame:
     """Join ``facts`` to a lookup with one row per key.
 
     ``derived`` marks a lookup that is itself computed from a large table: it is written
-    once first, so measuring it does not compute it twice.
+    once first, so measuring it does not compute it twice. ``small`` passes on an earlier
+    answer of ``fits_broadcast`` for the same lookup.
     """
     on = [on] if isinstance(on, str) else list(on)
     if derived:
         lookup = settle(lookup)
-    if fits_broadcast(lookup):
+    if fits_broadcast(lookup) if small is None else small:
         return facts.join(F.broadcast(lookup), on, how)
     return split_join(facts, lookup, on, how)

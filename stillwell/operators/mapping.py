@@ -4,35 +4,28 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stillwell import constants as C, schemas
 from stillwell.functions import datastream_key, location_key
-from stillwell.operators.grouping import first_per_key
 from stillwell.operators.joins import lookup_join
 from stillwell.operators.ordering import paged
 from stillwell.session import settle
 
 
 # --- stations --------------------------------------------------------------------------
-def stations_of(readings: DataFrame, table: DataFrame) -> DataFrame:
-    """One row per station present in ``readings``, described by the station table.
+def describe_stations(ids: DataFrame, table: DataFrame) -> DataFrame:
+    """Each ``location_id`` (given once) with what the station table says about it.
 
     A station missing from the table gets empty texts and no coordinates; a null that the
     table itself holds stays null.
     """
-    present = readings.select("location_id").distinct()
-    known = table.select(
-        F.col("id").alias("location_id"), F.col("name").alias("_name"),
-        F.col("description").alias("_text"), "latitude", "longitude",
-        F.lit(True).alias("_known"),
-    )
-    joined = lookup_join(present, known, "location_id")
-    absent = F.col("_known").isNull()
-    return joined.select(
-        "location_id",
-        F.when(absent, F.lit("")).otherwise(F.col("_name")).alias("location_name"),
-        F.when(absent, F.lit("")).otherwise(F.col("_text")).alias("location_description"),
-        "latitude", "longitude",
+    return with_station(ids.select("location_id"), table).select(
+        "location_id", "location_name", "location_description", "latitude", "longitude"
     )
 
 
+def stations_of(readings: DataFrame, table: DataFrame) -> DataFrame:
+    """One described row per station present in ``readings``."""
+    return describe_stations(readings.select("location_id").distinct(), table)
+
+
 def with_station(readings: DataFrame, table: DataFrame) -> DataFrame:
     """Readings with the same metadata on every row."""
     known = table.select(
@@ -50,13 +43,19 @@ def with_station(readings: DataFrame, table: DataFrame) -> DataFrame:
 
 def first_row_stations(readings: DataFrame, order: list[str]) -> DataFrame:
     """One row per station with the metadata of its first row; a null name becomes the id."""
-    meta = readings.select("location_id", "location_name", "latitude", "longitude", *order)
-    first = first_per_key(meta, ["location_id"], order)
-    return first.select(
+    names = ["location_name", "latitude", "longitude"]
+    unflagged = readings.withColumn("failure", F.lit(None).cast("string"))
+    return name_stations(station_outcomes(unflagged, names, order))
+
+
+def name_stations(outcomes: DataFrame) -> DataFrame:
+    """Station rows from outcomes that carry the metadata of the first row."""
+    return outcomes.select(
         "location_id",
-        F.coalesce("location_name", F.col("location_id").cast("string")).alias("location_name"),
+        F.coalesce("first.location_name", F.col("location_id").cast("string"))
+        .alias("location_name"),
         F.lit(None).cast("string").alias("location_description"),
-        "latitude", "longitude",
+        "first.latitude", "first.longitude",
     )
 
 
@@ -182,14 +181,25 @@ def station_outcomes(
 
     ``first`` names columns whose values on the station's first row (by ``order``) ride
     along as a struct, so no second pass is needed for them.
+
+    The first aggregate keeps text in its keys and only numbers in its values, which is what
+    Spark's hash aggregate can hold; each task so shrinks its files to a few rows per
+    station before anything is shuffled.
     """
-    aggregates = [
-        F.count(F.lit(1)).alias("rows"), F.min("failure").alias("failure"),
-        F.count_if(F.col("failure").isNotNull()).alias("bad_rows"),
+    keys = ["location_id", "failure"]
+    counted = [F.count(F.lit(1)).alias("rows")]
+    if first:
+        keys += [*first, *order[:-1]]
+        counted.append(F.min(order[-1]).alias(order[-1]))
+    small = flagged.groupBy(*keys).agg(*counted)
+    bad = F.when(F.col("failure").isNotNull(), F.col("rows")).otherwise(0)
+    totals = [
+        F.sum("rows").alias("rows"), F.min("failure").alias("failure"),
+        F.sum(bad).alias("bad_rows"),
     ]
     if first:
-        aggregates.append(F.min_by(F.struct(*first), F.struct(*order)).alias("first"))
-    return flagged.groupBy("location_id").agg(*aggregates)
+        totals.append(F.min_by(F.struct(*first), F.struct(*order)).alias("first"))
+    return small.groupBy("location_id").agg(*totals)
 
 
 def failed_stations(outcomes: DataFrame) -> DataFrame:

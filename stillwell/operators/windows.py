@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stillwell.operators.filters import in_window
 from stillwell.operators.joins import lookup_join
+from stillwell.session import settle
 
 
 def _inside(start, end):
@@ -33,21 +34,33 @@ def rejected(records: DataFrame) -> DataFrame:
     return records.where(F.col("datastream_key").isNull() | F.col("phenomenon_time").isNull())
 
 
-def require_accepted(records: DataFrame) -> None:
-    """All or nothing: one unacceptable record fails the batch before it is written."""
-    bad = rejected(records).agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    if bad:
-        raise ValueError(f"{bad} record(s) without datastream or time; batch not written")
+def accepted(records: DataFrame) -> DataFrame:
+    """The records, failing the job that writes them at the first unacceptable one.
+
+    The check rides along in the write, whose commit is all or nothing, so it costs no pass
+    of its own.
+    """
+    bad = F.col("datastream_key").isNull() | F.col("phenomenon_time").isNull()
+    message = F.lit("record without datastream or time; batch not written")
+    return records.withColumn(
+        "datastream_key", F.when(bad, F.raise_error(message)).otherwise(F.col("datastream_key"))
+    )
 
 
-def deleted_by(existing: DataFrame, keys: DataFrame, start, end) -> DataFrame:
+def deleted_by(
+    existing: DataFrame, keys: DataFrame, start, end, *, small: bool | None = None
+) -> DataFrame:
     """Existing rows of the given datastreams inside the window."""
-    return lookup_join(existing.where(_inside(start, end)), keys, "datastream_key", "left_semi")
+    held = existing.where(_inside(start, end))
+    return lookup_join(held, keys, "datastream_key", "left_semi", small=small)
 
 
-def kept_by(existing: DataFrame, keys: DataFrame, start, end) -> DataFrame:
+def kept_by(
+    existing: DataFrame, keys: DataFrame, start, end, *, small: bool | None = None
+) -> DataFrame:
     """Existing rows that survive: outside the window, or of another datastream."""
-    others = lookup_join(existing.where(_inside(start, end)), keys, "datastream_key", "left_anti")
+    held = existing.where(_inside(start, end))
+    others = lookup_join(held, keys, "datastream_key", "left_anti", small=small)
     return existing.where(~_inside(start, end)).unionByName(others)
 
 
@@ -60,7 +73,7 @@ def replace_window(
     new rows no longer mention.
     """
     if keys is None:
-        keys = new.select("datastream_key").distinct()
+        keys = settle(new.select("datastream_key").distinct())
     return kept_by(existing, keys, start, end).unionByName(new)
 
 

@@ -96,9 +96,10 @@ def run_chunk(
     if not counts["good"] and not clear_requested:
         return result, None
     passed = outcomes.where(F.col("failure").isNull())
-    upsert_entities(spark, zone, spec.entities(spec.stations(passed, stations)))
+    described = settle(spec.stations(passed, stations))
+    upsert_entities(spark, zone, spec.entities(described))
     scope = f"{spec.dataset}_backfill"
-    marks = progress.watermarks(progress.read_state(spark, zone.state), scope)
+    marks = progress.watermarks(progress.read_state(spark, zone.progress(scope)), scope)
     keys = ids.select(spec.stream_key().alias("datastream_key")) if clear_requested else None
     done = settle(replace_window_in_place(
         spark, zone.observations, spec.agency, f"backfill-{run_key}",
@@ -124,7 +125,8 @@ def run_backfill(
     requested = requested or []
     ids = settle(resolve_ids(spark, requested, stations))
     plan = plan_chunks(spark, start, end, requested, ids)
-    finished = progress.finished_chunks(progress.read_state(spark, zone.state), run_key)
+    place = zone.progress(f"{spec.dataset}_backfill")
+    finished = progress.finished_chunks(progress.read_state(spark, place), run_key)
     planned = plan.count()
     # One row per month of the requested range.
     todo = open_chunks(plan, finished).select(
@@ -143,7 +145,7 @@ def run_backfill(
         updates = progress.chunk_rows(line, run_key)
         if moved is not None:
             updates = updates.unionByName(moved)
-        progress.commit_state(spark, zone.state, updates, chunk["chunk_key"])
+        progress.commit_state(spark, place, updates, chunk["chunk_key"])
         results.append(tuple(result[name] for name in schemas.CHUNK_TOTALS.names))
     totals = chunk_totals(spark.createDataFrame(results, schemas.CHUNK_TOTALS)).first().asDict()
     return {**totals, "chunks_processed": len(todo), "chunks_skipped": planned - len(todo)}

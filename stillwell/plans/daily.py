@@ -8,7 +8,6 @@ from stillwell.operators.mapping import failed_stations, good_rows
 from stillwell.operators.watermarks import (
     effective_watermarks, newest_per_datastream, past_watermark,
 )
-from stillwell.operators.windows import require_accepted
 from stillwell.session import pin, settle
 from stillwell.sinks import state as progress
 from stillwell.sinks.entities import upsert_entities
@@ -28,62 +27,62 @@ def station_table(spark: SparkSession, spec: SourceSpec, zone: Zone) -> DataFram
 def load_batch(
     spark: SparkSession, spec: SourceSpec, zone: Zone, raw: DataFrame, *, batch: str,
     scope: str, stations: DataFrame | None = None, extra_state: DataFrame | None = None,
-    before: float | None = None, after: float | None = None,
+    before: float | None = None, after: float | None = None, snapshot: int | None = None,
 ) -> dict:
     """Map ``raw`` and append what is new, then commit all progress at once.
 
     Two passes over ``raw``: one aggregate per station, one narrow map into the target.
-    Nothing is committed if any step raises, so the same batch can simply run again.
+    Nothing is committed if any step raises, so the same batch can simply run again; it must
+    not run again once committed (``run_daily`` and ``run_stream`` see to that).
     """
+    place = zone.progress(scope)
+    snapshot = progress.latest_snapshot(spark, place) if snapshot is None else snapshot
     flagged = spec.flagged(raw)
     outcomes = settle(spec.outcomes(flagged))
     stats = transform_stats(outcomes, before, after).first().asDict()
     quarantined = failed_stations(outcomes).select("location_id", "failure", "bad_rows")
-    results = None
+    updates, results = extra_state, None
     if stats["bundles_produced"]:
         passed = outcomes.where(F.col("failure").isNull() & F.col("location_id").isNotNull())
         if stations is None:
             stations = station_table(spark, spec, zone)
-        upsert_entities(spark, zone, spec.entities(spec.stations(passed, stations)))
-
-        considered = settle(passed.select(
+        described = settle(spec.stations(passed, stations))
+        upsert_entities(spark, zone, spec.entities(described))
+        considered = passed.select(
             spec.stream_key().alias("datastream_key"), F.col("rows").alias("considered")
-        ))
-        keys = considered.select("datastream_key")
-        stored = progress.watermarks(progress.read_state(spark, zone.state), scope)
+        )
+        stored = progress.watermarks(progress.read_state(spark, place, snapshot), scope)
+        # Rows an earlier attempt of this batch left behind do not count as loaded.
         others = read_observations(spark, zone.observations).where(
             (F.col("agency") == spec.agency.upper()) & (F.col("batch") != batch)
         )
-        marks = settle(effective_watermarks(keys, stored, others))
+        marks = settle(effective_watermarks(considered.select("datastream_key"), stored, others))
         fresh = past_watermark(spec.observations(good_rows(flagged, outcomes)), marks)
-        require_accepted(fresh)
         write_batch(fresh, zone.observations, spec.agency, batch)
 
-        written = settle(
+        written = (
             read_batch(spark, zone.observations, spec.agency, batch)
             .groupBy("datastream_key")
             .agg(F.count(F.lit(1)).alias("posted"), F.max("phenomenon_time").alias("newest"))
         )
+        posted = F.coalesce("posted", F.lit(0)).cast("bigint")
         results = settle(
             considered.join(written, "datastream_key", "left")
             .join(marks, "datastream_key", "left")
             .select(
-                "datastream_key", "considered",
-                F.coalesce("posted", F.lit(0)).cast("bigint").alias("posted"),
-                (F.col("considered") - F.coalesce("posted", F.lit(0))).alias("skipped"),
+                "datastream_key", "considered", posted.alias("posted"),
+                (F.col("considered") - posted).alias("skipped"),
                 F.lit(0).cast("bigint").alias("deleted"),
                 F.greatest("newest", "watermark").alias("new_watermark"),
             )
         )
-    updates = extra_state
-    if results is not None:
         # A watermark recovered from the target is not stored while nothing new was posted.
         moved = progress.watermark_rows(
             results.where(F.col("posted") > 0), scope, "new_watermark"
         )
         updates = moved if updates is None else updates.unionByName(moved)
     if updates is not None:
-        progress.commit_state(spark, zone.state, updates, batch)
+        progress.commit_state(spark, place, updates, batch, snapshot=snapshot)
     totals = {"bundles_loaded": 0, "observations_posted": 0, "observations_skipped": 0,
               "observations_deleted": 0}
     if results is not None:
@@ -98,7 +97,9 @@ def run_daily(spark: SparkSession, spec: SourceSpec, zone: Zone) -> dict:
     before its commit is overwritten by the next, even if more loads arrived meanwhile.
     """
     pin(spark)
-    since = progress.last_load(progress.read_state(spark, zone.state), spec.dataset)
+    place = zone.progress(spec.dataset)
+    snapshot = progress.latest_snapshot(spark, place)
+    since = progress.last_load(progress.read_state(spark, place, snapshot), spec.dataset)
     newest = newest_load(spark, zone.raw(spec), since)
     if newest is None or newest == since:
         return {"rows_read": 0, "bundles_loaded": 0, "observations_posted": 0,
@@ -109,7 +110,7 @@ def run_daily(spark: SparkSession, spec: SourceSpec, zone: Zone) -> dict:
     mark = progress.load_rows(spark, spec.dataset, newest)
     return load_batch(
         spark, spec, zone, raw, batch=batch, scope=spec.dataset, extra_state=mark,
-        before=since, after=newest,
+        before=since, after=newest, snapshot=snapshot,
     )
 
 

@@ -50,13 +50,13 @@ def run_ingest(
     load_id = append_load(rows, zone.raw(spec))
     written = scan_load(spark, zone.raw(spec), spec.schema, load_id)
 
-    old = progress.cursors(progress.read_state(spark, zone.state), spec.dataset)
+    old = progress.cursors(progress.read_state(spark, zone.progress(spec.dataset)), spec.dataset)
     moved = advanced_cursors(
         written, outcomes.join(old, "location_id", "left"), start_ts
     )
     stats = ingest_stats(outcomes, written.count())
     require_some_success(stats)
     progress.commit_state(
-        spark, zone.state, progress.cursor_rows(moved, spec.dataset), f"ingest-{load_id:.6f}"
+        spark, zone.progress(spec.dataset), progress.cursor_rows(moved, spec.dataset), f"ingest-{load_id:.6f}"
     )
     return {**stats.first().asDict(), "load_id": load_id}

@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from stillwell.operators.filters import within
 from stillwell.operators.grouping import unique_readings
@@ -38,12 +38,12 @@ def run_replay(
     raw = scan_new(spark, zone.raw(spec), spec.schema)
     low, high = (int(t.timestamp()) * per_second for t in (start, end))
     obs = replayed(spec, raw, low, high, unique=unique)
-    marks = progress.watermarks(progress.read_state(spark, zone.state), spec.dataset)
+    marks = progress.watermarks(progress.read_state(spark, zone.progress(spec.dataset)), spec.dataset)
     done = settle(replace_window_in_place(
         spark, zone.observations, spec.agency, f"replay-{run_key}", obs, start, end, marks
     ))
     progress.commit_state(
-        spark, zone.state, progress.watermark_rows(done, spec.dataset, "new_watermark"),
-        f"replay-{run_key}",
+        spark, zone.progress(spec.dataset),
+        progress.watermark_rows(done, spec.dataset, "new_watermark"), f"replay-{run_key}",
     )
-    return done.where(F.col("datastream_key").isNotNull())
+    return done

@@ -1,10 +1,11 @@
 """Insert-only upsert of the entity tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stillwell import schemas
 from stillwell.operators.entities import new_entities
-from stillwell.session import settle
 from stillwell.sinks.zone import Zone
 from stillwell.sources.scan import read_or_empty
 
@@ -14,13 +15,18 @@ def read_entity(spark: SparkSession, zone: Zone, name: str) -> DataFrame:
 
 
 def upsert_entities(spark: SparkSession, zone: Zone, tables: dict[str, DataFrame]) -> dict:
-    """Append the missing rows of each table in foreign-key order; counts per table."""
-    added = {}
-    for name in schemas.ENTITIES:
-        if name not in tables:
-            continue
-        missing = settle(new_entities(tables[name], read_entity(spark, zone, name)))
-        added[name] = missing.count()
+    """Append the missing rows of each table in foreign-key order; counts per table.
+
+    One job counts what all tables miss, and only those that miss something are written.
+    """
+    names = [name for name in schemas.ENTITIES if name in tables]
+    missing = {
+        name: new_entities(tables[name], read_entity(spark, zone, name)) for name in names
+    }
+    tagged = [missing[name].select(F.lit(name).alias("entity")) for name in names]
+    counts = reduce(DataFrame.unionByName, tagged).groupBy("entity").count().collect()
+    added = {**dict.fromkeys(names, 0), **{row["entity"]: row["count"] for row in counts}}
+    for name in names:
         if added[name]:
-            missing.hint("rebalance").write.mode("append").parquet(zone.entity(name))
+            missing[name].hint("rebalance").write.mode("append").parquet(zone.entity(name))
     return added

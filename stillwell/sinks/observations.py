@@ -9,9 +9,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stillwell import schemas
-from stillwell.operators.joins import lookup_join
+from stillwell.operators.joins import fits_broadcast, lookup_join
 from stillwell.operators.windows import (
-    deleted_by, kept_by, require_accepted, require_inside, window_results,
+    accepted, deleted_by, kept_by, require_inside, window_results,
 )
 from stillwell.session import settle
 from stillwell.sources.scan import read_or_empty
@@ -40,9 +40,23 @@ def _overwrite(rows: DataFrame, root: str) -> None:
      .partitionBy(*FOLDERS).parquet(root))
 
 
+def _empty(spark: SparkSession, root: str, folders: DataFrame) -> None:
+    """Leave the given folders without rows. Only folder names reach the driver."""
+    nothing = spark.createDataFrame([], schemas.OBSERVATION).coalesce(1)
+    for row in folders.select(*FOLDERS).collect():
+        path = "/".join(f"{name}={row[name]}" for name in FOLDERS)
+        nothing.write.mode("overwrite").parquet(f"{root}/{path}")
+
+
 def write_batch(obs: DataFrame, root: str, agency: str, batch: str) -> None:
-    """Write the observations of one batch; all or nothing."""
-    _overwrite(_placed(obs, agency, batch), root)
+    """Write the observations of one batch; all or nothing.
+
+    What an uncommitted attempt of the same batch left behind goes first, since this attempt
+    may no longer touch every folder of it.
+    """
+    spark = obs.sparkSession
+    _empty(spark, root, read_batch(spark, root, agency, batch).select(*FOLDERS).distinct())
+    _overwrite(_placed(accepted(obs), agency, batch), root)
 
 
 def read_batch(spark: SparkSession, root: str, agency: str, batch: str) -> DataFrame:
@@ -59,6 +73,11 @@ def months_of(start: datetime, end: datetime) -> list[str]:
     return months
 
 
+def _months(spark: SparkSession, root: str, agency: str, months: list[str]) -> DataFrame:
+    stored = read_observations(spark, root)
+    return stored.where((F.col("agency") == agency.upper()) & F.col("obs_month").isin(months))
+
+
 def replace_window_in_place(
     spark: SparkSession, root: str, agency: str, batch: str, new: DataFrame,
     start: datetime, end: datetime, watermarks: DataFrame, keys: DataFrame | None = None,
@@ -70,39 +89,36 @@ def replace_window_in_place(
     the rest is swapped in, so an interrupted run leaves a gap and never a double; running
     the same window again closes it.
     """
-    require_accepted(new)
+    new = settle(accepted(new.select(*schemas.OBSERVATION.names)))
     require_inside(new, start, end)
-    new = settle(new.select(*schemas.OBSERVATION.names))
-    wanted = new.select("datastream_key").distinct()
+    wanted = new.select("datastream_key")
     if keys is not None:
-        wanted = wanted.unionByName(keys.select("datastream_key")).distinct()
-    wanted = settle(wanted)
+        wanted = wanted.unionByName(keys.select("datastream_key"))
+    wanted = settle(wanted.distinct())
+    small = fits_broadcast(wanted)
 
     months = months_of(start, end)
-    stored = read_observations(spark, root)
-    touched = stored.where((F.col("agency") == agency.upper()) & F.col("obs_month").isin(months))
+    touched = _months(spark, root, agency, months)
     losses = settle(
-        deleted_by(touched, wanted, start, end).groupBy(*FOLDERS, "datastream_key")
-        .agg(F.count(F.lit(1)).alias("n"))
+        deleted_by(touched, wanted, start, end, small=small)
+        .groupBy(*FOLDERS, "datastream_key").agg(F.count(F.lit(1)).alias("n"))
     )
     own = spark.createDataFrame([(agency.upper(), m, batch) for m in months],
                                 "agency string, obs_month string, batch string")
-    folders = losses.select(*FOLDERS).unionByName(own).distinct()
-    affected = lookup_join(touched, folders, FOLDERS, "left_semi", derived=True)
-    kept = kept_by(affected, wanted, start, end)
-    merged = kept.select(*schemas.STORED_OBSERVATION.names).unionByName(
-        _placed(new, agency, batch)
-    )
-
-    staying = kept.select(*FOLDERS).distinct().unionByName(
-        _placed(new, agency, batch).select(*FOLDERS).distinct()
+    folders = settle(losses.select(*FOLDERS).unionByName(own).distinct())
+    affected = lookup_join(touched, folders, FOLDERS, "left_semi")
+    placed = _placed(new, agency, batch)
+
+    # Row totals come from file footers alone, so finding the emptied folders is cheap.
+    lost = losses.groupBy(*FOLDERS).agg(F.sum("n").alias("lost"))
+    totals = affected.groupBy(*FOLDERS).agg(F.count(F.lit(1)).alias("held"))
+    emptied = (
+        lost.join(totals, FOLDERS).where(F.col("lost") == F.col("held"))
+        .join(placed.select(*FOLDERS).distinct(), FOLDERS, "left_anti")
     )
-    emptied = losses.select(*FOLDERS).distinct().join(staying, FOLDERS, "left_anti")
-    nothing = spark.createDataFrame([], schemas.OBSERVATION)
-    # Folder names only: at most the batches that ever wrote into these months.
-    for row in emptied.collect():
-        path = "/".join(f"{name}={row[name]}" for name in FOLDERS)
-        nothing.coalesce(1).write.mode("overwrite").parquet(f"{root}/{path}")
-    _overwrite(merged, root)
-
+    _empty(spark, root, emptied)
+    # Listed again: the emptied folders no longer hold the files seen above.
+    affected = lookup_join(_months(spark, root, agency, months), folders, FOLDERS, "left_semi")
+    kept = kept_by(affected, wanted, start, end, small=small)
+    _overwrite(kept.select(*schemas.STORED_OBSERVATION.names).unionByName(placed), root)
     return window_results(new, losses, watermarks, counted="n")

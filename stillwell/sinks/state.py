@@ -15,13 +15,14 @@ from stillwell.sources.scan import read_or_empty
 LOAD, WATERMARK, CURSOR, CHUNK = "load", "watermark", "cursor", "chunk"
 
 
-def _latest(spark: SparkSession, root: str) -> int:
+def latest_snapshot(spark: SparkSession, root: str) -> int:
+    """Number of the last finished commit, 0 before the first."""
     commits = read_or_empty(spark, f"{root}/commits", schemas.COMMIT)
     return commits.agg(F.max("snapshot")).first()[0] or 0
 
 
-def read_state(spark: SparkSession, root: str) -> DataFrame:
-    latest = _latest(spark, root)
+def read_state(spark: SparkSession, root: str, snapshot: int | None = None) -> DataFrame:
+    latest = latest_snapshot(spark, root) if snapshot is None else snapshot
     if not latest:
         return spark.createDataFrame([], schemas.STATE)
     return spark.read.schema(schemas.STATE).parquet(f"{root}/snapshots/{latest:010d}")
@@ -33,13 +34,16 @@ def merge_state(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.groupBy("scope", "kind", "key").agg(F.max("position").alias("position"))
 
 
-def commit_state(spark: SparkSession, root: str, new: DataFrame, note: str = "") -> int:
-    target = _latest(spark, root) + 1
-    merged = merge_state(read_state(spark, root), new)
-    merged.write.mode("overwrite").parquet(f"{root}/snapshots/{target:010d}")
-    line = spark.createDataFrame([(target, note)], schemas.COMMIT)
+def commit_state(
+    spark: SparkSession, root: str, new: DataFrame, note: str = "", *, snapshot: int | None = None
+) -> int:
+    """Merge ``new`` over the given (or latest) snapshot; returns the new number."""
+    base = latest_snapshot(spark, root) if snapshot is None else snapshot
+    merged = merge_state(read_state(spark, root, base), new)
+    merged.write.mode("overwrite").parquet(f"{root}/snapshots/{base + 1:010d}")
+    line = spark.createDataFrame([(base + 1, note)], schemas.COMMIT)
     line.coalesce(1).write.mode("append").parquet(f"{root}/commits")
-    return target
+    return base + 1
 
 
 # --- typed views -----------------------------------------------------------------------
@@ -85,6 +89,15 @@ def load_rows(spark: SparkSession, scope: str, load_id: float) -> DataFrame:
     return spark.createDataFrame(values, schemas.STATE)
 
 
+def last_number(state: DataFrame, scope: str) -> int | None:
+    """Number of the last stream batch committed under ``scope``."""
+    return _of(state, scope, LOAD).agg(F.max("position")).first()[0]
+
+
+def number_rows(spark: SparkSession, scope: str, number: int) -> DataFrame:
+    return spark.createDataFrame([(scope, LOAD, "last", number)], schemas.STATE)
+
+
 def finished_chunks(state: DataFrame, run_key: str) -> DataFrame:
     return _of(state, run_key, CHUNK).select(F.col("key").alias("chunk_key"))
 

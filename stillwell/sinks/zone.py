@@ -27,6 +27,6 @@ class Zone:
     def observations(self) -> str:
         return f"{self.root}/target/observation"
 
-    @property
-    def state(self) -> str:
-        return f"{self.root}/progress"
+    def progress(self, scope: str) -> str:
+        """Progress of one scope; each scope has one writer at a time."""
+        return f"{self.root}/progress/{scope}"

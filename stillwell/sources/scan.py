@@ -99,12 +99,18 @@ def scan_load(spark: SparkSession, root: str, schema: T.StructType, load_id: flo
 
 
 def scan_stations(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """The station table, last row per id in file and row order. Missing data is an error."""
-    files = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
+    """The station table, last row per id in file and row order. Missing files are an error."""
+    missing = FileNotFoundError(f"no station files under {root}; run the ingest first")
+    try:
+        files = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise missing from None
+    if not files.inputFiles():
+        raise missing
     rows = files.select(
         *schema.names,
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
     )
-    if rows.isEmpty():
-        raise FileNotFoundError(f"no station rows under {root}; run the ingest first")
     return last_per_key(rows, ["id"], ["file", "row"]).select(*schema.names)

@@ -118,7 +118,7 @@ LOGGERS = SourceSpec(
     sensor=C.LOGGER_SENSOR, location_text=C.LOCATION_MADE,
     keep=depth_rows, failure=_logger_failure, time=_logger_time,
     result=lambda: metres_to_feet(F.col("value")),
-    stations=mapping.stations_of, specific=_description,
+    stations=mapping.describe_stations, specific=_description,
 )
 
 
@@ -128,22 +128,13 @@ def _city_time() -> Column:
     return F.when(~mapping.out_of_range(millis / 1000), time_from_millis(millis))
 
 
-def _city_stations(outcomes: DataFrame, _table: DataFrame | None) -> DataFrame:
-    return outcomes.select(
-        "location_id",
-        F.coalesce("first.location_name", F.col("location_id")).alias("location_name"),
-        F.lit(None).cast("string").alias("location_description"),
-        "first.latitude", "first.longitude",
-    )
-
-
 CITY_WELLS = SourceSpec(
     name="cabq", agency="CABQ", dataset="raw_cabq", cron="0 8 * * *",
     schema=schemas.CITY_READINGS, readings_table="cabq_readings", stations_table=None,
     backfill_table="cabq_backfill_readings", sensor=C.MANUAL_SENSOR,
     location_text=C.LOCATION_COLLECTED, keep=lambda raw: raw,
     failure=lambda: _bad_time(F.col("timestamp") / 1000), time=_city_time,
-    result=lambda: F.col("value"), stations=_city_stations,
+    result=lambda: F.col("value"), stations=lambda outcomes, _table: mapping.name_stations(outcomes),
     first_columns=("location_name", "latitude", "longitude"),
 )
 

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stillwell.plans.daily import load_batch
 from stillwell.session import pin
+from stillwell.sinks import state as progress
 from stillwell.sinks.zone import Zone
 from stillwell.sources.scan import load_id_of
 from stillwell.sources.specs import SourceSpec
@@ -29,15 +30,22 @@ def run_stream(
 
     The file position is Spark's own checkpoint, which moves only after the batch function
     returns. A failed batch is offered again with the same files under the same number, so
-    it overwrites its own partitions.
+    it overwrites its own partitions; one whose progress was already committed is skipped.
     """
     pin(spark)
     reports = []
+    place, mark = zone.progress(spec.dataset), f"{spec.dataset}_stream"
 
     def load(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        snapshot = progress.latest_snapshot(session, place)
+        done = progress.last_number(progress.read_state(session, place, snapshot), mark)
+        if done is not None and number <= done:
+            return
         reports.append(load_batch(
-            batch.sparkSession, spec, zone, batch, batch=f"stream-{number:010d}",
-            scope=spec.dataset, stations=stations,
+            session, spec, zone, batch, batch=f"stream-{number:010d}", scope=spec.dataset,
+            stations=stations, extra_state=progress.number_rows(session, mark, number),
+            snapshot=snapshot,
         ))
 
     query = (
