@@ -5,13 +5,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stillwell.operators.audit import (
     advanced_cursors, fetch_outcomes, ingest_stats, require_no_fatal, require_some_success,
 )
-from stillwell.operators.filters import only_stations
+from stillwell.functions import millis_to_seconds
+from stillwell.operators.filters import from_cursor, only_stations
 from stillwell.operators.joins import lookup_join
 from stillwell.session import pin, settle
 from stillwell.sinks import state as progress
 from stillwell.sinks.raw import append_load, replace_stations
 from stillwell.sinks.zone import Zone
-from stillwell.sources.landing import flatten_stations, logger_readings
+from stillwell.sources.landing import (
+    attributes, city_readings, distinct_stations, flatten_stations, logger_readings,
+)
 from stillwell.sources.scan import scan_load
 from stillwell.sources.specs import SourceSpec
 
@@ -60,3 +63,45 @@ def run_ingest(
         spark, zone.progress(spec.dataset), progress.cursor_rows(moved, spec.dataset), f"ingest-{load_id:.6f}"
     )
     return {**stats.first().asDict(), "load_id": load_id}
+
+
+def run_city_ingest(
+    spark: SparkSession, spec: SourceSpec, zone: Zone, *, features: DataFrame,
+    station_features: DataFrame, log: DataFrame, start_ts: int,
+) -> dict:
+    """Land the measurements of every successfully fetched city station.
+
+    Measurements count from midnight of the station's cursor, inclusive, so the raw table
+    holds repeats; the watermark at load time removes them.
+    """
+    pin(spark)
+    place = zone.progress(spec.dataset)
+    stations = settle(distinct_stations(attributes(station_features)))
+    codes = stations.select(F.col("sys_loc_code").alias("location_id")).distinct()
+    outcomes = settle(
+        codes.join(fetch_outcomes(log).select("location_id", "outcome"), "location_id", "left")
+        .withColumn("outcome", F.coalesce("outcome", F.lit("error")))
+    )
+    require_no_fatal(outcomes)
+    ok = outcomes.where(F.col("outcome") == "ok").select(
+        F.col("location_id").alias("sys_loc_code")
+    )
+    old = progress.cursors(progress.read_state(spark, place), spec.dataset)
+    second = millis_to_seconds(F.col("measurement_date"))
+    measured = lookup_join(attributes(features), ok, "sys_loc_code", "left_semi")
+    recent = from_cursor(
+        measured, old.withColumnRenamed("location_id", "sys_loc_code"), start_ts,
+        station="sys_loc_code", seconds=second, by_day=True,
+    )
+    load_id = append_load(city_readings(recent, stations), zone.raw(spec))
+    written = scan_load(spark, zone.raw(spec), spec.schema, load_id)
+    moved = advanced_cursors(
+        written, outcomes.join(old, "location_id", "left"), start_ts,
+        seconds=millis_to_seconds(F.col("timestamp")),
+    )
+    stats = ingest_stats(outcomes, written.count())
+    require_some_success(stats)
+    progress.commit_state(
+        spark, place, progress.cursor_rows(moved, spec.dataset), f"ingest-{load_id:.6f}"
+    )
+    return {**stats.first().asDict(), "load_id": load_id}
