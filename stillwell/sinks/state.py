@@ -110,7 +110,7 @@ def chunk_rows(chunks: DataFrame, run_key: str) -> DataFrame:
 def _text_or_none(spark: SparkSession, path: str) -> DataFrame:
     """The file as one row, or no row where it does not exist."""
     try:
-        return spark.read.option("wholetext", "true").text(path)
+        return spark.read.text(path, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
