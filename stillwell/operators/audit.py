@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stillwell.operators.grouping import last_per_key
 from stillwell.operators.filters import start_floor
+from stillwell.operators.mapping import is_failed
 
 
 def _zero(total: Column) -> Column:
@@ -88,7 +89,7 @@ def transform_stats(
     outcomes: DataFrame, before: float | None, after: float | None
 ) -> DataFrame:
     """Totals over station outcomes, with the load id before and after."""
-    failed = F.col("failure").isNotNull() | F.col("location_id").isNull()
+    failed = is_failed()
     return outcomes.agg(
         _zero(F.sum("rows")).alias("rows_read"),
         F.count(F.lit(1)).alias("locations_grouped"),

@@ -202,8 +202,13 @@ def station_outcomes(
     return small.groupBy("location_id").agg(*totals)
 
 
+def is_failed() -> Column:
+    """A station with a bad reading; rows without a station count as one more."""
+    return F.col("failure").isNotNull() | F.col("location_id").isNull()
+
+
 def failed_stations(outcomes: DataFrame) -> DataFrame:
-    return outcomes.where(F.col("failure").isNotNull() | F.col("location_id").isNull())
+    return outcomes.where(is_failed())
 
 
 def good_rows(flagged: DataFrame, outcomes: DataFrame) -> DataFrame:

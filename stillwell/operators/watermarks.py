@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from stillwell.operators.joins import fits_broadcast, lookup_join
+from stillwell.operators.joins import lookup_join
 from stillwell.session import settle
 
 
@@ -23,22 +23,19 @@ def effective_watermarks(
 ) -> DataFrame:
     """The stored watermark of each key, else the latest time the target holds for it.
 
-    ``keys`` holds each datastream of the batch once; settle it first if it is computed.
-
-    The target is read only for keys without a stored watermark, and not at all when every
-    key has one. Keys with neither are left out.
+    ``keys`` holds each datastream of the batch once. The target is read only for keys
+    without a stored watermark, and not at all when every key has one. Keys with neither
+    are left out. The result is settled.
     """
-    small = fits_broadcast(keys)
-    known = lookup_join(stored, keys, "datastream_key", "left_semi", small=small)
-    if target is None:
-        return known
-    missing = settle(keys.join(stored, "datastream_key", "left_anti"))
-    if missing.isEmpty():
-        return known
-    held = lookup_join(
-        target, missing, "datastream_key", "left_semi", small=True if small else None
+    marked = settle(
+        keys.join(stored.select("datastream_key", "watermark"), "datastream_key", "left")
     )
-    return known.unionByName(newest_per_datastream(held))
+    known = marked.where(F.col("watermark").isNotNull())
+    missing = marked.where(F.col("watermark").isNull()).select("datastream_key")
+    if target is None or missing.isEmpty():
+        return known
+    held = lookup_join(target, missing, "datastream_key", "left_semi")
+    return known.unionByName(settle(newest_per_datastream(held)))
 
 
 def with_watermark(obs: DataFrame, watermarks: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stillwell import schemas
 from stillwell.operators.audit import chunk_totals, fetch_outcomes, require_no_fatal
-from stillwell.operators.mapping import good_rows
+from stillwell.operators.mapping import good_rows, is_failed
 from stillwell.plans.months import digest_plan, keyed_plan, month_plan, open_chunks
 from stillwell.session import pin, settle
 from stillwell.sinks import state as progress
@@ -87,15 +87,14 @@ def run_chunk(
     outcomes = settle(spec.outcomes(flagged))
     counts = outcomes.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.count_if(F.col("failure").isNull()).alias("good"),
-        F.count_if(F.col("failure").isNotNull()).alias("bad"),
+        F.count_if(~is_failed()).alias("good"), F.count_if(is_failed()).alias("bad"),
     ).first()
     result = {"rows_ingested": counts["rows"], "bundles_loaded": counts["good"],
               "observations_posted": 0, "observations_deleted": 0,
               "adapter_failures": counts["bad"]}
     if not counts["good"] and not clear_requested:
         return result, None
-    passed = outcomes.where(F.col("failure").isNull())
+    passed = outcomes.where(~is_failed())
     described = settle(spec.stations(passed, stations))
     upsert_entities(spark, zone, spec.entities(described))
     scope = f"{spec.dataset}_backfill"
@@ -103,7 +102,8 @@ def run_chunk(
     keys = ids.select(spec.stream_key().alias("datastream_key")) if clear_requested else None
     done = settle(replace_window_in_place(
         spark, zone.observations, spec.agency, f"backfill-{run_key}",
-        spec.observations(good_rows(flagged, outcomes)), start, end, marks, keys,
+        spec.observations(good_rows(flagged, outcomes) if counts["bad"] else flagged),
+        start, end, marks, keys,
     ))
     totals = done.agg(F.sum("posted").alias("p"), F.sum("deleted").alias("d")).first()
     result["observations_posted"] = totals["p"] or 0

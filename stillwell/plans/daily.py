@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stillwell import schemas
 from stillwell.operators.audit import load_totals, transform_stats
-from stillwell.operators.mapping import failed_stations, good_rows
+from stillwell.operators.mapping import failed_stations, good_rows, is_failed
 from stillwell.operators.watermarks import (
     effective_watermarks, newest_per_datastream, past_watermark,
 )
@@ -43,7 +43,7 @@ def load_batch(
     quarantined = failed_stations(outcomes).select("location_id", "failure", "bad_rows")
     updates, results = extra_state, None
     if stats["bundles_produced"]:
-        passed = outcomes.where(F.col("failure").isNull() & F.col("location_id").isNotNull())
+        passed = outcomes.where(~is_failed())
         if stations is None:
             stations = station_table(spark, spec, zone)
         described = settle(spec.stations(passed, stations))
@@ -56,8 +56,10 @@ def load_batch(
         others = read_observations(spark, zone.observations).where(
             (F.col("agency") == spec.agency.upper()) & (F.col("batch") != batch)
         )
-        marks = settle(effective_watermarks(considered.select("datastream_key"), stored, others))
-        fresh = past_watermark(spec.observations(good_rows(flagged, outcomes)), marks)
+        marks = effective_watermarks(considered.select("datastream_key"), stored, others)
+        # Most batches have no failed station, and then nothing has to be joined away.
+        good = good_rows(flagged, outcomes) if stats["adapter_failures"] else flagged
+        fresh = past_watermark(spec.observations(good), marks)
         write_batch(fresh, zone.observations, spec.agency, batch)
 
         written = (

@@ -11,8 +11,11 @@ sys.path[:0] = [str(HERE), str(HERE.parent)]
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[8]").appName("tests")
-        .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+        SparkSession.builder.master("local[4]").appName("tests")
+        .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+        # Inputs are tiny, so compiling code for each plan costs more than it saves.
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g")
         .getOrCreate()
     )

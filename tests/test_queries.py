@@ -13,7 +13,14 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+# Whole jobs, covered by test_loads and test_backfill; check_all.py and -m slow run them too.
+JOBS = {"daily_load", "daily_watermarks", "stream_load", "city_load", "backfill_load"}
+
+
+@pytest.mark.parametrize("name", [
+    pytest.param(name, marks=pytest.mark.slow) if name in JOBS else name
+    for name in sorted(entry.queries())
+])
 def test_query_equals_its_sql(spark, con, name):
     assert differences(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) is None
 
