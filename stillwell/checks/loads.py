@@ -382,7 +382,7 @@ def entity_tables(spark, folder):
 def linked_datastreams(spark, folder):
     t = _tables(spark, folder)
     linked = entities.linked_datastreams(
-        t["datastream"], t["thing"], t["sensor"], t["observed_property"]
+        settle(t["datastream"]), t["thing"], t["sensor"], t["observed_property"]
     )
     return linked.drop("datastream_id", "thing_id")
 
@@ -397,7 +397,7 @@ EXPANDED = """SELECT concat('pvacd-', location_id) AS thing_key, 'Water Well' AS
 def _expanded(spark, folder):
     t = _tables(spark, folder)
     return entities.expanded(
-        t["thing"], t["location"], t["datastream"], t["sensor"], t["observed_property"]
+        t["thing"], t["location"], settle(t["datastream"]), t["sensor"], t["observed_property"]
     )
 
 

@@ -198,9 +198,9 @@ def station_pages(spark, folder):
 
 @check(W("city") + """SELECT location_id, coalesce(location_name, location_id) AS location_name,
     latitude, longitude FROM city QUALIFY row_number() OVER (PARTITION BY location_id
-      ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate) = 1""")
+      ORDER BY load_id, file, row) = 1""")
 def station_first_rows(spark, folder):
-    first = mapping.first_row_stations(S.city(spark, folder), S.CITY_ORDER)
+    first = mapping.first_row_stations(S.city(spark, folder), ["load_id", "file", "row"])
     return first.select("location_id", "location_name", "latitude", "longitude")
 
 

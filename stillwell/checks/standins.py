@@ -15,6 +15,22 @@ DAY = 86400
 EPOCH_2024 = 1704067200
 CITY_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate"]
 
+SHAPES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
 PARTS = {
     "readings": """readings AS (
       SELECT concat(user_id, '_', code, '_', sec) AS reading_id, user_id AS location_id,
@@ -56,9 +72,11 @@ PARTS = {
              concat('W', l_suppkey) AS location_id,
              CASE WHEN l_linenumber % 3 = 0 THEN NULL
                ELSE concat('Well ', l_suppkey, '-', l_linenumber) END AS location_name,
-             l_discount * 10 + 34 AS latitude, l_tax * 10 AS longitude,
+             l_linenumber + 34.5 AS latitude, CAST(l_suppkey AS DOUBLE) AS longitude,
              epoch_ms(l_shipdate) AS "timestamp",
              CASE WHEN l_quantity = 50 THEN NULL ELSE l_quantity END AS value,
+             CAST(year(l_shipdate) AS DOUBLE) AS load_id, l_linestatus AS file,
+             (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS row,
              l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate
       FROM lineitem)""",
     "log": """log AS (
@@ -82,7 +100,7 @@ def with_parts(*names: str) -> str:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     pin(spark)
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SHAPES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -151,7 +169,7 @@ def cursors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def city(spark: SparkSession, folder: str) -> DataFrame:
-    """City-well readings; the columns of ``CITY_ORDER`` are their arrival order."""
+    """City-well readings with their arrival order; ``CITY_ORDER`` tells all rows apart."""
     lines = table(spark, folder, "lineitem")
     millis = F.unix_millis(F.col("l_shipdate").cast("timestamp"))
     well = F.concat(F.lit("W"), F.col("l_suppkey").cast("string"))
@@ -161,9 +179,13 @@ def city(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(well, F.lit("_"), millis.cast("string")).alias("reading_id"),
         well.alias("location_id"),
         F.when(F.col("l_linenumber") % 3 != 0, name).alias("location_name"),
-        (F.col("l_discount") * 10 + 34).alias("latitude"), (F.col("l_tax") * 10).alias("longitude"),
+        (F.col("l_linenumber") + 34.5).alias("latitude"),
+        F.col("l_suppkey").cast("double").alias("longitude"),
         millis.alias("timestamp"),
         F.when(F.col("l_quantity") != 50, F.col("l_quantity")).alias("value"),
+        F.year("l_shipdate").cast("double").alias("load_id"), F.col("l_linestatus").alias("file"),
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey"))
+        .alias("row"),
         *CITY_ORDER,
     )
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from stillwell.operators.filters import in_window
-from stillwell.operators.joins import lookup_join
+from stillwell.operators.joins import fits_broadcast, lookup_join
 from stillwell.session import settle
 
 
@@ -58,9 +58,18 @@ def deleted_by(
 def kept_by(
     existing: DataFrame, keys: DataFrame, start, end, *, small: bool | None = None
 ) -> DataFrame:
-    """Existing rows that survive: outside the window, or of another datastream."""
+    """Existing rows that survive: outside the window, or of another datastream.
+
+    With few keys this is one pass that marks rows; otherwise only rows of the window take
+    part in a join.
+    """
+    if fits_broadcast(keys) if small is None else small:
+        named = keys.select("datastream_key", F.lit(True).alias("_named"))
+        marked = existing.join(F.broadcast(named), "datastream_key", "left")
+        kept = marked.where(~_inside(start, end) | F.col("_named").isNull())
+        return kept.select(*existing.columns)
     held = existing.where(_inside(start, end))
-    others = lookup_join(held, keys, "datastream_key", "left_anti", small=small)
+    others = lookup_join(held, keys, "datastream_key", "left_anti", small=False)
     return existing.where(~_inside(start, end)).unionByName(others)
 
 

@@ -275,6 +275,13 @@ def test_one_unacceptable_record_fails_the_whole_batch(spark, zone):
     assert target(spark, zone) == []
 
 
+def test_many_keys_give_the_same_survivors(spark):
+    rows = obs(spark, ("a", "2026-01-05", 1.0), ("a", "2026-02-05", 2.0), ("b", "2026-01-05", 3.0))
+    keys = spark.createDataFrame([("a",)], "datastream_key string")
+    ways = [windows.kept_by(rows, keys, JAN, FEB, small=small) for small in (True, False)]
+    assert [sorted(r["result"] for r in way.collect()) for way in ways] == [[2.0, 3.0]] * 2
+
+
 def test_months_of_a_window():
     assert months_of(JAN, FEB) == ["2026-01"]
     assert months_of(datetime(2025, 12, 15), datetime(2026, 2, 1, 0, 0, 1)) == [
