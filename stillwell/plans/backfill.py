@@ -122,7 +122,7 @@ def run_backfill(
     state and watermarks commit together, after the data, so a failed chunk is open again.
     """
     pin(spark)
-    requested = requested or []
+    requested = list(spec.default_ids if requested is None else requested)
     ids = settle(resolve_ids(spark, requested, stations))
     plan = plan_chunks(spark, start, end, requested, ids)
     place = zone.progress(f"{spec.dataset}_backfill")

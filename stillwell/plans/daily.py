@@ -100,7 +100,7 @@ def run_daily(spark: SparkSession, spec: SourceSpec, zone: Zone) -> dict:
     """
     pin(spark)
     place = zone.progress(spec.dataset)
-    snapshot = progress.latest_snapshot(spark, place)
+    origin, snapshot = progress.origin(spark, place)
     since = progress.last_load(progress.read_state(spark, place, snapshot), spec.dataset)
     newest = newest_load(spark, zone.raw(spec), since)
     if newest is None or newest == since:
@@ -108,7 +108,7 @@ def run_daily(spark: SparkSession, spec: SourceSpec, zone: Zone) -> dict:
                 "observations_skipped": 0, "watermark_before": since, "watermark_after": newest,
                 "results": None}
     raw = scan_new(spark, zone.raw(spec), spec.schema, since, until=newest)
-    batch = "daily-first" if since is None else f"daily-{since:.6f}"
+    batch = f"daily-{origin}-{0 if since is None else since:.6f}"
     mark = progress.load_rows(spark, spec.dataset, newest)
     return load_batch(
         spark, spec, zone, raw, batch=batch, scope=spec.dataset, extra_state=mark,

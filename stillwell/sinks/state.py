@@ -5,6 +5,8 @@ commit table; a reader takes the snapshot of the newest row. A snapshot without
 is an attempt that never finished, and the next commit overwrites it.
 """
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,7 +14,7 @@ from stillwell import schemas
 from stillwell.functions import from_iso
 from stillwell.sources.scan import read_or_empty
 
-LOAD, WATERMARK, CURSOR, CHUNK = "load", "watermark", "cursor", "chunk"
+LOAD, WATERMARK, CURSOR, CHUNK, ORIGIN = "load", "watermark", "cursor", "chunk", "origin"
 
 
 def latest_snapshot(spark: SparkSession, root: str) -> int:
@@ -46,6 +48,23 @@ def commit_state(
     return base + 1
 
 
+def origin(spark: SparkSession, root: str) -> tuple[str, int]:
+    """A name for this progress table, given before its first data, and its snapshot.
+
+    Batches carry the name. Should the progress be lost, its successor has another name, so
+    no batch of the old one is ever taken for an unfinished attempt.
+    """
+    snapshot = latest_snapshot(spark, root)
+    if snapshot:
+        found = read_state(spark, root, snapshot).where(F.col("kind") == ORIGIN)
+        name = found.agg(F.min("key")).first()[0]
+        if name:
+            return name, snapshot
+    name = uuid.uuid4().hex[:12]
+    row = spark.createDataFrame([("", ORIGIN, name, 1)], schemas.STATE)
+    return name, commit_state(spark, root, row, "origin", snapshot=snapshot)
+
+
 # --- typed views -----------------------------------------------------------------------
 def rows(df: DataFrame, scope: str, kind: str, key: Column, position: Column) -> DataFrame:
     return df.select(

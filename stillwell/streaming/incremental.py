@@ -1,5 +1,7 @@
 """The daily job as a stream: each new raw file once, through the same batch load."""
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stillwell.plans.daily import load_batch
@@ -33,18 +35,20 @@ def run_stream(
     it overwrites its own partitions; one whose progress was already committed is skipped.
     """
     pin(spark)
-    reports = []
-    place, mark = zone.progress(spec.dataset), f"{spec.dataset}_stream"
+    reports, known, started = [], {}, threading.Event()
+    place = zone.progress(spec.dataset)
 
     def load(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
+        started.wait()
+        mark = f"{spec.dataset}_stream_{known['id']}"
         snapshot = progress.latest_snapshot(session, place)
         done = progress.last_number(progress.read_state(session, place, snapshot), mark)
         if done is not None and number <= done:
             return
         reports.append(load_batch(
-            session, spec, zone, batch, batch=f"stream-{number:010d}", scope=spec.dataset,
-            stations=stations, extra_state=progress.number_rows(session, mark, number),
+            session, spec, zone, batch, batch=f"stream-{known['id']}-{number:010d}",
+            scope=spec.dataset, stations=stations, extra_state=progress.number_rows(session, mark, number),
             snapshot=snapshot,
         ))
 
@@ -52,5 +56,8 @@ def run_stream(
         raw_stream(spark, zone.raw(spec), spec).writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+    # The id belongs to the checkpoint: a new checkpoint counts its batches anew.
+    known["id"] = query.id
+    started.set()
     query.awaitTermination()
     return reports

@@ -120,7 +120,7 @@ def test_backfill_runs_each_chunk_once(spark, zone):
     assert asked == [1, 2]
     # The daily raw table and the daily watermarks stay untouched.
     assert scan.newest_load(spark, zone.raw(LOGGERS)) is None
-    assert progress.read_state(spark, zone.progress("raw_pvacd")).count() == 0
+    assert progress.latest_snapshot(spark, zone.progress("raw_pvacd")) == 0
     marks = progress.watermarks(
         progress.read_state(spark, zone.progress("raw_pvacd_backfill")), "raw_pvacd_backfill")
     assert marks.count() == 2

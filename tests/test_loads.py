@@ -14,7 +14,9 @@ from stillwell.sinks.observations import (
     months_of, read_observations, replace_window_in_place, write_batch,
 )
 from stillwell.sinks.raw import append_load, replace_stations
+from stillwell.sinks.zone import Zone
 from stillwell.sources.specs import CITY_WELLS, LOGGERS
+from stillwell.streaming import incremental
 from stillwell.streaming.incremental import run_stream
 
 JAN, FEB, MAR = (datetime(2026, m, 1, tzinfo=timezone.utc) for m in (1, 2, 3))
@@ -117,7 +119,11 @@ def test_a_failing_station_is_quarantined_and_the_load_still_commits(spark, logg
 def test_an_attempt_that_failed_before_its_commit_is_replaced(spark, loggers, monkeypatch):
     append_load(raw(spark, (1, 10, 1.0), (2, 5000000, 1.0)), loggers.raw(LOGGERS), 100.5)
 
-    def crash(*_args, **_kwargs):
+    commit = progress.commit_state
+
+    def crash(spark, root, new, note, **more):
+        if note == "origin":
+            return commit(spark, root, new, note, **more)
         raise OSError("lost")
 
     with monkeypatch.context() as patch:
@@ -186,14 +192,51 @@ def test_stream_takes_each_file_once(spark, loggers, tmp_path):
     assert (report["observations_posted"], report["observations_skipped"]) == (1, 1)
 
 
-def test_a_committed_stream_batch_is_not_loaded_again(spark, loggers, tmp_path):
+def test_a_lost_stream_checkpoint_offers_old_files_again_but_loads_only_new_rows(
+    spark, loggers, tmp_path
+):
     append_load(raw(spark, (1, 10, 1.0)), loggers.raw(LOGGERS), 100.5)
     run_stream(spark, LOGGERS, loggers, str(tmp_path / "cp"))
-    # A fresh checkpoint offers the same files again as batch 0.
-    assert run_stream(spark, LOGGERS, loggers, str(tmp_path / "other")) == []
+    append_load(raw(spark, (1, 11, 1.0)), loggers.raw(LOGGERS), 200.5)
+    report, = run_stream(spark, LOGGERS, loggers, str(tmp_path / "other"))
+    assert (report["observations_posted"], report["observations_skipped"]) == (1, 1)
+    assert len(target(spark, loggers)) == 2
+
+
+def test_a_stream_batch_committed_before_its_checkpoint_is_skipped(
+    spark, loggers, tmp_path, monkeypatch
+):
+    append_load(raw(spark, (1, 10, 1.0)), loggers.raw(LOGGERS), 100.5)
+
+    def crash_after(*args, **kwargs):
+        load_batch(*args, **kwargs)
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "load_batch", crash_after)
+        with pytest.raises(Exception, match="lost"):
+            run_stream(spark, LOGGERS, loggers, str(tmp_path / "cp"))
+    assert run_stream(spark, LOGGERS, loggers, str(tmp_path / "cp")) == []
     assert len(target(spark, loggers)) == 1
 
 
+def test_lost_progress_does_not_lose_or_double_rows(spark, loggers):
+    for load_id, second in ((100.5, 10), (200.5, 20)):
+        append_load(raw(spark, (1, second, 1.0)), loggers.raw(LOGGERS), load_id)
+        run_daily(spark, LOGGERS, loggers)
+    fresh = Elsewhere(loggers.root)
+    report = run_daily(spark, LOGGERS, fresh)
+    assert report["observations_skipped"] == 2
+    assert len(target(spark, loggers)) == 2
+
+
+class Elsewhere(Zone):
+    """The same zone with its progress gone."""
+
+    def progress(self, scope):
+        return f"{self.root}/new-progress/{scope}"
+
+
 # --- window replace --------------------------------------------------------------------
 def stored(spark, zone):
     write_batch(obs(spark, ("a", "2026-01-05", 1.0), ("a", "2026-01-31 23:59:59", 2.0),
