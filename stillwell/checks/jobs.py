@@ -1,6 +1,6 @@
 """Whole jobs over a scratch zone filled from the supplied tables."""
 
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -11,12 +11,16 @@ from stillwell.checks.registry import check
 from stillwell.functions import reading_id
 from stillwell.operators.filters import within
 from stillwell.operators.mapping import observations
+from stillwell.plans import backfill
 from stillwell.plans.backfill import run_backfill
 from stillwell.plans.daily import run_daily
+from stillwell.plans.ingest import run_ingest
+from stillwell.plans.replay import run_replay
 from stillwell.sinks.observations import read_observations
 from stillwell.sinks.raw import append_loads, replace_stations
 from stillwell.sinks.state import read_state, watermarks
 from stillwell.sinks.zone import Zone
+from stillwell.sources.scan import scan_load
 from stillwell.sources.specs import CITY_WELLS, LOGGERS
 from stillwell.streaming.highwater import high_watermarks, keep_watermarks
 from stillwell.streaming.incremental import raw_stream, run_stream
@@ -137,6 +141,61 @@ def backfill_load(spark, folder):
     return S.flat(read_observations(spark, zone.observations))
 
 
+@check(W("readings") + STRETCHED.replace(
+    "        AND location_id IN (SELECT s_suppkey FROM supplier))", ")") + """
+    SELECT strftime(date_trunc('month', make_timestamp(time_us)), '%Y-%m') AS month,
+           count(*) AS rows, count(*) FILTER (NOT bad) AS observations,
+           count(DISTINCT datastream_key) FILTER (bad) AS failed_stations
+    FROM chunked GROUP BY 1""")
+def dry_run_counts(spark, folder):
+    slow = F.lit(S.EPOCH_2024) + (F.col("timestamp") - S.EPOCH_2024) * 3
+    raw = S.readings(spark, folder).withColumn("timestamp", slow)
+    counts = backfill.dry_run_counts(LOGGERS, raw, date(2024, 1, 5), date(2024, 3, 9))
+    return counts.select(F.date_format("chunk_start", "yyyy-MM").alias("month"), "rows",
+                         "observations", "failed_stations")
+
+
+@check(W("readings", "log") + """SELECT reading_id, location_id, "timestamp", parameter_id, value
+    FROM readings
+    WHERE location_id IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 20)
+      AND CAST(location_id AS VARCHAR) IN (SELECT location_id FROM outcomes WHERE outcome = 'ok')
+    """)
+def ingest_load(spark, folder):
+    """Landed pages of the allowed stations whose last fetch succeeded."""
+    zone = Zone(S.scratch(spark, "zone"))
+    listed = S.stations(spark, folder).select(
+        "id", "name", "description", F.struct("latitude", "longitude").alias("gps")
+    )
+    allowed = S.table(spark, folder, "supplier").where(F.col("s_nationkey") < 20).select(
+        F.col("s_suppkey").cast("string")
+    )
+    log = S.fetch_log(spark, folder)
+    soft = log.withColumn("status", F.when(F.col("status") == 403, 404).otherwise(F.col("status")))
+    report = run_ingest(
+        spark, LOGGERS, zone, station_list=listed, pages=reading_pages(S.readings(spark, folder)),
+        log=soft, allowed=allowed, start_ts=S.EPOCH_2024,
+    )
+    rows = scan_load(spark, zone.raw(LOGGERS), LOGGERS.schema, report["load_id"])
+    return rows.select("reading_id", "location_id", "timestamp", "parameter_id", "value")
+
+
+@check(W("readings") + """SELECT datastream_key, time_us, result FROM (
+      SELECT concat('pvacd-', location_id, '-dtw') AS datastream_key,
+             "timestamp" * 1000000 AS time_us, value * CAST(3.28084 AS DOUBLE) AS result,
+             bool_or(value IS NULL) OVER (PARTITION BY location_id) AS bad
+      FROM readings WHERE parameter_id = '4' AND "timestamp" >= 1704844800
+        AND "timestamp" < 1705708800) WHERE NOT bad""")
+def replay_load(spark, folder):
+    """A window of an empty target, filled from a raw table that holds everything twice."""
+    zone = Zone(S.scratch(spark, "zone"))
+    rows = S.readings(spark, folder).drop("file", "row")
+    again = rows.withColumn("load_id", F.col("load_id") + 0.5)
+    append_loads(rows.unionByName(again), zone.raw(LOGGERS))
+    start, end = (datetime(2024, 1, day, tzinfo=timezone.utc) for day in (10, 20))
+    run_replay(spark, LOGGERS, zone, start, end, run_key="check")
+    return S.flat(read_observations(spark, zone.observations))
+
+
 @check(W("readings") + """SELECT concat('pvacd-', location_id, '-dtw') AS datastream_key,
     max("timestamp") * 1000000 AS watermark_us, count(*) AS considered
     FROM readings WHERE parameter_id = '4' GROUP BY 1""")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from stillwell.checks import standins as S
 from stillwell.checks.registry import check
 from stillwell.functions import from_iso, iso_text, millis_to_seconds, odata_text
-from stillwell.operators import filters, grouping, mapping
+from stillwell.operators import filters, grouping, joins, mapping
 from stillwell.plans.backfill import unknown_ids
 from stillwell.session import settle
 from stillwell.sinks.raw import append_loads
@@ -70,6 +70,15 @@ def readings_with_station(spark, folder):
                          "latitude", "longitude")
 
 
+@check(W("readings", "stations") + """SELECT reading_id, location_id, name FROM readings
+    LEFT JOIN stations ON location_id = id""")
+def readings_with_station_split(spark, folder):
+    """The way a station table too large to broadcast is joined: hot stations apart."""
+    names = S.stations(spark, folder).select(F.col("id").alias("location_id"), "name")
+    joined = joins.split_join(S.readings(spark, folder), names, ["location_id"], "left")
+    return joined.select("reading_id", "location_id", "name")
+
+
 # --- scans of a raw table that Spark wrote from the readings ---------------------------
 @check(W("readings") + """SELECT reading_id, load_id FROM readings WHERE load_id > 1705276800""")
 def incremental_new_rows(spark, folder):

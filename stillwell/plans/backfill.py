@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stillwell import schemas
 from stillwell.operators.audit import chunk_totals, fetch_outcomes, require_no_fatal
 from stillwell.operators.mapping import good_rows, is_failed
-from stillwell.plans.months import digest_plan, keyed_plan, month_plan, open_chunks
+from stillwell.plans.months import (
+    digest_plan, keyed_plan, month_plan, open_chunks, with_chunk,
+)
 from stillwell.session import pin, settle
 from stillwell.sinks import state as progress
 from stillwell.sinks.entities import upsert_entities
@@ -63,6 +65,25 @@ def dry_run(
     return plan.withColumn("locations", F.lit(ids.count()).cast("bigint"))
 
 
+def dry_run_counts(spec: SourceSpec, raw: DataFrame, start: date, end: date) -> DataFrame:
+    """Rows, and observations a load would post, per chunk of stored raw rows.
+
+    Stations fail per chunk, as they do when each chunk is loaded on its own.
+    """
+    timed = with_chunk(
+        spec.flagged(raw).withColumn("phenomenon_time", spec.time()), "phenomenon_time", start, end
+    )
+    per_station = timed.groupBy("chunk_start", "chunk_end", "location_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("failure").isNotNull() | F.col("location_id").isNull()).alias("bad"),
+    )
+    return per_station.groupBy("chunk_start", "chunk_end").agg(
+        F.sum("rows").alias("rows"),
+        F.sum(F.when(F.col("bad") == 0, F.col("rows")).otherwise(0)).alias("observations"),
+        F.count_if(F.col("bad") > 0).alias("failed_stations"),
+    )
+
+
 def run_chunk(
     spark: SparkSession, spec: SourceSpec, zone: Zone, *, pages: DataFrame,
     fetch_log: DataFrame | None, ids: DataFrame, stations: DataFrame, start, end,

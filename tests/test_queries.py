@@ -14,7 +14,8 @@ def con():
 
 
 # Whole jobs, covered by test_loads and test_backfill; check_all.py and -m slow run them too.
-JOBS = {"daily_load", "daily_watermarks", "stream_load", "city_load", "backfill_load"}
+JOBS = {"daily_load", "daily_watermarks", "stream_load", "city_load", "backfill_load",
+        "ingest_load", "replay_load"}
 
 
 @pytest.mark.parametrize("name", [
