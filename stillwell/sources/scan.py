@@ -5,6 +5,8 @@ A load id is the leading decimal of a file name (``1781192390.555875.0.parquet``
 prunes files while Spark lists them, so files of old loads are never opened.
 """
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -30,6 +32,21 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
+def folders_since(root: str, since: float | None) -> str:
+    """The date folders that may hold loads newer than ``since``, as one path pattern.
+
+    Folders carry the date of their load, so a run after the first lists a month or two
+    instead of the whole history. One day of slack allows for clocks and time zones.
+    """
+    if since is None:
+        return root
+    first = datetime.fromtimestamp(since, timezone.utc) - timedelta(days=1)
+    last = datetime.now(timezone.utc).year + 1
+    parts = [f"year={first.year:04d}/month={month:02d}" for month in range(first.month, 13)]
+    parts += [f"year={year:04d}" for year in range(first.year + 1, last + 1)]
+    return f"{root}/{{{','.join(parts)}}}"
+
+
 def list_loads(spark: SparkSession, root: str) -> DataFrame:
     """Every data file with its load id; contents are not read."""
     try:

@@ -111,6 +111,22 @@ def test_many_loads_in_one_write(spark, tmp_path):
     assert {r["load_id"] for r in scan.list_loads(spark, root).collect()} == {1.25, 2.25}
 
 
+def test_only_folders_that_may_be_new_are_listed(spark, tmp_path):
+    root = str(tmp_path / "t")
+    days = {"2025-12-31": 1767139200.5, "2026-01-31": 1769817600.5, "2026-02-02": 1769990400.5}
+    for load_id in days.values():
+        append_load(rows_of(spark, (1, "4", 1)), root, load_id)
+    def listed(since):
+        found = scan.list_loads(spark, scan.folders_since(root, since)).select("load_id")
+        return sorted({r[0] for r in found.collect()})
+    assert listed(None) == sorted(days.values())
+    assert listed(days["2026-01-31"]) == [days["2026-01-31"], days["2026-02-02"]]
+    assert listed(days["2026-02-02"] + 86400) == [days["2026-02-02"]]
+    later = scan.folders_since(root, 1796083200.0)
+    assert scan.newest_load(spark, later, 1796083200.0) == 1796083200.0
+    assert scan.scan_new(spark, later, SCHEMA, 1796083200.0).count() == 0
+
+
 def test_station_scan_keeps_the_last_row(spark, tmp_path):
     root = str(tmp_path / "stations")
     with pytest.raises(FileNotFoundError):
