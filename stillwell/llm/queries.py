@@ -37,3 +37,28 @@ def op9_token_counts(spark, sf_dir):
     from stillwell.llm.token_counts import token_counts
     return token_counts(table(spark, sf_dir, "documents"),
                         public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op4_toxicity(spark, sf_dir):
+    from stillwell.llm.toxicity import toxicity
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op5_near_dedup(spark, sf_dir):
+    from stillwell.llm.near_dedup import near_dedup
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_best_fit_packing(spark, sf_dir):
+    from stillwell.llm.packing import best_fit_packing
+    return best_fit_packing(table(spark, sf_dir, "documents"),
+                            public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op1_suffix_dedup(spark, sf_dir):
+    from stillwell.llm.repeats import suffix_dedup
+    return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
