@@ -1,5 +1,8 @@
 """Helpers shared by the operators: row keys, stored intermediates, Arrow maps, set filters."""
 
+import contextlib
+import ctypes
+import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -78,17 +81,43 @@ def map_arrow(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = (dict(zip(names, b.columns)) for b in batches if b.num_rows)
-        for made in function(columns):
-            arrays = [
-                made[f.name].cast(f.type) if isinstance(made[f.name], pa.Array)
-                else pa.array(made[f.name], type=f.type) for f in wanted
-            ]
-            if len(arrays[0]):
-                yield pa.RecordBatch.from_arrays(arrays, schema=wanted)
+        try:
+            for made in function(columns):
+                arrays = [
+                    made[f.name].cast(f.type) if isinstance(made[f.name], pa.Array)
+                    else pa.array(made[f.name], type=f.type) for f in wanted
+                ]
+                if len(arrays[0]):
+                    yield pa.RecordBatch.from_arrays(arrays, schema=wanted)
+        finally:
+            give_back()
 
     return df.mapInArrow(run, schema)
 
 
+class Shared:
+    """A broadcast value of any class of this package; its code travels with it."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.packed, self.own = spark.sparkContext.broadcast(cloudpickle.dumps(value)), None
+
+    def __getstate__(self):
+        return {"packed": self.packed, "own": None}
+
+    @property
+    def value(self):
+        if self.own is None:
+            self.own = cloudpickle.loads(self.packed.value)
+        return self.own
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on after their tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -155,3 +184,14 @@ def power_of_two(n: float, least: int = 64, most: int = 2**26) -> int:
     while size < n and size < most:
         size *= 2
     return size
+
+
+def loaded(path: str):
+    """The tokenizer of a file, without truncation and padding, on the task's own thread."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    return library
