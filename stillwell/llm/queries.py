@@ -62,3 +62,42 @@ def op6_best_fit_packing(spark, sf_dir):
 def op1_suffix_dedup(spark, sf_dir):
     from stillwell.llm.repeats import suffix_dedup
     return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/"))
+
+
+@query("""
+WITH u AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '^(.*?)://([^/?#]*)', 2, 's'), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^(.*?)://[^/?#]*([^?#]*)', 2, 's'), '') AS path
+  FROM pages),
+r(verdict, host, path) AS (VALUES
+  ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+m AS (
+  SELECT u.page_id, r.host || r.path AS rule, r.verdict,
+         row_number() OVER (PARTITION BY u.page_id ORDER BY length(r.host || r.path) DESC) AS n
+  FROM u JOIN r ON (u.host = r.host OR ends_with(u.host, '.' || r.host))
+               AND starts_with(u.path, r.path))
+SELECT u.page_id, u.host, u.path, m.rule, coalesce(m.verdict, 'allow') AS verdict
+FROM u LEFT JOIN m ON m.page_id = u.page_id AND m.n = 1
+""")
+def op7_url_filter(spark, sf_dir):
+    from stillwell.llm.url_filter import url_filter
+    return url_filter(table(spark, sf_dir, "pages"), list(URL_RULES))
+
+
+@query()
+def op8_html_text(spark, sf_dir):
+    from stillwell.llm.html_text import html_text
+    return html_text(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op3_neighbours(spark, sf_dir):
+    from stillwell.llm.neighbours import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), "id % 20 = 0")
