@@ -7,9 +7,10 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import stillwell.llm
 from stillwell.session import durable_dir
@@ -179,6 +180,19 @@ def bloom_of(keys: DataFrame, column: str, bits: int, hashes: int, salt: int = 0
     return Bloom(out, hashes, salt)
 
 
+def likely(keys: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A test of a long column against ``keys``: true for all of them, and for few others as long as
+    the filter is not full. It spares rows that are surely not meant the shuffle of a join."""
+    found = bloom_of(keys, column, power_of_two(16 * keys.count()), 5)
+    known = Shared(keys.sparkSession, found)
+
+    @F.pandas_udf("boolean")
+    def hit(values: pd.Series) -> pd.Series:
+        return pd.Series(known.value.holds(values.to_numpy()))
+
+    return hit
+
+
 def power_of_two(n: float, least: int = 64, most: int = 2**26) -> int:
     size = least
     while size < n and size < most:

@@ -101,3 +101,9 @@ def op8_html_text(spark, sf_dir):
 def op3_neighbours(spark, sf_dir):
     from stillwell.llm.neighbours import nearest
     return nearest(table(spark, sf_dir, "embeddings"), "id % 20 = 0")
+
+
+@query()
+def op2_mixing(spark, sf_dir):
+    from stillwell.llm.mixing import mixing
+    return mixing(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
