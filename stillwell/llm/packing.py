@@ -18,7 +18,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stillwell.llm.common import ROW, Shared, documents, loaded, map_arrow, stored
+from stillwell.llm.common import Shared, loaded, map_arrow, stored
 
 LIMIT = 2048
 END = b"\0\0\0\0"
@@ -73,24 +73,24 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFrame:
 
         task, seen, ids = TaskContext.get().partitionId(), Counter(), Ids(tokenizer)
         for b in batches:
-            out = {c: [] for c in (ROW, "doc_id", "piece", "start", "length", "crc", "number")}
-            for row, doc_id, text in zip(b[ROW].to_pylist(), b["doc_id"].to_pylist(),
-                                         b["text"].to_pylist()):
+            out = {c: [] for c in ("doc_id", "piece", "start", "length", "crc", "number")}
+            for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
                 data = ids.of(text or "") + END
                 n = len(data) // 4
                 start, end, piece = 0, (n - 1) % limit + 1, 0
                 while start < n:
                     length = end - start
                     for name, value in zip(out, (
-                            row, doc_id, piece, start, length,
-                            zlib.crc32(data[4 * start:4 * end]), seen[length])):
+                            doc_id, piece, start, length, zlib.crc32(data[4 * start:4 * end]),
+                            seen[length])):
                         out[name].append(value)
                     seen[length] += 1
                     start, end, piece = end, end + limit, piece + 1
-            yield out | {"task": [task] * len(out[ROW])}
+            yield out | {"task": [task] * len(out["doc_id"])}
 
-    return map_arrow(docs, cut, f"{ROW} long, doc_id long, piece int, start long, length long, "
-                     "crc long, number long, task int")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return map_arrow(narrow, cut, "doc_id long, piece int, start long, length long, crc long, "
+                     "number long, task int")
 
 
 def fullest(capacity: int, lengths: list[int], counts: dict[int, int]) -> list[int]:
@@ -164,9 +164,8 @@ class Places:
         return sequence, offset
 
 
-def packed(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of each piece of ``docs``
-    (from ``documents``)."""
+def best_fit_packing(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of each piece of ``docs``."""
     cut = stored(pieces(docs, tokenizer, limit), "pieces")
     per_task = stored(cut.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "lengths")
     counts = dict(per_task.groupBy("length").agg(F.sum("n")).collect())
@@ -189,7 +188,3 @@ def packed(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFrame:
         numbered.select("doc_id", "piece", "start", "length", "crc", "number"), place,
         "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, "
         "offset long", rows=8192)
-
-
-def best_fit_packing(table: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFrame:
-    return packed(documents(table), tokenizer, limit)
