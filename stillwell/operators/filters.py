@@ -18,17 +18,22 @@ def depth_rows(readings: DataFrame, parameter: str = DTW_PARAMETER) -> DataFrame
 def only_stations(
     readings: DataFrame, ids: Iterable | DataFrame, column: str = "location_id"
 ) -> DataFrame:
-    """Rows of the listed stations. An empty list keeps nothing."""
+    """Rows of the listed stations. An empty list keeps nothing.
+
+    Ids take the type of the column, whatever they come as; one that has no such value
+    matches nothing. That holds for lists of any length and for tables.
+    """
+    kind = readings.schema[column].dataType
     if isinstance(ids, DataFrame):
-        allowed = ids.select(F.col(ids.columns[0]).alias(column)).distinct()
+        allowed = ids.select(F.col(ids.columns[0]).try_cast(kind).alias(column)).distinct()
         return lookup_join(readings, allowed, column, "left_semi", derived=True)
-    ids = list(dict.fromkeys(ids))
+    ids = list(dict.fromkeys(str(i) for i in ids if i is not None))
     if not ids:
         return readings.where(F.lit(False))
     if len(ids) <= LITERAL_LIST:
-        return readings.where(F.col(column).isin(ids))
-    kind = readings.schema[column].dataType.simpleString()
-    listed = readings.sparkSession.createDataFrame([(i,) for i in ids], f"{column} {kind}")
+        return readings.where(F.col(column).isin(*[F.lit(i).try_cast(kind) for i in ids]))
+    listed = readings.sparkSession.createDataFrame([(i,) for i in ids], f"{column} string")
+    listed = listed.select(F.col(column).try_cast(kind).alias(column)).distinct()
     return lookup_join(readings, listed, column, "left_semi")
 
 
@@ -44,13 +49,14 @@ def within(readings: DataFrame, start, end, column: str = "timestamp") -> DataFr
 def cut_pages(readings: DataFrame, end: int, *, station: str = "location_id") -> DataFrame:
     """Rows before ``end``, from pages up to the first one that reaches ``end``.
 
-    Later pages count as unread even where they hold earlier readings.
+    Later pages count as unread even where they hold earlier readings. Rows without a time
+    stay with their page, so that they reach the quarantine.
     """
     cuts = (
         readings.where(F.col("timestamp") >= end)
         .groupBy(station).agg(F.min("page").alias("_cut"))
     )
-    early = readings.where(F.col("timestamp") < end)
+    early = readings.where(F.col("timestamp").isNull() | (F.col("timestamp") < end))
     marked = lookup_join(early, cuts, station, derived=True)
     return marked.where(F.col("_cut").isNull() | (F.col("page") <= F.col("_cut"))).drop("_cut")
 
@@ -65,6 +71,7 @@ def from_cursor(
     *, station: str = "location_id", seconds: Column | None = None, by_day: bool = False,
 ) -> DataFrame:
     """Rows at or after each station's floor; ``by_day`` lowers the floor to its midnight.
+    Rows without a time stay: they fail their station later on.
 
     ``cursors`` has the station column and ``cursor`` in seconds.
     """
@@ -73,7 +80,7 @@ def from_cursor(
     floor = start_floor(start_ts, F.col("cursor"))
     if by_day:
         floor = F.unix_seconds(F.date_trunc("day", F.timestamp_seconds(floor)))
-    return joined.where(time >= floor).drop("cursor")
+    return joined.where(time.isNull() | (time >= floor)).drop("cursor")
 
 
 # --- quality flags (reported, never used to drop rows) ---------------------------------

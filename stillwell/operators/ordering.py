@@ -21,28 +21,31 @@ def _numbered_by_range(
     # key are contiguous inside a task; adding the counts of the earlier tasks places them.
     spread = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
     spread = settle(spread.withColumn("_at", F.monotonically_increasing_id()))
-    spread = spread.withColumn("_task", F.shiftright("_at", 33))
-    runs = spread.groupBy(*keys, "_task").agg(
+    # As one struct the keys are never null themselves, so rows with a null key find their run.
+    spread = spread.withColumns({
+        "_task": F.shiftright("_at", 33), "_key": F.struct(*keys),
+    })
+    runs = spread.groupBy("_key", "_task").agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first")
     )
-    earlier = Window.partitionBy(*keys).orderBy("_task").rowsBetween(
+    earlier = Window.partitionBy("_key").orderBy("_task").rowsBetween(
         Window.unboundedPreceding, -1
     )
     runs = runs.select(
-        *keys, "_task", "_first",
+        "_key", "_task", "_first",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
     )
-    placed = lookup_join(spread, runs, [*keys, "_task"], "inner", derived=True)
+    placed = lookup_join(spread, runs, ["_key", "_task"], "inner", derived=True)
     return placed.withColumn(
         position, (F.col("_before") + F.col("_at") - F.col("_first") + 1).cast("bigint")
-    ).drop("_at", "_task", "_first", "_before")
+    ).drop("_at", "_task", "_key", "_first", "_before")
 
 
 def numbered(
     df: DataFrame, keys: list[str], order: list[str],
     *, position: str = "position", group_limit: int | None = None,
 ) -> DataFrame:
-    """1-based position of each row in its ordered run. ``keys`` must not be null and
+    """1-based position of each row in its ordered run; null keys are a run like any other.
     ``order`` should end in a unique column, which makes the order stable."""
     limit = GROUP_LIMIT if group_limit is None else group_limit
     if largest_group(df, keys) <= limit:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stillwell import schemas
 from stillwell.operators.audit import chunk_totals, fetch_outcomes, require_no_fatal
+from stillwell.operators.grouping import last_per_key
 from stillwell.operators.mapping import good_rows, is_failed
 from stillwell.plans.months import (
     digest_plan, keyed_plan, month_plan, open_chunks, with_chunk,
@@ -15,10 +16,10 @@ from stillwell.session import pin, settle
 from stillwell.sinks import state as progress
 from stillwell.sinks.entities import upsert_entities
 from stillwell.sinks.observations import replace_window_in_place
-from stillwell.sinks.raw import append_load
+from stillwell.sinks.raw import append_load, load_folder
 from stillwell.sinks.zone import Zone
-from stillwell.sources.landing import window_readings
-from stillwell.sources.scan import scan_load
+from stillwell.sources.landing import damaged_pages, window_readings
+from stillwell.sources.scan import scan_written
 from stillwell.sources.specs import SourceSpec
 
 Fetch = Callable[[object, object], tuple[DataFrame, DataFrame | None]]
@@ -100,9 +101,12 @@ def run_chunk(
         bad = outcomes.where(F.col("outcome") == "error").count()
         if bad:
             raise RuntimeError(f"{bad} station(s) failed to fetch in [{start}, {end})")
+    damaged = damaged_pages(pages).agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
+    if damaged:
+        raise RuntimeError(f"{damaged} damaged page(s) in [{start}, {end})")
     landed = window_readings(pages, ids, int(start.timestamp()), int(end.timestamp()))
     load_id = append_load(landed, zone.backfill(spec))
-    raw = scan_load(spark, zone.backfill(spec), spec.schema, load_id)
+    raw = scan_written(spark, load_folder(zone.backfill(spec), load_id), spec.schema)
 
     flagged = spec.flagged(raw)
     outcomes = settle(spec.outcomes(flagged))
@@ -143,6 +147,9 @@ def run_backfill(
     state and watermarks commit together, after the data, so a failed chunk is open again.
     """
     pin(spark)
+    # Of a station listed twice the last row counts.
+    listed = stations.withColumn("_row", F.monotonically_increasing_id())
+    stations = settle(last_per_key(listed, ["id"], ["_row"]).select(*stations.columns))
     requested = list(spec.default_ids if requested is None else requested)
     ids = settle(resolve_ids(spark, requested, stations))
     plan = plan_chunks(spark, start, end, requested, ids)

@@ -13,7 +13,7 @@ from stillwell.sinks import state as progress
 from stillwell.sinks.entities import upsert_entities
 from stillwell.sinks.observations import read_batch, read_observations, write_batch
 from stillwell.sinks.zone import Zone
-from stillwell.sources.scan import folders_since, newest_load, scan_new, scan_stations
+from stillwell.sources.scan import newest_load, paths_since, scan_new, scan_stations
 from stillwell.sources.specs import SourceSpec
 
 
@@ -92,13 +92,8 @@ def load_batch(
     return {**stats, **totals, "results": results, "quarantined": quarantined}
 
 
-def run_daily(
-    spark: SparkSession, spec: SourceSpec, zone: Zone, *, dated: bool = True
-) -> dict:
-    """Process every load newer than the last committed one.
-
-    ``dated`` says that loads lie in folders of their load date, which bounds the listing;
-    without it every folder under the raw table is listed.
+def run_daily(spark: SparkSession, spec: SourceSpec, zone: Zone) -> dict:
+    """Process every load newer than the last committed one, wherever its files lie.
 
     The batch is named after the committed load it starts from: an attempt that failed
     before its commit is overwritten by the next, even if more loads arrived meanwhile.
@@ -107,13 +102,13 @@ def run_daily(
     place = zone.progress(spec.dataset)
     origin, snapshot = progress.origin(spark, place)
     since = progress.last_load(progress.read_state(spark, place, snapshot), spec.dataset)
-    root = folders_since(zone.raw(spec), since) if dated else zone.raw(spec)
-    newest = newest_load(spark, root, since)
+    paths = paths_since(spark, zone.raw(spec), since)
+    newest = newest_load(spark, paths, since)
     if newest is None or newest == since:
         return {"rows_read": 0, "bundles_loaded": 0, "observations_posted": 0,
                 "observations_skipped": 0, "watermark_before": since, "watermark_after": newest,
                 "results": None}
-    raw = scan_new(spark, root, spec.schema, since, until=newest)
+    raw = scan_new(spark, paths, spec.schema, since, until=newest)
     batch = f"daily-{origin}-{0 if since is None else since:.6f}"
     mark = progress.load_rows(spark, spec.dataset, newest)
     return load_batch(

@@ -41,11 +41,13 @@ def _overwrite(rows: DataFrame, root: str) -> None:
 
 
 def _empty(spark: SparkSession, root: str, folders: DataFrame) -> None:
-    """Leave the given folders without rows. Only folder names reach the driver."""
-    nothing = spark.createDataFrame([], schemas.OBSERVATION).coalesce(1)
+    """Remove the given folders. Only their names reach the driver, and no job runs for them."""
+    jvm = spark._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    files = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     for row in folders.select(*FOLDERS).collect():
-        path = "/".join(f"{name}={row[name]}" for name in FOLDERS)
-        nothing.write.mode("overwrite").parquet(f"{root}/{path}")
+        path = "/".join(f"{name}={escape(row[name])}" for name in FOLDERS)
+        files.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{path}"), True)
 
 
 def write_batch(obs: DataFrame, root: str, agency: str, batch: str) -> None:
@@ -85,9 +87,10 @@ def replace_window_in_place(
     """Replace ``[start, end)`` of every datastream in ``new`` and return counts per
     datastream. ``keys`` may name more datastreams, whose window is then cleared as well.
 
-    Only folders that lose a row are rewritten. Folders left without rows are emptied before
-    the rest is swapped in, so an interrupted run leaves a gap and never a double; running
-    the same window again closes it.
+    Only folders that lose a row are rewritten. The window is deleted first: folders that
+    lose every row go, the others are rewritten with what is left. Then the new rows are
+    written, in a commit of their own. So an interrupted run leaves a gap and never a double;
+    running the same window again closes it.
     """
     new = settle(accepted(new.select(*schemas.OBSERVATION.names)))
     require_inside(new, start, end)
@@ -112,13 +115,13 @@ def replace_window_in_place(
     # Row totals come from file footers alone, so finding the emptied folders is cheap.
     lost = losses.groupBy(*FOLDERS).agg(F.sum("n").alias("lost"))
     totals = affected.groupBy(*FOLDERS).agg(F.count(F.lit(1)).alias("held"))
-    emptied = (
-        lost.join(totals, FOLDERS).where(F.col("lost") == F.col("held"))
-        .join(placed.select(*FOLDERS).distinct(), FOLDERS, "left_anti")
-    )
+    emptied = lost.join(totals, FOLDERS).where(F.col("lost") == F.col("held"))
     _empty(spark, root, emptied)
-    # Listed again: the emptied folders no longer hold the files seen above.
+    # Listed again: the emptied folders are gone.
     affected = lookup_join(_months(spark, root, agency, months), folders, FOLDERS, "left_semi")
-    kept = kept_by(affected, wanted, start, end, small=small)
-    _overwrite(kept.select(*schemas.STORED_OBSERVATION.names).unionByName(placed), root)
+    kept = kept_by(affected, wanted, start, end, small=small).select(
+        *schemas.STORED_OBSERVATION.names)
+    left = settle(kept.where(F.col("batch") == batch))  # of an earlier attempt, other streams
+    _overwrite(kept, root)
+    _overwrite(left.unionByName(placed), root)
     return window_results(new, losses, watermarks, counted="n")

@@ -5,26 +5,54 @@ Payload files are read with explicit schemas. A page of readings arrives as one
 name its station; one JSON line is one bounded page, so the files split freely.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from stillwell import schemas
 from stillwell.functions import reading_id
-from stillwell.operators.filters import cut_pages, only_stations, within
+from stillwell.operators.filters import cut_pages, only_stations
 from stillwell.operators.joins import fits_broadcast, lookup_join
 
 
+DAMAGED = "_corrupt_record"
+
+
+def _with_damaged(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(DAMAGED, T.StringType())])
+
+
 def read_reading_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.READING_PAGE).json(path)
+    """One page per line; a line that is no whole page keeps its text in ``DAMAGED``."""
+    return spark.read.schema(_with_damaged(schemas.READING_PAGE)).json(path)
 
 
 def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
     """Whole payload files under ``location_id=…/page=…`` folders, as reading pages."""
     located = schemas.READING_PAYLOAD
-    files = spark.read.schema(located).option("multiLine", "true").json(path)
+    files = spark.read.schema(_with_damaged(located)).option("multiLine", "true").json(path)
     return files.select(
         F.col("location_id").cast("bigint"), F.col("page").cast("bigint"),
-        F.struct(*located.names).alias("payload"),
+        F.struct(*located.names).alias("payload"), DAMAGED,
+    )
+
+
+def damaged_pages(pages: DataFrame) -> DataFrame:
+    """Damaged pages per station; a null station where the line does not tell it."""
+    if DAMAGED not in pages.columns:
+        return pages.select("location_id", F.lit(0).cast("bigint").alias("pages")).limit(0)
+    named = F.regexp_extract(DAMAGED, r'"location_id"\s*:\s*(\d+)', 1).try_cast("bigint")
+    return (
+        pages.select(F.coalesce("location_id", named).alias("location_id"), DAMAGED)
+        .where(F.col(DAMAGED).isNotNull())
+        .groupBy("location_id").agg(F.count(F.lit(1)).alias("pages"))
+    )
+
+
+def require_intact(rows: DataFrame, what: str) -> DataFrame:
+    """``rows`` without ``DAMAGED``; reading a damaged record fails instead of losing it."""
+    whole = F.when(F.col(DAMAGED).isNull(), F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"damaged record in {what}")).cast("boolean")
     )
+    return rows.where(whole).drop(DAMAGED)
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
@@ -51,10 +79,12 @@ def logger_readings(pages: DataFrame, ids=None) -> DataFrame:
 
 
 def window_readings(pages: DataFrame, ids, start: int, end: int) -> DataFrame:
-    """Raw rows of a backfill window ``[start, end)`` in seconds, with the page cut-off."""
+    """Raw rows of a backfill window ``[start, end)`` in seconds, with the page cut-off.
+    Readings without a time stay in, since nothing says that they lie outside."""
     rows = flatten_pages(only_stations(pages, ids))
-    rows = cut_pages(rows.where(F.col("timestamp") >= start), end)
-    return within(rows, start, end).select(*schemas.LOGGER_READINGS.names)
+    timeless = F.col("timestamp").isNull()  # these fail their station in the quarantine
+    rows = cut_pages(rows.where(timeless | (F.col("timestamp") >= start)), end)
+    return rows.select(*schemas.LOGGER_READINGS.names)
 
 
 def merge_pages(pages: DataFrame) -> DataFrame:
@@ -76,8 +106,9 @@ def merge_pages(pages: DataFrame) -> DataFrame:
 
 def read_stations(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
     """The station list payload: JSON array files, or one station per line."""
-    reader = spark.read.schema(schemas.STATION_PAYLOAD)
-    return reader.option("multiLine", str(not lines).lower()).json(path)
+    reader = spark.read.schema(_with_damaged(schemas.STATION_PAYLOAD))
+    stations = reader.option("multiLine", str(not lines).lower()).json(path)
+    return require_intact(stations, "the station list")
 
 
 def flatten_stations(stations: DataFrame) -> DataFrame:
@@ -89,7 +120,8 @@ def flatten_stations(stations: DataFrame) -> DataFrame:
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """Feature collections, one per line."""
-    return spark.read.schema(schemas.FEATURE_PAYLOAD).json(path)
+    features = spark.read.schema(_with_damaged(schemas.FEATURE_PAYLOAD)).json(path)
+    return require_intact(features, "a feature collection")
 
 
 def attributes(features: DataFrame) -> DataFrame:
@@ -124,7 +156,8 @@ def city_readings(measurements: DataFrame, stations: DataFrame) -> DataFrame:
 def read_name_table(spark: SparkSession, path: str) -> DataFrame:
     """The vendor's parameter and unit names as rows (kind, code, name)."""
     shape = "parameters map<string,string>, units map<string,string>"
-    return name_rows(spark.read.schema(shape).option("multiLine", "true").json(path))
+    names = spark.read.schema(f"{shape}, {DAMAGED} string").option("multiLine", "true").json(path)
+    return name_rows(require_intact(names, "the name table"))
 
 
 def name_rows(names: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ A load id is the leading decimal of a file name (``1781192390.555875.0.parquet``
 prunes files while Spark lists them, so files of old loads are never opened.
 """
 
-from datetime import datetime, timedelta, timezone
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -32,23 +32,38 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def folders_since(root: str, since: float | None) -> str:
-    """The date folders that may hold loads newer than ``since``, as one path pattern.
+def paths_since(spark: SparkSession, root: str, since: float | None) -> list[str]:
+    """The load folders and files under ``root`` that are newer than ``since``.
 
-    Folders carry the date of their load, so a run after the first lists a month or two
-    instead of the whole history. One day of slack allows for clocks and time zones.
+    Load folders this package wrote are told by their name and not listed any further, so
+    old loads cost one name each. Files of any other layout are picked by their own load id,
+    in whatever folder they lie.
     """
     if since is None:
-        return root
-    first = datetime.fromtimestamp(since, timezone.utc) - timedelta(days=1)
-    last = datetime.now(timezone.utc).year + 1
-    parts = [f"year={first.year:04d}/month={month:02d}" for month in range(first.month, 13)]
-    parts += [f"year={year:04d}" for year in range(first.year + 1, last + 1)]
-    return f"{root}/{{{','.join(parts)}}}"
-
-
-def list_loads(spark: SparkSession, root: str) -> DataFrame:
+        return [root]
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    found, open_ = [], [path]
+    while open_:
+        for entry in files.listStatus(open_.pop()):
+            name, at = entry.getPath().getName(), entry.getPath().toString()
+            if entry.isDirectory():
+                own = re.fullmatch(r"load_id=(\d+\.\d+)", name)
+                if own is None:
+                    open_.append(entry.getPath())
+                elif float(own[1]) > since:
+                    found.append(at)
+            elif (own := re.match(r"(\d+\.\d+)\..*parquet$", name)) and float(own[1]) > since:
+                found.append(at)
+    return sorted(found)
+
+
+def list_loads(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """Every data file with its load id; contents are not read."""
+    if not root:
+        return spark.createDataFrame([], "path string, load_id double")
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     except AnalysisException as error:
@@ -59,15 +74,16 @@ def list_loads(spark: SparkSession, root: str) -> DataFrame:
     return parquet.select("path", load_id_of(F.col("path")).alias("load_id"))
 
 
-def newest_load(spark: SparkSession, root: str, since: float | None = None) -> float | None:
+def newest_load(spark: SparkSession, root: str | list[str], since: float | None = None) -> float | None:
     """Highest load id over files (not rows), never below ``since``."""
     newest = list_loads(spark, root).agg(F.max("load_id")).first()[0]
     known = [value for value in (newest, since) if value is not None]
     return max(known) if known else None
 
 
-def _scan(spark: SparkSession, root: str, schema: T.StructType, chosen: Column) -> DataFrame:
-    files = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
+def _scan(spark: SparkSession, root, schema: T.StructType, chosen: Column) -> DataFrame:
+    paths = [root] if isinstance(root, str) else root
+    files = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
     return files.where(chosen).select(
         *schema.names,
         load_id_of(F.col("_metadata.file_path")).alias("load_id"),
@@ -83,6 +99,8 @@ def _empty_scan(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def _guarded(spark, root, schema, chosen) -> DataFrame:
+    if not root:
+        return _empty_scan(spark, schema)
     try:
         return _scan(spark, root, schema, chosen)
     except AnalysisException as error:
@@ -92,7 +110,7 @@ def _guarded(spark, root, schema, chosen) -> DataFrame:
 
 
 def scan_new(
-    spark: SparkSession, root: str, schema: T.StructType,
+    spark: SparkSession, root: str | list[str], schema: T.StructType,
     since: float | None = None, until: float | None = None,
 ) -> DataFrame:
     """Rows of files newer than ``since`` (all named files when None), up to ``until``.
@@ -110,11 +128,16 @@ def scan_new(
 
 
 def scan_load(spark: SparkSession, root: str, schema: T.StructType, load_id: float) -> DataFrame:
-    """Rows of exactly one load."""
+    """Rows of exactly one load, wherever under ``root`` its files lie."""
     wanted = load_id_of(F.col("_metadata.file_path")) == F.lit(float(load_id))
     return _guarded(spark, root, schema, wanted)
 
 
+def scan_written(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """Rows of a load this package has just written to ``folder``; nothing else is listed."""
+    return _guarded(spark, folder, schema, F.lit(True))
+
+
 def scan_stations(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """The station table, last row per id in file and row order. Missing files are an error."""
     missing = FileNotFoundError(f"no station files under {root}; run the ingest first")

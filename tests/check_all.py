@@ -27,7 +27,9 @@ if __name__ == "__main__":
         start = time.time()
         try:
             result = query(spark, folder)
-            problem = differences(result, con, entry.oracle_sql()[name])
+            sql = entry.oracle_sql().get(name)
+            problem = differences(result, con, sql) if sql else (
+                None if result.count() else "no rows")
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failed += problem is not None

@@ -222,3 +222,39 @@ def test_city_ingest_job(spark, tmp_path, zone):
     assert again["rows_yielded"] == 1
     rows = scan.scan_new(spark, zone.raw(CITY_WELLS), CITY_WELLS.schema)
     assert rows.count() == 2 and rows.agg(F.count_distinct("reading_id")).first()[0] == 1
+
+
+def test_ids_take_the_type_of_the_column(spark):
+    landed = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "location_id bigint, x string")
+    for filler in (998, 999):  # 1000 and 1001 ids
+        ids = ["1", "3"] + [f"no-{i}" for i in range(filler)]
+        assert {r[0] for r in only_stations(landed, ids).collect()} == {1, 3}
+    table = spark.createDataFrame([("1",), ("x",)], "id string")
+    assert {r[0] for r in only_stations(landed, table).collect()} == {1}
+
+
+def test_damaged_pages_are_counted_not_lost(spark, tmp_path):
+    whole = '{"location_id": 1, "page": 0, "payload": {"parameters": []}}'
+    path = tmp_path / "pages.json"
+    path.write_text("\n".join([whole, whole.replace("1", "2", 1)[:-9], whole[:8]]) + "\n")
+    pages = landing.read_reading_pages(spark, str(path))
+    found = {r["location_id"]: r["pages"] for r in landing.damaged_pages(pages).collect()}
+    assert found == {2: 1, None: 1}
+    assert landing.flatten_pages(pages).count() == 0
+
+
+def test_damaged_station_lists_are_refused(spark, tmp_path):
+    path = tmp_path / "stations.json"
+    path.write_text('{"id": 1, "name": "a"}\n{"id": 2, "na')
+    with pytest.raises(Exception, match="damaged record"):
+        landing.flatten_stations(landing.read_stations(spark, str(path), lines=True)).collect()
+
+
+def test_readings_without_a_time_reach_the_quarantine(spark):
+    pages = spark.createDataFrame(
+        [(1, 0, ([("4", "35", None, [(100, 1.0), (None, 2.0), (900, 3.0)])],))],
+        "location_id bigint, page bigint, payload struct<parameters: array<struct<parameterId: "
+        "string, unitId: string, customParameter: boolean, "
+        "readings: array<struct<timestamp: bigint, value: double>>>>>")
+    got = landing.window_readings(pages, [1], 0, 200)
+    assert sorted(str(r["timestamp"]) for r in got.collect()) == ["100", "None"]

@@ -111,20 +111,35 @@ def test_many_loads_in_one_write(spark, tmp_path):
     assert {r["load_id"] for r in scan.list_loads(spark, root).collect()} == {1.25, 2.25}
 
 
-def test_only_folders_that_may_be_new_are_listed(spark, tmp_path):
-    root = str(tmp_path / "t")
-    days = {"2025-12-31": 1767139200.5, "2026-01-31": 1769817600.5, "2026-02-02": 1769990400.5}
-    for load_id in days.values():
-        append_load(rows_of(spark, (1, "4", 1)), root, load_id)
+def test_new_loads_are_found_in_any_folder(spark, tmp_path):
+    root = tmp_path / "t"
+    own = [1767139200.5, 1769817600.5, 1769990400.5]
+    for load_id in own:
+        append_load(rows_of(spark, (1, "4", 1)), str(root), load_id)
+
+    def foreign(folder, load_id):
+        made = str(tmp_path / f"one-{load_id}")
+        rows_of(spark, (2, "4", 2)).coalesce(1).write.parquet(made)
+        (root / folder).mkdir(parents=True, exist_ok=True)
+        part = next(pathlib.Path(made).glob("part-*"))
+        shutil.copy(part, root / folder / f"{load_id:.6f}.0.parquet")
+
+    foreign("year=2024/month=01/day=01", 1769990401.5)  # a new load in an old folder
+    foreign("copied", 1950000000.25)  # far ahead, outside the dated pattern
+    foreign("year=2024/month=01/day=02", 1700000000.5)
+
     def listed(since):
-        found = scan.list_loads(spark, scan.folders_since(root, since)).select("load_id")
-        return sorted({r[0] for r in found.collect()})
-    assert listed(None) == sorted(days.values())
-    assert listed(days["2026-01-31"]) == [days["2026-01-31"], days["2026-02-02"]]
-    assert listed(days["2026-02-02"] + 86400) == [days["2026-02-02"]]
-    later = scan.folders_since(root, 1796083200.0)
-    assert scan.newest_load(spark, later, 1796083200.0) == 1796083200.0
-    assert scan.scan_new(spark, later, SCHEMA, 1796083200.0).count() == 0
+        paths = scan.paths_since(spark, str(root), since)
+        return sorted({r["load_id"] for r in scan.list_loads(spark, paths).collect()})
+
+    assert listed(None) == sorted([*own, 1769990401.5, 1950000000.25, 1700000000.5])
+    assert listed(own[1]) == [own[2], 1769990401.5, 1950000000.25]
+    assert listed(2e9) == [] and scan.paths_since(spark, str(tmp_path / "none"), 1.0) == []
+    paths = scan.paths_since(spark, str(root), own[2])
+    assert scan.newest_load(spark, paths, own[2]) == 1950000000.25
+    assert scan.scan_new(spark, paths, SCHEMA, own[2]).count() == 2
+    assert scan.newest_load(spark, [], own[2]) == own[2]
+    assert scan.scan_new(spark, [], SCHEMA, own[2]).count() == 0
 
 
 def test_station_scan_keeps_the_last_row(spark, tmp_path):
