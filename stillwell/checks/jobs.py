@@ -155,6 +155,19 @@ def dry_run_counts(spark, folder):
                          "observations", "failed_stations")
 
 
+@check("""SELECT strftime(greatest(m, DATE '2024-01-05'), '%Y-%m-%d') AS chunk_start,
+           strftime(least(m + INTERVAL 1 MONTH, DATE '2024-03-09'), '%Y-%m-%d') AS chunk_end,
+           (SELECT count(DISTINCT s_suppkey) FROM supplier) AS locations
+    FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-03-01', INTERVAL 1 MONTH)) AS m)""")
+def dry_run_plan(spark, folder):
+    """The chunks a backfill of every station would run."""
+    plan = backfill.dry_run(spark, date(2024, 1, 5), date(2024, 3, 9), [],
+                            S.stations(spark, folder))
+    day = "yyyy-MM-dd"
+    return plan.select(F.date_format("chunk_start", day).alias("chunk_start"),
+                       F.date_format("chunk_end", day).alias("chunk_end"), "locations")
+
+
 @check(W("readings", "log") + """SELECT reading_id, location_id, "timestamp", parameter_id, value
     FROM readings
     WHERE location_id IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 20)

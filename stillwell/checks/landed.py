@@ -193,7 +193,7 @@ def diver_wells(spark, folder):
 @check("""SELECT concat('sanacaciareach-', user_id) AS location_id,
     epoch_us(ts) // 1000000 AS second, value,
     CASE event_type WHEN 'view' THEN 'approved' ELSE 'unapproved' END AS result_quality
-    FROM events WHERE event_type IN ('view', 'click')""")
+    FROM events""")
 def diver_levels(spark, folder):
     events = S.table(spark, folder, "events")
     second = F.unix_seconds(F.col("ts").cast("timestamp"))
@@ -203,7 +203,7 @@ def diver_levels(spark, folder):
         F.concat(F.lit("sanacaciareach-"), F.col("user_id").cast("string")).alias("uid"),
         F.when(F.col("event_type") == "view", one).otherwise(nothing)
         .alias("approvedWaterLevelsGs"),
-        F.when(F.col("event_type") == "click", one).otherwise(nothing)
+        F.when(F.col("event_type") == "view", nothing).otherwise(one)
         .alias("unApprovedWaterLevelsGs"),
     )
     obs = DIVERS.observations(landing.flatten_levels(levels))

@@ -555,6 +555,17 @@ def ingest_stats(spark, folder):
     return audit.ingest_stats(_listed(spark, folder))
 
 
+@check(W("log") + ALLOWED + """SELECT CAST(location_id AS BIGINT) // 3 AS part,
+    count(*) FILTER (outcome = 'error') > 0 AND count(*) FILTER (outcome = 'ok') = 0 AS fails
+    FROM listed GROUP BY 1""")
+def failed_ingests(spark, folder):
+    """Which parts of the stations would fail an ingest of their own."""
+    part = F.floor(F.col("location_id").cast("bigint") / 3).alias("part")
+    parts = _listed(spark, folder).select(part, "outcome")
+    return audit.ingest_stats_by(parts, ["part"]).select(
+        "part", audit.all_failed().alias("fails"))
+
+
 @check(W("log") + ALLOWED + "SELECT location_id FROM listed WHERE outcome = 'error'")
 def failed_fetches(spark, folder):
     return audit.failed_fetches(_listed(spark, folder))

@@ -39,10 +39,15 @@ def require_no_fatal(outcomes: DataFrame) -> None:
 
 def ingest_stats(outcomes: DataFrame, rows: int | Column = 0) -> DataFrame:
     """Totals of an ingest run. ``outcomes`` may hold ``skipped`` for stations not asked for."""
+    return ingest_stats_by(outcomes, [], rows)
+
+
+def ingest_stats_by(outcomes: DataFrame, keys: list[str], rows: int | Column = 0) -> DataFrame:
+    """The same totals per group of stations."""
     def of(kind):
         return F.count_if(F.col("outcome") == kind)
 
-    return outcomes.agg(
+    return outcomes.groupBy(*keys).agg(
         (F.lit(rows) if isinstance(rows, int) else rows).cast("bigint").alias("rows_yielded"),
         of("ok").alias("locations_fetched"), of("skipped").alias("locations_skipped"),
         of("no_data").alias("locations_no_data"), of("error").alias("locations_errored"),
@@ -55,10 +60,15 @@ def failed_fetches(outcomes: DataFrame) -> DataFrame:
     return failed.select("location_id").orderBy("location_id")
 
 
+def all_failed() -> Column:
+    """Whether an ingest with these statistics counts as failed: errors, and nothing fetched."""
+    return (F.col("locations_errored") > 0) & (F.col("locations_fetched") == 0)
+
+
 def require_some_success(stats: DataFrame) -> None:
     """An ingest fails when stations errored and none was fetched."""
-    row = stats.first()
-    if row["locations_errored"] > 0 and row["locations_fetched"] == 0:
+    row = stats.withColumn("_failed", all_failed()).first()
+    if row["_failed"]:
         raise RuntimeError(f"all fetches failed ({row['locations_errored']} errored, 0 fetched)")
 
 

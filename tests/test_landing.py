@@ -258,3 +258,48 @@ def test_readings_without_a_time_reach_the_quarantine(spark):
         "readings: array<struct<timestamp: bigint, value: double>>>>>")
     got = landing.window_readings(pages, [1], 0, 200)
     assert sorted(str(r["timestamp"]) for r in got.collect()) == ["100", "None"]
+
+
+def _ingest(spark, zone, landed, *entries):
+    stations = spark.createDataFrame([(i, f"n{i}", "", (1.0, 2.0)) for i in (1, 2)],
+                                     schemas.STATION_PAYLOAD)
+    return run_ingest(spark, LOGGERS, zone, station_list=stations, pages=landed, allowed=[1, 2],
+                      start_ts=5, log=log(spark, *entries))
+
+
+def test_a_retried_ingest_replaces_its_load(spark, tmp_path, zone, monkeypatch):
+    from stillwell.plans import ingest
+    from stillwell.plans.daily import run_daily
+
+    landed = pages(spark, tmp_path, (1, 1, payload((10, 1.0), (20, 2.0))))
+    ok = ("1", 1, 200, None)
+    real = ingest.progress.commit_state
+    monkeypatch.setattr(ingest.progress, "commit_state", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        _ingest(spark, zone, landed, ok)
+    monkeypatch.setattr(ingest.progress, "commit_state", real)
+    _ingest(spark, zone, landed, ok)
+    assert scan.scan_new(spark, zone.raw(LOGGERS), LOGGERS.schema).count() == 2
+    assert run_daily(spark, LOGGERS, zone)["observations_posted"] == 2
+    again = _ingest(spark, zone, landed, ok)  # the cursor leaves out what is known
+    assert again["rows_yielded"] == 1
+
+
+def test_a_damaged_page_is_an_error_of_its_station(spark, tmp_path, zone):
+    path = tmp_path / "pages.json"
+    good = json.dumps({"location_id": 1, "page": 1, "payload": payload((10, 1.0))})
+    path.write_text(good + "\n" + good.replace('"location_id": 1', '"location_id": 2')[:-5] + "\n")
+    landed = landing.read_reading_pages(spark, str(path))
+    report = _ingest(spark, zone, landed, ("1", 1, 200, None), ("2", 1, 200, None))
+    assert report["locations_fetched"] == 1 and report["locations_errored"] == 1
+    state = read_state(spark, zone.progress(LOGGERS.dataset))
+    assert [r["location_id"] for r in cursors(state, LOGGERS.dataset).collect()] == ["1"]
+
+
+def test_nothing_is_written_if_no_station_was_fetched(spark, tmp_path, zone):
+    landed = pages(spark, tmp_path, (1, 1, payload((10, 1.0))))
+    with pytest.raises(RuntimeError):
+        _ingest(spark, zone, landed, ("1", 1, 503, None), ("2", 1, 503, None))
+    assert scan.newest_load(spark, zone.raw(LOGGERS)) is None
+    with pytest.raises(FileNotFoundError):
+        scan.scan_stations(spark, zone.stations(LOGGERS), schemas.LOGGER_STATIONS)

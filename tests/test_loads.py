@@ -364,3 +364,27 @@ def test_a_batch_can_be_loaded_directly(spark, loggers):
         {"load_id": F.lit(1.5), "file": F.lit("f"), "row": F.lit(0).cast("bigint")})
     report = load_batch(spark, LOGGERS, loggers, rows, batch="b", scope="s")
     assert report["observations_posted"] == 1
+
+
+def test_a_replace_that_stops_between_its_commits_leaves_no_double(spark, zone, monkeypatch):
+    from stillwell.sinks import observations
+
+    stored(spark, zone)
+    new = obs(spark, ("a", "2026-01-05", 9.0), ("a", "2026-01-31 23:59:59", 8.0))
+    real, calls = observations._overwrite, []
+
+    def stops(rows, root):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        real(rows, root)
+
+    monkeypatch.setattr(observations, "_overwrite", stops)
+    with pytest.raises(RuntimeError, match="lost"):
+        replace(spark, zone, new)
+    left = target(spark, zone)
+    assert len({(k, t) for k, t, _ in left}) == len(left)
+    assert [v for _, _, v in left] == [3.0, 4.0]
+    monkeypatch.setattr(observations, "_overwrite", real)
+    replace(spark, zone, new)
+    assert [v for _, _, v in target(spark, zone)] == [9.0, 8.0, 3.0, 4.0]
