@@ -10,9 +10,6 @@ import os
 import numpy as np
 
 OPEN = 0xFF  # stands in the transform where the next symbol is not known yet; no UTF-8 byte
-_FILES = (("transform", np.uint8), ("prefix", np.uint8), ("owner", np.int64))
-
-
 class Collection:
     """``strings`` of at least ``depth`` bytes; common prefixes are counted up to ``depth``."""
 
@@ -22,22 +19,28 @@ class Collection:
         self.width = int(self.sizes.max())
         columns = b"".join(s.rjust(self.width, b"\0") for s in strings)
         self.symbols = np.frombuffer(columns, np.uint8).reshape(-1, self.width)
-        n = len(strings)
+        n, owners = len(strings), len(strings) * (self.width + 1)
+        self.kinds = (np.uint8, np.uint8, np.uint32 if owners < 2**32 else np.uint64)
         # Each string starts with its empty suffix; these stand first, in the order of strings.
         self.place = np.arange(n)
         self._write(np.full(n, OPEN, np.uint8), np.zeros(n, np.uint8),
-                    np.arange(n, dtype=np.int64) << 32)
+                    self._owner(np.arange(n), 0))
+
+    def _owner(self, string, size):
+        return (string * (self.width + 1) + size).astype(self.kinds[2])
+
+    def _file(self, name: str) -> str:
+        return os.path.join(self.folder, f"{name}-{self.round}")
 
     def _write(self, *columns) -> None:
-        for (name, _), column in zip(_FILES, columns):
-            column.tofile(os.path.join(self.folder, f"{name}-{self.round}"))
+        for name, column in zip(("transform", "prefix", "owner"), columns):
+            column.tofile(self._file(name))
 
     def _read(self) -> list[np.ndarray]:
         out = []
-        for name, kind in _FILES:
-            path = os.path.join(self.folder, f"{name}-{self.round}")
-            out.append(np.fromfile(path, kind))
-            os.remove(path)
+        for name, kind in zip(("transform", "prefix", "owner"), self.kinds):
+            out.append(np.fromfile(self._file(name), kind))
+            os.remove(self._file(name))
         return out
 
     def insert(self) -> None:
@@ -45,46 +48,42 @@ class Collection:
         transform, prefix, owner = self._read()
         self.round += 1
         active = np.flatnonzero(self.sizes >= self.round)
-        symbol = self.symbols[active, self.width - self.round]
-        transform[self.place[active]] = symbol
-        counts = np.bincount(transform, minlength=256)
-        counts[OPEN] = 0
-        base = len(self.sizes) + np.r_[0, np.cumsum(counts)[:-1]]
-        by_symbol = np.lexsort((self.place[active], symbol))
-        active, symbol = active[by_symbol], symbol[by_symbol]
-        at = self.place[active]
-        target, common = np.empty(len(active), np.int64), np.zeros(len(active), np.int64)
-        after, after_common = [], []
-        cuts = np.flatnonzero(np.r_[True, symbol[1:] != symbol[:-1], True])
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            c = symbol[lo]
-            found = np.flatnonzero(transform == c)
-            rank = np.searchsorted(found, at[lo:hi])
-            target[lo:hi] = base[c] + rank
-            # A suffix shares with the one before it in its bucket one symbol more than their
-            # tails do, and the tails share the least of what lies between them.
-            has = rank > 0
-            common[lo:hi][has] = 1 + lowest(prefix, found[rank[has] - 1] + 1, at[lo:hi][has])
-            # The same holds for an older suffix that now follows a new one.
-            older = np.ones(len(found) + 1, bool)
-            older[rank], older[-1] = False, False
-            ends = older[rank + 1]
-            after.append(base[c] + rank[ends] + 1)
-            nexts = found[rank[ends] + 1]
-            after_common.append(1 + lowest(prefix, at[lo:hi][ends] + 1, nexts))
+        transform[self.place[active]] = self.symbols[active, self.width - self.round]
+        # Suffixes stand in the order of their first symbol, and of the place where it stands in
+        # the transform: the i-th symbol in this order begins the i-th suffix.
+        order = np.argsort(transform, kind="stable")
         n, m = len(transform), len(active)
+        rank = np.empty(n, np.int64)
+        rank[order] = np.arange(n)
+        own = np.sort(rank[self.place[active]])
+        new = np.zeros(n + 1, bool)
+        new[own] = True
+        at = order[own]
+        # A suffix shares with the one before it, if that begins alike, one symbol more than their
+        # tails do, and the tails share the least of what lies between them.
+        before = order[own - 1]
+        alike = (own > 0) & (transform[before] == transform[at])
+        common = np.zeros(m, np.int64)
+        common[alike] = 1 + lowest(prefix, before[alike] + 1, at[alike])
+        # The same holds for an older suffix that now follows a new one.
+        after = order[np.minimum(own + 1, n - 1)]
+        alike = (own + 1 < n) & ~new[own + 1] & (transform[after] == transform[at])
+        after_common = 1 + lowest(prefix, at[alike] + 1, after[alike])
+        target = own + len(self.sizes)
         old = np.ones(n + m, bool)
         old[target] = False
+        string = np.empty(n, np.int64)
+        string[self.place[active]] = active
+        string = string[at]
         grown = []
         for column, value in ((transform, OPEN), (prefix, np.minimum(common, self.depth)),
-                              (owner, active.astype(np.int64) << 32 | self.round)):
-            new = np.empty(n + m, column.dtype)
-            new[old] = column
-            new[target] = value
-            grown.append(new)
-        later = np.concatenate(after)
-        grown[1][later] = np.minimum(np.concatenate(after_common), self.depth)
-        self.place[active] = target
+                              (owner, self._owner(string, self.round))):
+            column_grown = np.empty(n + m, column.dtype)
+            column_grown[old] = column
+            column_grown[target] = value
+            grown.append(column_grown)
+        grown[1][target[alike] + 1] = np.minimum(after_common, self.depth)
+        self.place[string] = target
         self._write(*grown)
 
     def build(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,8 +91,8 @@ class Collection:
         while self.round < self.width:
             self.insert()
         _, prefix, owner = self._read()
-        string = owner >> 32
-        return prefix, string, self.sizes[string] - (owner & 0xFFFFFFFF)
+        string, size = np.divmod(owner.astype(np.int64), self.width + 1)
+        return prefix, string, self.sizes[string] - size
 
 
 def lowest(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
