@@ -35,7 +35,7 @@ from stillwell.llm.near_dedup import grouped, runs
 
 LENGTH, PIECE = 100, 64
 HOT = 8192
-SEGMENT = 4 << 20
+SEGMENT = 1 << 20
 TASK_FRAGMENTS = 1_000_000
 TASK_PLACES = 250_000
 STRINGS = 6000
@@ -49,7 +49,7 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         for i, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(2 * n, base, np.uint64)
+            steps = np.full(n + n // 8, base, np.uint64)
             steps[0] = 1
             _powers[i] = np.cumprod(steps, dtype=np.uint64)
     return _powers[0][:n], _powers[1][:n]
