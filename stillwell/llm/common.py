@@ -19,7 +19,7 @@ from stillwell.session import durable_dir
 cloudpickle.register_pickle_by_value(stillwell.llm)
 
 ROW = "_row"
-BATCH_ROWS = 256
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,9 +74,10 @@ def map_arrow(
     df: DataFrame, function: Callable[[Iterator[dict]], Iterable[dict]], schema: str,
     *, rows: int = BATCH_ROWS,
 ) -> DataFrame:
-    """``mapInArrow`` over batches of at most ``rows`` rows, with columns as a dict of Arrow
-    arrays, and results as dicts of lists or arrays."""
+    """``mapInArrow`` over batches of at most ``rows`` rows and about ``BATCH_BYTES``, with columns
+    as a dict of Arrow arrays, and results as dicts of lists or arrays."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     wanted = _arrow_schema(df.sparkSession, schema)
     names = df.columns
 

@@ -224,7 +224,7 @@ def html_text(table: DataFrame, pages: int = PAGES) -> DataFrame:
                         F.coalesce("html", F.lit("")).alias("html"))
     n = rows.count()
     share = min(1.0, pages / max(1, n))
-    sample = rows.filter(F.pmod(F.xxhash64("page_id"), F.lit(2**20)) < int(share * 2**20))
+    sample = rows.filter(F.pmod(F.xxhash64("page_id"), F.lit(2**40)) < int(share * 2**40))
     # Very long pages teach no more than others and would weigh on the driver.
     sample = sample.filter(F.length("html") <= 100_000).select("html")
     model = Shared(table.sparkSession, trained(*training_pages(

@@ -226,7 +226,7 @@ def nearest(embeddings: DataFrame, is_query, k: int = 20) -> DataFrame:
         return spark.createDataFrame([], result)
     longest, width, n = shape
     share = min(1.0, SAMPLE / n)
-    sample = entries.filter(F.pmod(F.xxhash64("vector"), F.lit(2**20)) < max(1, int(share * 2**20)))
+    sample = entries.filter(F.pmod(F.xxhash64("vector"), F.lit(2**40)) < max(1, int(share * 2**40)))
     sample = [r[0] for r in sample.select("vector").limit(2 * SAMPLE).collect()]
     if not sample:
         sample = [r[0] for r in entries.select("vector").limit(1).collect()]
