@@ -8,8 +8,6 @@ GEOJSON_ENCODING = "application/geo+json"
 
 # Units as (name, symbol, definition).
 UNIT_FOOT = ("Foot", "ft", "http://www.qudt.org/vocab/unit/FT")
-UNIT_METRE = ("metre", "m", "http://qudt.org/vocab/unit/M")
-UNIT_CFS = ("cubic foot per second", "cfs", "http://qudt.org/vocab/unit/FT3-PER-SEC")
 
 # Sensors as (external_key, name, description, encoding_type, metadata).
 MANUAL_SENSOR = (

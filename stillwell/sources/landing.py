@@ -191,6 +191,18 @@ def observation_parameters() -> Column:
     return F.when(F.size(kept) > 0, kept)
 
 
+def read_wells(spark: SparkSession, path: str) -> DataFrame:
+    """Wells of the third source, one per line."""
+    wells = spark.read.schema(_with_damaged(schemas.WELL_PAYLOAD)).json(path)
+    return require_intact(wells, "the well list")
+
+
+def read_levels(spark: SparkSession, path: str) -> DataFrame:
+    """Levels of the third source, one well's arrays per line."""
+    levels = spark.read.schema(_with_damaged(schemas.LEVEL_PAYLOAD)).json(path)
+    return require_intact(levels, "a level payload")
+
+
 def flatten_levels(levels: DataFrame) -> DataFrame:
     """Depth readings of the third source; the array a reading sits in is its quality."""
     def side(column: str, quality: str) -> DataFrame:

@@ -22,7 +22,6 @@ class SourceSpec:
     name: str
     agency: str
     dataset: str
-    cron: str | None
     schema: T.StructType
     readings_table: str
     stations_table: str | None
@@ -112,7 +111,7 @@ def _description() -> Column:
 
 
 LOGGERS = SourceSpec(
-    name="hydrovu", agency="PVACD", dataset="raw_pvacd", cron="0 6 * * *",
+    name="hydrovu", agency="PVACD", dataset="raw_pvacd",
     schema=schemas.LOGGER_READINGS, readings_table="hydrovu_readings",
     stations_table="hydrovu_locations", backfill_table="hydrovu_backfill_readings",
     sensor=C.LOGGER_SENSOR, location_text=C.LOCATION_MADE,
@@ -129,7 +128,7 @@ def _city_time() -> Column:
 
 
 CITY_WELLS = SourceSpec(
-    name="cabq", agency="CABQ", dataset="raw_cabq", cron="0 8 * * *",
+    name="cabq", agency="CABQ", dataset="raw_cabq",
     schema=schemas.CITY_READINGS, readings_table="cabq_readings", stations_table=None,
     backfill_table="cabq_backfill_readings", sensor=C.MANUAL_SENSOR,
     location_text=C.LOCATION_COLLECTED, keep=lambda raw: raw,
@@ -159,7 +158,7 @@ def diver_stations(wells: DataFrame) -> DataFrame:
 
 
 DIVERS = SourceSpec(
-    name="san_acacia", agency="SanAcaciaReach", dataset="raw_sanacaciareach", cron=None,
+    name="san_acacia", agency="SanAcaciaReach", dataset="raw_sanacaciareach",
     schema=schemas.DIVER_READINGS, readings_table="san_acacia_readings",
     stations_table="san_acacia_locations", backfill_table="san_acacia_backfill_readings",
     sensor=C.DIVER_SENSOR, location_text=C.LOCATION_MADE, keep=lambda raw: raw,
@@ -170,5 +169,3 @@ DIVERS = SourceSpec(
     quality=lambda: F.col("result_quality"), shown_agency="SanAcaciaReach",
     ids_carry_agency=True,
 )
-
-SCHEDULED = [LOGGERS, CITY_WELLS]

@@ -303,3 +303,18 @@ def test_nothing_is_written_if_no_station_was_fetched(spark, tmp_path, zone):
     assert scan.newest_load(spark, zone.raw(LOGGERS)) is None
     with pytest.raises(FileNotFoundError):
         scan.scan_stations(spark, zone.stations(LOGGERS), schemas.LOGGER_STATIONS)
+
+
+def test_diver_payloads_are_read_from_lines(spark, tmp_path):
+    wells, levels = tmp_path / "wells.json", tmp_path / "levels.json"
+    wells.write_text(json.dumps({"uid": "w", "drillingDepth": 612.648, "numberOfScreens": 1}) + "\n")
+    levels.write_text(json.dumps({
+        "uid": "w", "approvedWaterLevelsGs": [{"ts": 1, "gs": 2.0}],
+        "unApprovedWaterLevelsGs": [{"ts": 2, "gs": 3.0}]}) + "\n")
+    assert landing.read_wells(spark, str(wells)).first()["drillingDepth"] == 612.648
+    got = landing.flatten_levels(landing.read_levels(spark, str(levels))).collect()
+    assert {(r["timestamp"], r["result_quality"]) for r in got} == {
+        (1, "approved"), (2, "unapproved")}
+    levels.write_text(levels.read_text() + '{"uid": "x", "appr\n')
+    with pytest.raises(Exception, match="damaged record"):
+        landing.flatten_levels(landing.read_levels(spark, str(levels))).collect()
