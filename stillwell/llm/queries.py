@@ -55,7 +55,8 @@ def op5_near_dedup(spark, sf_dir):
 def op6_best_fit_packing(spark, sf_dir):
     from stillwell.llm.packing import best_fit_packing
     return best_fit_packing(table(spark, sf_dir, "documents"),
-                            public_tokenizers.path("byte_bpe_50k.json"))
+                            public_tokenizers.path("byte_bpe_50k.json"),
+                            ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 @query()
