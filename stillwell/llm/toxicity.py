@@ -9,7 +9,7 @@ vote.
 The model is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``); document frequencies
 cover all documents. Cases: null and empty texts, and texts without such a word, get the calibrated
 share of toxic examples among examples without one; null labels teach nothing; of repeated labels
-the highest counts; without any label the score is 0.5 for all; rows are judged one by one, so
+the highest counts; without any label the score is ``PRIOR`` for all; rows are judged one by one, so
 repeated rows get equal scores; equal nearness is settled by the smaller doc_id.
 """
 
@@ -24,9 +24,10 @@ from stillwell.llm.common import ROW, Shared, documents, map_arrow, stored
 
 SAMPLE_ROWS = 20_000
 MAX_TERMS = 4096
-LEAST_DOCS = 5
-LEAST_Z = 6.0
+LEAST_DOCS = 3
+PRIOR = 0.1  # share of toxic texts before any is seen, with the weight of two texts
 NEIGHBOURS = 15
+CALIBRATED = 2000  # examples, at most, whose votes set the calibration
 BLOCK = 64
 THRESHOLD = 0.3
 _CUTS = bytes(32 if chr(i) in string.punctuation or i < 32 else i for i in range(256))
@@ -48,13 +49,30 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, learn: Column, limit: int)
     share = limit / max(1, known.count())
     part = known
     if share < 1:
-        part = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**20)) < int(share * 2**20))
+        part = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**40)) < int(share * 2**40))
     return stored(docs.join(F.broadcast(part), "doc_id").select(ROW, "doc_id", "text", "toxic"),
                   "examples")
 
 
+def surprising(found: DataFrame, base: float, looked_at: int) -> DataFrame:
+    """Terms seen n times, k of them toxic, that chance does not explain: with a share of ``base``,
+    so many would be toxic with a probability of at most exp(-n KL(k/n || base)); the terms stay
+    for which that times the number of terms looked at is below a half."""
+    n, k = F.col("n"), F.col("k")
+    part = k / n
+    surprise = k * F.log(part / base) + F.when(
+        k < n, (n - k) * F.log((1 - part) / (1 - base))).otherwise(0.0)
+    return (found.filter(part > base).withColumn("surprise", surprise)
+            .filter(F.col("surprise") >= math.log(2 * max(1, looked_at))))
+
+
 def toxic_terms(examples: DataFrame, limit: int = MAX_TERMS) -> list[bytes]:
-    """Words seen in toxic examples far more often than the share of toxic examples explains."""
+    """Words tied to toxic examples, first by the examples that hold them, then by the places where
+    they stand: copies bring the same neighbours along, so they count once there."""
+    base = examples.agg(F.avg("toxic")).first()[0]
+    if not base or base == 1:
+        return []
+
     def counts(batches):
         n, toxic = Counter(), Counter()
         for b in batches:
@@ -65,16 +83,32 @@ def toxic_terms(examples: DataFrame, limit: int = MAX_TERMS) -> list[bytes]:
                     toxic.update(own)
         yield {"term": list(n), "n": list(n.values()), "k": [toxic[t] for t in n]}
 
-    base = examples.agg(F.avg("toxic")).first()[0]
-    if not base or base == 1:
-        return []
-    # One text counts once, however many copies of it are labelled.
-    once = examples.groupBy("text").agg(F.max("toxic").alias("toxic"))
-    z = (F.col("k") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base))
-    found = (map_arrow(once, counts, "term binary, n long, k long")
-             .groupBy("term").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-             .filter(F.col("n") >= LEAST_DOCS).withColumn("z", z).filter(F.col("z") >= LEAST_Z)
-             .orderBy(F.desc("z"), "term").limit(limit).select("term").collect())
+    first = stored(map_arrow(examples.select("text", "toxic"), counts,
+                             "term binary, n long, k long")
+                   .groupBy("term").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+                   .filter(F.col("n") >= LEAST_DOCS), "terms")
+    looked_at = first.count()
+    first = (surprising(first, base, looked_at).orderBy(F.desc("surprise"), "term")
+             .limit(8 * limit).select("term").collect())
+    likely = Shared(examples.sparkSession, {bytes(r["term"]) for r in first})
+
+    def places(batches):
+        seen = set()
+        for b in batches:
+            for text, label in zip(b["text"].to_pylist(), b["toxic"].to_pylist()):
+                own = [b"", *words(text), b""]
+                seen |= {(own[i], own[i - 1] + b" " + own[i + 1], label)
+                         for i in range(1, len(own) - 1) if own[i] in likely.value}
+        made = list(zip(*seen)) or [[], [], []]
+        yield {"term": made[0], "place": made[1], "toxic": made[2]}
+
+    second = stored(map_arrow(examples.select("text", "toxic"), places,
+                              "term binary, place binary, toxic int")
+                    .groupBy("term", "place").agg(F.min("toxic").alias("toxic"))
+                    .groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k")),
+                    "places")
+    found = (surprising(second, base, looked_at).orderBy(F.desc("surprise"), "term").limit(limit)
+             .select("term").collect())
     return [bytes(r["term"]) for r in found]
 
 
@@ -161,13 +195,15 @@ class Scorer:
         """``empty``: number of examples without terms, and of toxic ones among them."""
         n, toxic = empty
         total, all_toxic = n + len(examples), toxic + sum(e[1] for e in examples)
-        self.base = (all_toxic + 1) / (total + 2)
-        self.empty = (toxic + 1) / (n + 2)
+        self.base = (all_toxic + 2 * PRIOR) / (total + 2)
+        self.empty = (toxic + 2 * PRIOR) / (n + 2)
         self.index = BlockMaxIndex(examples, idf) if examples else None
         self.slope, self.shift = 1.0, 0.0
         if examples:
-            own = [self.vote(e[2], e[3], e[0])[0] for e in examples]
-            self.slope, self.shift = calibrated(np.array(own), np.array([e[1] for e in examples]))
+            step = -(-len(examples) // CALIBRATED)
+            part = sorted(examples)[::step]
+            own = [self.vote(e[2], e[3], e[0])[0] for e in part]
+            self.slope, self.shift = calibrated(np.array(own), np.array([e[1] for e in part]))
 
     def vote(self, terms, counts, without=None):
         """Log-odds of the smoothed vote, and the (doc_id, cosine) pairs behind it."""
