@@ -78,7 +78,8 @@ def mixing(spark, docs, sf_dir):
 
 def packing(spark, docs, sf_dir):
     from stillwell.llm.packing import best_fit_packing
-    return best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                            ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),
