@@ -14,14 +14,24 @@ from collections import Counter
 
 from pyspark.sql import DataFrame, functions as F
 
-from stillwell.llm.common import ROW, documents, map_arrow, stored, utf8
+from stillwell.llm.common import ROW, documents, loaded, map_arrow, stored, utf8
 
-HEAD = 50_000
-DISTINCT = 300_000
+HEAD = 100_000
+DISTINCT = 100_000
+_STOPS = b".,"
 
 
 def pretokens(text: bytes) -> Counter:
-    return Counter((text if b"<|" in text else text.lower()).split())
+    """Frequencies of the pre-tokens of a text. A lone full stop or comma behind an ASCII letter at
+    the end of a run is a pre-token of its own for the library too."""
+    if b"<|" in text:
+        return Counter(text.split())
+    found = Counter(text.lower().split())
+    for word in [w for w in found if w[-1] in _STOPS and w[-2:-1].isalpha()]:
+        n = found.pop(word)
+        found[word[:-1]] += n
+        found[word[-1:]] += n
+    return found
 
 
 def vocabulary(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -37,11 +47,7 @@ def vocabulary(docs: DataFrame, tokenizer: str) -> DataFrame:
         yield {"word": list(kept), "n": list(kept.values())}
 
     def counted(batches):
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(tokenizer)
-        library.no_truncation()
-        library.no_padding()
+        library = loaded(tokenizer)
         for b in batches:
             words = [w.decode("utf-8", "replace") for w in b["word"].to_pylist()]
             made = library.encode_batch_fast(words, add_special_tokens=False)
