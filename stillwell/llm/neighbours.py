@@ -3,8 +3,11 @@
 Vectors are cut into lists of equal size by halving a sample along the line between two means.
 Vectors near a boundary lie in several lists, unless a list already taken is nearer to the next one
 than the vector itself is. The lists' centroids are searched by best-first walks over an in-memory
-graph, at most ``MAX_LISTS`` nodes in size. A query opens the lists whose distance is within a
-ratio of the nearest one's.
+graph, at most ``MAX_LISTS`` nodes in size. A query opens all lists whose distance is within a
+ratio of the nearest one's: where a walk's ``BEAM`` ends within the ratio, all centroids are
+measured. Where vectors hardly cluster that is most lists, and the search is nearly exhaustive.
+Neighbouring lists are compared as one unit of up to ``BLOCK`` members, so a query is sent once for
+many lists.
 
 Nearness is the inner product: vectors get one more component that makes them equally long, which
 turns the order by inner product into one by distance. Equal vectors are one entry with the
@@ -27,7 +30,7 @@ LIST_SIZE, MAX_LISTS = 160, 8192
 DEGREE, BEAM, ENTRIES = 16, 64, 32
 REPLICAS, BOUNDARY = 4, 1.15
 QUERY_RATIO = 1.35
-BLOCK = 4096
+BLOCK, UNITS, ASKED = 4096, 64, 512
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
@@ -162,26 +165,44 @@ class Lists:
         return np.concatenate(place), np.concatenate(lists), np.concatenate(primary)
 
     def probes(self, vectors: np.ndarray, sizes: np.ndarray, least: int):
-        """(place, list) to open for each query: within the ratio, and with ``least`` members."""
+        """(place, list) to open for each query: all within the ratio, and with ``least`` members."""
         x = vectors / np.sqrt((vectors ** 2).sum(axis=1, keepdims=True))
         points = np.concatenate([x, np.zeros((len(x), 1))], axis=1).astype(np.float32)
         place, lists = [], []
         for lo in range(0, len(points), 256):
-            ids, far = self.search(points[lo:lo + 256], BEAM)
+            part = points[lo:lo + 256]
+            ids, far = self.search(part, BEAM)
             found = np.isfinite(far)
             held = np.cumsum(np.where(found, sizes[ids], 0), axis=1)
             need = np.concatenate([np.zeros((len(ids), 1)), held[:, :-1]], axis=1) < least
             open_ = found & ((far <= QUERY_RATIO ** 2 * far[:, :1]) | need)
+            cut = open_[:, -1] | (held[:, -1] < least)  # the beam ended before the ratio did
+            open_[cut] = False
             at, column = np.nonzero(open_)
             place.append(at + lo)
             lists.append(ids[at, column])
-            for i in np.flatnonzero(held[:, -1] < least):  # too few members: all lists
-                rest = np.setdiff1d(np.arange(len(sizes)), ids[i][open_[i]])
-                place.append(np.full(len(rest), i + lo))
-                lists.append(rest)
+            for i in np.flatnonzero(cut):
+                all_ = np.maximum(0, 1 - 2 * self.centroids @ part[i] + self.norms)
+                order = np.argsort(all_, kind="stable")
+                before = np.cumsum(sizes[order]) - sizes[order]
+                own = order[(all_[order] <= QUERY_RATIO ** 2 * all_[order[0]]) | (before < least)]
+                place.append(np.full(len(own), i + lo))
+                lists.append(own)
         return np.concatenate(place), np.concatenate(lists)
 
 
+def units(held: np.ndarray, block: int) -> np.ndarray:
+    """The unit of each list: runs of lists with up to ``block`` members in all, or one list."""
+    most = min(block, max(1, int(held.sum()) // UNITS))
+    out, unit, total = np.zeros(len(held), int), 0, 0
+    for i, n in enumerate(held):
+        if total and total + n > most:
+            unit, total = unit + 1, 0
+        out[i] = unit
+        total += n
+    return out
+
+
 def best(queries: np.ndarray, entries: np.ndarray, ids: list[list[int]], k: int):
     """For each query the k nearest ids among the entries, as (query number, id, score)."""
     scores = queries @ entries.T
@@ -248,32 +269,39 @@ def nearest(embeddings: DataFrame, is_query, k: int = 20) -> DataFrame:
                                           F.count_if("primary").alias("own")).collect():
         sizes[r["list"]], held[r["list"]] = r["own"], r["n"]
 
+    unit_of = units(held, BLOCK)
+    members = np.bincount(unit_of, held)
+
     def probe(batches):
         for b in batches:
             at, own = model.value.probes(matrix(b["vector"].to_pylist(), width), sizes, k + 1)
-            yield {"list": own, "entry": b["entry"].take(at), "vector": b["vector"].take(at)}
+            at, own = np.unique(np.stack([at, unit_of[own]]), axis=1)
+            yield {"unit": own, "entry": b["entry"].take(at), "vector": b["vector"].take(at)}
 
     asked = entries.join(queries.select("entry").distinct(), "entry").select("entry", "vector")
-    probes = stored(map_arrow(asked, probe, kind, rows=1024), "probes")
-    asking = {r["list"]: r["n"] for r in
-              probes.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # Long lists fall into blocks, and so do many queries of one list: a pair of blocks is a task's
-    # unit, so its size is bounded.
+    probes = stored(map_arrow(asked, probe, "unit int, entry long, vector binary", rows=1024),
+                    "probes")
+    asking = {r["unit"]: r["n"] for r in
+              probes.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Long lists fall into blocks, and so do many queries of one unit: a pair of blocks is compared
+    # at a time, so its size is bounded.
     parts = spark.createDataFrame(
-        [(i, -(-int(held[i]) // BLOCK), -(-asking[i] // BLOCK)) for i in asking if held[i]],
-        "list int, chunks int, blocks int")
+        [(i, -(-int(members[i]) // BLOCK), -(-asking[i] // BLOCK)) for i in asking if members[i]],
+        "unit int, chunks int, blocks int")
     parts = F.broadcast(parts)
+    places = F.broadcast(spark.createDataFrame(
+        [(i, int(u)) for i, u in enumerate(unit_of)], "list int, unit int"))
     at = F.pmod(F.xxhash64("entry"), F.lit(2**31))
-    sent = postings.join(parts, "list").select(
-        "list", (at % F.col("chunks")).cast("int").alias("chunk"),
+    sent = postings.join(places, "list").join(parts, "unit").select(
+        "unit", (at % F.col("chunks")).cast("int").alias("chunk"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.lit(False).alias("asks"), "entry", "vector", "ids")
-    sent = sent.unionByName(probes.join(parts, "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
+    sent = sent.unionByName(probes.join(parts, "unit").select(
+        "unit", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
         (at % F.col("blocks")).cast("int").alias("block"),
         F.lit(True).alias("asks"), "entry", "vector",
         F.lit(None).cast("array<long>").alias("ids")))
-    sent = sent.withColumn("unit", F.xxhash64("list", "chunk", "block")).drop("chunk", "block")
+    sent = sent.withColumn("unit", F.xxhash64("unit", "chunk", "block")).drop("chunk", "block")
 
     def compare(batches):
         for run in runs(batches, "unit"):
@@ -281,9 +309,13 @@ def nearest(embeddings: DataFrame, is_query, k: int = 20) -> DataFrame:
             q, e = np.flatnonzero(asks), np.flatnonzero(~asks)
             if not len(q) or not len(e):
                 continue
-            vectors = matrix(run["vector"], width)
-            own, found, scores = best(vectors[q], vectors[e], [run["ids"][i] for i in e], k + 1)
-            yield {"entry": [run["entry"][q[i]] for i in own], "id": found, "score": scores}
+            # replicas that meet in a unit count once
+            e = e[np.unique([run["entry"][i] for i in e], return_index=True)[1]]
+            vectors, ids = matrix(run["vector"], width), [run["ids"][i] for i in e]
+            for lo in range(0, len(q), ASKED):
+                part = q[lo:lo + ASKED]
+                own, found, scores = best(vectors[part], vectors[e], ids, k + 1)
+                yield {"entry": [run["entry"][part[i]] for i in own], "id": found, "score": scores}
 
     hits = map_arrow(grouped(sent, "unit"), compare, "entry long, id long, score double")
     hits = hits.groupBy("entry", "id").agg(F.max("score").alias("score"))  # met in several lists

@@ -76,3 +76,27 @@ def test_lists_are_balanced_and_search_finds_near_ones():
     assert {len(p) for p in parts} <= {39, 40, 41}
     at, own, primary = lists.homes(x)
     assert primary.sum() == 2000 and np.bincount(at).max() <= neighbours.REPLICAS
+
+
+def test_all_lists_within_the_ratio_open():
+    """Without clusters nearly all lists lie within the ratio, many more than a walk's beam."""
+    x = np.random.default_rng(4).normal(size=(20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    lists = Lists(x, float(np.linalg.norm(x, axis=1).max()), 125)
+    place, own, primary = lists.homes(x)
+    homes = np.zeros((len(x), 125), bool)
+    homes[place, own] = True
+    opened = np.zeros((100, 125), bool)
+    at, own = lists.probes(x[:100], np.bincount(own[primary], minlength=125), 21)
+    opened[at, own] = True
+    points = np.concatenate([x[:100], np.zeros((100, 1))], axis=1)
+    far = np.sqrt(((points[:, None] - lists.centroids[None]) ** 2).sum(axis=2))
+    assert not (~opened & (far < 1.349 * far.min(axis=1, keepdims=True))).any()
+    near = np.argsort(-x[:100] @ x.T, axis=1)[:, 1:21]
+    assert (homes[near] & opened[:, None]).any(axis=2).mean() > 0.999
+
+
+def test_units_of_lists_are_bounded():
+    held = np.array([3, 3, 5, 0, 500, 4, 4])
+    assert neighbours.units(held, 4096).tolist() == [0, 0, 1, 1, 2, 3, 3]
+    assert neighbours.units(np.full(640, 10), 4096).max() == 63
