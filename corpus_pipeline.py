@@ -5,7 +5,8 @@ return the columns of ``documents``.
 
 * ``toxicity``: documents scored at 0.3 or more go; rows without doc_id stay if their text does.
 * ``exact_dedup``: of equal texts the row with the largest doc_id stays.
-* ``near_dedup``: of each group of near copies the row with the smallest doc_id stays.
+* ``near_dedup``: of each group of near copies (``SIMILAR`` % of their shingles in common) the row
+  with the smallest doc_id stays.
 * ``mixing``: no document goes; those of domains below their weight are repeated, as often as their
   rate says, so the domains' tokens meet the weights.
 * ``packing``: one row for each piece, with its sequence and offset.
@@ -20,6 +21,8 @@ from stillwell.llm.common import ROW, free_name, keyed, likely, stored
 
 #: Shares of the tokens by domain in the mix.
 WEIGHTS = {"good": 0.85, "poor": 0.15}
+#: Near copies share so many percent of their shingles of five words.
+SIMILAR = 80
 
 
 def _with_key(docs):
@@ -59,7 +62,7 @@ def exact_dedup(spark, docs, sf_dir):
 def near_dedup(spark, docs, sf_dir):
     from stillwell.llm.near_dedup import near_duplicates
     rows, narrow, key = _with_key(docs)
-    lost = near_duplicates(narrow).filter(F.col(ROW) != F.col("component_row"))
+    lost = near_duplicates(narrow, SIMILAR).filter(F.col(ROW) != F.col("component_row"))
     return _without(rows, key, lost)
 
 

@@ -3,12 +3,14 @@
 Equal sets are one set from the start. Independent trees branch the sets by min-wise tokens: a
 node chooses, by a hash of its path, one or two places of the signature, and members with the same
 token there share a child. Nodes within ``NODE`` members are compared exhaustively. What meets in a
-node and agrees in ``AGREE`` of ``SIZE`` places is a candidate; candidates are linked only if their
+node and agrees in enough of ``SIZE`` places is a candidate; candidates are linked only if their
 full sets are similar enough.
 
-A pair at the threshold misses a whole tree with a chance of 0.13 where its first node is small and
-of about 0.5 where it lies six branchings deep; with ``TREES`` trees it is lost with a chance below
-1e-10 and 3e-4. Agreement in fewer places than ``AGREE`` has a chance of 1e-7 for such a pair.
+How often nodes choose two places, how many places must agree and how many trees there are follow
+from the threshold (``Plan``). All trees see the same signature, so the chance to lose a pair at the
+threshold is the mean over the places it agrees in: at 85 % (12 trees) 1e-9 where first nodes are
+small and 1.1e-3 six branchings deep, at 80 % (16 trees) 5e-11 and 9e-4. Agreement in too few
+places has a chance of at most 1.6e-7 for such a pair.
 
 Links are not listed: a group of n sets leaves at most n - 1 of them in a node, and sets that are
 already connected are not compared again. Candidate groups with more shingles than one task should
@@ -19,6 +21,7 @@ rows that repeat a doc_id are judged by their own text; of equal rows one is kep
 """
 
 import hashlib
+from math import comb
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -29,19 +32,52 @@ from stillwell.llm.common import (
 from stillwell.llm.components import components
 from stillwell.llm.shingles import Signatures, shingle_sets
 
-SIZE, AGREE = 64, 38
+SIZE = 64
 TREES, NODE, DEPTH = 12, 192, 12
 TASK_NODE, LEVELS = 4096, 10
 TASK_SHINGLES = 2_000_000
 PIVOTS, PIVOT_SHINGLES = 256, 4_000_000
-_SECOND = 176  # of 1000 nodes choose a second place: 1 / 0.85 places on average
+DEEP, LOST, DISAGREE = 6, 1.2e-3, 1.6e-7
 
 
-def choices(node: np.uint64) -> list[int]:
+class Plan:
+    """``second`` of 1000 nodes choose a second place, so the places chosen are 1 / threshold on
+    average; ``agree`` places make a candidate; with ``trees`` trees a pair at the threshold is lost
+    ``DEEP`` branchings deep with a chance of at most ``LOST``."""
+
+    def __init__(self, percent: int):
+        self.percent, self.second = percent, min(1000, 1000 * (100 - percent) // max(1, percent))
+        self.agree, self.trees = 0, TREES
+        while sum(self.agreeing(k) for k in range(self.agree + 1)) <= DISAGREE:
+            self.agree += 1
+        while self.trees < SIZE and self.loss(DEEP) > LOST:
+            self.trees += 1
+
+    def agreeing(self, places: int) -> float:
+        """The chance of a pair at the threshold to agree in so many places."""
+        p = self.percent / 100
+        return comb(SIZE, places) * p ** places * (1 - p) ** (SIZE - places)
+
+    def loss(self, depth: int) -> float:
+        """The chance of a pair at the threshold to share no node ``depth`` branchings deep."""
+        total, two = 0.0, self.second / 1000
+        for places in range(SIZE + 1):
+            miss = 0.0
+            for _ in range(depth):
+                one = 1 - places / SIZE * (1 - miss)
+                miss = (1 - two) * one + two * one * one
+            total += self.agreeing(places) * miss ** self.trees
+        return total
+
+
+PLAN = Plan(85)
+
+
+def choices(node: np.uint64, second: int = PLAN.second) -> list[int]:
     """Places of the signature by which the children of a node are told apart."""
     with np.errstate(over="ignore"):
         own = mixed(np.array([node], np.uint64) + np.arange(1, 4, dtype=np.uint64) * np.uint64(977))
-    n = 2 if own[0] % np.uint64(1000) < _SECOND else 1
+    n = 2 if own[0] % np.uint64(1000) < second else 1
     return [int(x % np.uint64(SIZE)) for x in own[1:1 + n]]
 
 
@@ -66,16 +102,16 @@ def hashed(docs: DataFrame) -> DataFrame:
                      "signature binary")
 
 
-def branched(sets: DataFrame, node: str | None = None) -> DataFrame:
+def branched(sets: DataFrame, node: str | None = None, plan: Plan = PLAN) -> DataFrame:
     """(node, rep) for the children of ``node``, or of the roots of all trees."""
     def roots(batches):
         with np.errstate(over="ignore"):
-            tops = mixed(np.arange(1, TREES + 1, dtype=np.uint64) * np.uint64(7919))
+            tops = mixed(np.arange(1, plan.trees + 1, dtype=np.uint64) * np.uint64(7919))
         for b in batches:
             rep = b["rep"].to_numpy(zero_copy_only=False)
             sig = np.frombuffer(b"".join(b["signature"].to_pylist()), np.uint32).reshape(-1, SIZE)
             for top in tops:
-                for place in dict.fromkeys(choices(top)):
+                for place in dict.fromkeys(choices(top, plan.second)):
                     yield {"node": children(top, place, sig[:, place]).view(np.int64), "rep": rep}
 
     def deeper(batches):
@@ -84,7 +120,7 @@ def branched(sets: DataFrame, node: str | None = None) -> DataFrame:
             for own, rep, sig in zip(b["node"].to_numpy(zero_copy_only=False).view(np.uint64),
                                      b["rep"].to_pylist(), b["signature"].to_pylist()):
                 tokens = np.frombuffer(sig, np.uint32)
-                for place in dict.fromkeys(choices(own)):
+                for place in dict.fromkeys(choices(own, plan.second)):
                     nodes.append(children(own, place, tokens[place:place + 1])[0])
                     reps.append(rep)
             yield {"node": np.array(nodes, np.uint64).view(np.int64), "rep": reps}
@@ -111,8 +147,8 @@ def roots_of(n: int, links) -> list[int]:
     return [find(x) for x in range(n)]
 
 
-def node_links(signatures: np.ndarray, node: np.uint64, agree: int = AGREE, small: int = NODE,
-               depth: int = 0):
+def node_links(signatures: np.ndarray, node: np.uint64, agree: int = PLAN.agree,
+               small: int = NODE, depth: int = 0, second: int = PLAN.second):
     """Links (i, j) that span the candidates within a node and its descendants."""
     n = len(signatures)
     if n <= small:
@@ -123,7 +159,7 @@ def node_links(signatures: np.ndarray, node: np.uint64, agree: int = AGREE, smal
     if depth >= DEPTH:  # members that no branching tells apart: all against pivots
         return spanned(n, lambda i: (signatures == signatures[i]).sum(axis=1) >= agree)
     links = []
-    for place in dict.fromkeys(choices(node)):
+    for place in dict.fromkeys(choices(node, second)):
         keys = children(node, place, signatures[:, place])
         order = np.argsort(keys, kind="stable")
         cuts = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1], True])
@@ -131,7 +167,7 @@ def node_links(signatures: np.ndarray, node: np.uint64, agree: int = AGREE, smal
             if hi - lo > 1:
                 own = order[lo:hi]
                 links += [(int(own[i]), int(own[j])) for i, j in node_links(
-                    signatures[own], keys[own[0]], agree, small, depth + 1)]
+                    signatures[own], keys[own[0]], agree, small, depth + 1, second)]
     return links
 
 
@@ -181,9 +217,9 @@ def grouped(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(key).sortWithinPartitions(key)
 
 
-def candidates(sets: DataFrame, task_node: int = TASK_NODE) -> DataFrame:
+def candidates(sets: DataFrame, task_node: int = TASK_NODE, plan: Plan = PLAN) -> DataFrame:
     """Links (a, b) between reps that span all candidates; ``sets``: rep, signature."""
-    rows, links = branched(sets), []
+    rows, links = branched(sets, plan=plan), []
     for level in range(LEVELS):
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
         met = stored(rows.join(sizes, "node"), "nodes")
@@ -195,7 +231,7 @@ def candidates(sets: DataFrame, task_node: int = TASK_NODE) -> DataFrame:
         if large.isEmpty():
             large = None
             break
-        rows = branched(large.join(sets, "rep"), "node")
+        rows = branched(large.join(sets, "rep"), "node", plan)
     filled = links[0]
     for more in links[1:]:
         filled = filled.unionByName(more)
@@ -205,9 +241,10 @@ def candidates(sets: DataFrame, task_node: int = TASK_NODE) -> DataFrame:
         for run in runs(batches, "node"):
             sig = np.frombuffer(b"".join(run["signature"]), np.uint32).reshape(-1, SIZE)
             if len(sig) == 2:
-                found = [(0, 1)] if (sig[0] == sig[1]).sum() >= AGREE else []
+                found = [(0, 1)] if (sig[0] == sig[1]).sum() >= plan.agree else []
             else:
-                found = node_links(sig, np.int64(run["node"][0]).view(np.uint64))
+                found = node_links(sig, np.int64(run["node"][0]).view(np.uint64), plan.agree,
+                                   second=plan.second)
             a += [run["rep"][i] for i, _ in found]
             b += [run["rep"][j] for _, j in found]
             if len(a) > 4096:
@@ -304,7 +341,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, *, task_node: int = TASK
         rows.filter("n > 0").groupBy("digest").agg(
             F.min(ROW).alias("rep"), F.min("doc_id").alias("rep_id"), F.first("n").alias("n"),
             F.first("signature").alias("signature")), "sets")
-    groups = components(candidates(distinct.select("rep", "signature"), task_node))
+    groups = components(candidates(distinct.select("rep", "signature"), task_node,
+                                   Plan(percent)))
     groups = stored(groups.withColumnsRenamed({"node": "rep", "label": "group"}).join(
         distinct.select("rep", "rep_id", "n"), "rep"), "groups")
     # Only candidates are hashed again for their full sets; others pass the filter by chance.

@@ -108,3 +108,29 @@ def test_shingles_of_segments_equal_those_of_the_whole(monkeypatch):
     monkeypatch.setattr(shingles, "SEGMENT", 128)
     assert all((a == b).all() for a, b in zip(whole, shingle_sets([text, b"", text[:40]])))
     assert len(whole[0]) == len(sets(text.decode()))
+
+
+def test_thresholds_set_the_trees():
+    from stillwell.llm.near_dedup import Plan
+    at85, at80 = Plan(85), Plan(80)
+    assert (at85.second, at85.agree, at85.trees) == (176, 38, 12)
+    assert (at80.second, at80.agree) == (250, 33) and at80.trees > 12
+    assert at85.loss(6) < 1.2e-3 and at80.loss(6) < 1.2e-3
+
+
+def test_pipeline_stage_takes_copies_from_80_percent(spark):
+    import corpus_pipeline
+    rng, rows = random.Random(9), []
+    for family in range(25):
+        words = [w + str(i) for i, w in enumerate(prose(rng, 200).split())]
+        rows.append((10 * family, " ".join(words)))
+        for at in (30, 70, 110, 150):  # 176 of 216 shingles stay: 0.815
+            words[at] = "changed"
+        rows.append((10 * family + 1, " ".join(words)))
+        rows.append((10 * family + 2, " ".join(words[:100])))
+    own = [(i, sets(t)) for i, t in rows]
+    top = roots_of(len(own), [(a, b) for a in range(len(own)) for b in range(a) if
+                              100 * len(own[a][1] & own[b][1]) >= 80 * len(own[a][1] | own[b][1])])
+    want = sorted(i for n, (i, _) in enumerate(rows) if top[n] == n)
+    made = corpus_pipeline.near_dedup(spark, documents(spark, rows), None).collect()
+    assert sorted(r["doc_id"] for r in made) == want and len(want) == 50
