@@ -50,3 +50,29 @@ def test_without_labels_or_rows(spark):
     made = mixing(documents(spark, rows), labelled(spark, [])).collect()
     assert {r["rate"] for r in made} == {1.0} and {r["copies"] for r in made} == {1}
     assert mixing(documents(spark, []), labelled(spark, labels)).collect() == []
+
+
+def rare(n=1000):
+    """A poor domain of 0.3 % of the rows."""
+    rng = random.Random(2)
+    rows = [(i, prose(rng, 40) + f" {MARK['good' if i % 333 else 'poor']}" * 40)
+            for i in range(1, n)]
+    return rows, [(i, int(i % 333 != 0), 0) for i, _ in rows]
+
+
+@pytest.mark.parametrize("least", [0.0, 1.0])
+def test_rare_domains_meet_their_targets(spark, least):
+    rows, labels = rare()
+    made = mixed_rates(narrow(documents(spark, rows)), domains_of(labelled(spark, labels)),
+                       {"good": 0.85, "poor": 0.15}, least=least).collect()
+    held = {k: sum(r["rate"] * r["tokens"] * r["posterior"][k] for r in made)
+            for k in ("good", "poor")}
+    assert all(r["rate"] >= least for r in made)
+    assert held["poor"] / sum(held.values()) == pytest.approx(0.15, rel=0.01)
+
+
+def test_missed_targets_are_told(spark):
+    rows, labels = [(i, "the same words") for i in range(20)], [(i, i % 2, 0) for i in range(20)]
+    with pytest.warns(UserWarning, match="misses its targets"):
+        made = mixing(documents(spark, rows), labelled(spark, labels), {"good": 9, "poor": 1})
+    assert all(r["rate"] == pytest.approx(1, abs=0.01) for r in made.collect())
