@@ -108,3 +108,10 @@ def op3_neighbours(spark, sf_dir):
 def op2_mixing(spark, sf_dir):
     from stillwell.llm.mixing import mixing
     return mixing(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op13_sentence_pieces(spark, sf_dir):
+    from stillwell.llm.sentence_pieces import encode_and_decode
+    return encode_and_decode(table(spark, sf_dir, "documents"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
