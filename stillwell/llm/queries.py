@@ -115,3 +115,75 @@ def op13_sentence_pieces(spark, sf_dir):
     from stillwell.llm.sentence_pieces import encode_and_decode
     return encode_and_decode(table(spark, sf_dir, "documents"),
                              public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def _fields(*columns):
+    """SQL of the digest over columns."""
+    return "sha256(" + " || ".join(
+        f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in columns) + ")"
+
+
+def _tree(name, leaves):
+    """SQL of all nodes of the trees over ``leaves`` (s, idx, n, digest), and of each one's siblings."""
+    return f"""
+{name}(s, level, idx, n, digest) AS (
+  SELECT s, 0, idx, n, digest FROM {leaves}
+  UNION ALL
+  SELECT s, level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM {name} WHERE n > 1 GROUP BY s, level, n, idx // 3),
+{name}_beside AS (
+  SELECT a.s, a.level, a.idx,
+         coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS before,
+         coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS after
+  FROM {name} a LEFT JOIN {name} b ON a.s = b.s AND a.level = b.level AND a.idx // 3 = b.idx // 3
+                                 AND a.idx <> b.idx
+  WHERE a.n > 1 GROUP BY a.s, a.level, a.idx)"""
+
+
+def _walk(name, start, tree):
+    """SQL of the way of each row of ``start`` (r, s, level, idx, digest, proof) to its root."""
+    return f"""
+{name}(r, s, level, idx, digest, proof) AS (
+  SELECT r, s, 0, idx, digest, proof FROM {start}
+  UNION ALL
+  SELECT w.r, w.s, w.level + 1, w.idx // 3, sha256(before || w.digest || after),
+         w.proof || before || after
+  FROM {name} w JOIN {tree}_beside b ON b.s = w.s AND b.level = w.level AND b.idx = w.idx)"""
+
+
+@query(f"""
+WITH RECURSIVE crc_steps AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+           CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('+' || source, '') AS s,
+         {_fields("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+         {_fields("doc_id", "source", "lang", "n_chars", "replace(text, chr(10), '')")} AS changed,
+         coalesce(xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''),
+                                                   lambda x: ascii(x)::BIGINT)),
+           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) % 2 = 0, false) AS tampered
+  FROM documents, crc_steps),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+         count(*) OVER (PARTITION BY s) AS n, leaf AS digest FROM d),
+{_tree("low", "leaves")},
+subroots AS (
+  SELECT s AS own, '' AS s, row_number() OVER (ORDER BY s) - 1 AS idx, count(*) OVER () AS n, digest,
+         level AS top FROM low WHERE n = 1),
+{_tree("high", "subroots")},
+starts AS (
+  SELECT r, s, idx, CASE WHEN tampered THEN changed ELSE leaf END AS digest, '' AS proof FROM leaves),
+{_walk("up", "starts", "low")},
+middle AS (
+  SELECT u.r, '' AS s, p.idx, u.digest, u.proof FROM up u JOIN subroots p ON p.own = u.s
+                                                                       AND p.top = u.level),
+{_walk("over", "middle", "high")},
+whole AS (SELECT digest AS root, level AS top FROM high WHERE n = 1)
+SELECT l.doc_id, l.leaf, p.digest AS subroot, w.root, sha256(o.proof) AS proof_sha256,
+       o.digest AS folded_root, o.digest = w.root AS verified
+FROM over o JOIN whole w ON w.top = o.level JOIN leaves l ON l.r = o.r JOIN subroots p ON p.own = l.s
+""")
+def op11_merkle_manifest(spark, sf_dir):
+    from stillwell.llm.merkle import tamper_check
+    return tamper_check(table(spark, sf_dir, "documents"))
