@@ -187,3 +187,35 @@ FROM over o JOIN whole w ON w.top = o.level JOIN leaves l ON l.r = o.r JOIN subr
 def op11_merkle_manifest(spark, sf_dir):
     from stillwell.llm.merkle import tamper_check
     return tamper_check(table(spark, sf_dir, "documents"))
+
+
+@query("""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS n
+  FROM s WHERE same),
+g AS (
+  SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score,
+         s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+             AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+  WHERE p.n <= 5)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM g WHERE rank <= 5
+""")
+def op12_hard_negatives(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from stillwell.llm.hard_negatives import hard_negatives
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives(vectors, "id % 100 = 0")
