@@ -6,12 +6,15 @@ from the leaves and down from the root (sum-product, exact on trees), which yiel
 the probability of being content under all evidence of its page.
 
 The model is trained, by the gradient of the likelihood, on pages of the corpus that mark their
-article with ``<article>`` or ``<main>`` (a sample of about ``PAGES`` pages), on copies of them
-without those marks, and on pages built from the layouts below, filled with texts of the sample.
-
-Cases: null or empty html gives an empty text; broken markup is read as far as it goes; repeated
-rows are judged each; an empty table gives an empty result; without pages to sample, the layouts
-alone teach the model.
+article with ``<article>`` or ``<main>``, on copies of them without those marks, and on pages built
+from the layouts below, filled with texts of the sample. The sample is bounded: of the marked pages
+of at most ``LONGEST`` characters the ``PAGES`` first in the order of a hash of the whole row, so it
+does not depend on how rows are dealt. Texts of all pages are extracted whole, however long.
+
+Cases: null or empty html gives an empty text; broken markup is read as far as it goes, in time
+linear in its length; elements nested deeper than ``html_tree.DEEPEST`` count as children of the
+one at that depth; rows without page_id or url are judged like others; repeated rows are judged
+each; an empty table gives an empty result; without marked pages the layouts alone teach the model.
 """
 
 import re
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from stillwell.llm.common import Shared, map_arrow
 from stillwell.llm.html_tree import Page
 
-PAGES = 60
+PAGES, LONGEST = 120, 100_000
 STEPS = 250
 #: Kinds of elements and of words in class and id, as features.
 TAGS = ("#page html body article main section div p h1 h2 h3 h4 ul ol li nav header footer aside "
@@ -125,7 +128,7 @@ class Forest:
         for level in self.levels[:0:-1]:
             odds = np.exp(np.clip(up[level], -30, 30))
             sent[level] = np.log((w[1, 0] + w[1, 1] * odds) / (w[0, 0] + w[0, 1] * odds))
-            up += np.bincount(self.parent[level], sent[level], len(own))
+            np.add.at(up, self.parent[level], sent[level])
         belief = up.copy()
         pairs = np.zeros((len(own), 2, 2))
         for level in self.levels[1:]:
@@ -222,13 +225,12 @@ def html_text(table: DataFrame, pages: int = PAGES) -> DataFrame:
     """page_id, url, text, n_chars of each row of ``table``."""
     rows = table.select(F.col("page_id").cast("long").alias("page_id"), "url",
                         F.coalesce("html", F.lit("")).alias("html"))
-    n = rows.count()
-    share = min(1.0, pages / max(1, n))
-    sample = rows.filter(F.pmod(F.xxhash64("page_id"), F.lit(2**40)) < int(share * 2**40))
-    # Very long pages teach no more than others and would weigh on the driver.
-    sample = sample.filter(F.length("html") <= 100_000).select("html")
+    place = F.xxhash64("page_id", "url", "html")
+    sample = (rows.filter(F.col("html").rlike("(?i)<(article|main)[\\s>]")
+                          & (F.length("html") <= LONGEST))
+              .select("html", place.alias("place")).orderBy("place", "html").limit(pages))
     model = Shared(table.sparkSession, trained(*training_pages(
-        [r[0] for r in sample.limit(4 * pages).collect()])))
+        [r["html"] for r in sample.collect()])))
 
     def extract(batches):
         weights, pair = model.value

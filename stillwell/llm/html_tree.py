@@ -3,8 +3,8 @@
 import html
 import re
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+_START = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*+))")
+_REST = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>")
 _SKIPPED = frozenset(
     "script style noscript template title svg math iframe object select textarea button "
     "audio video canvas map head".split())
@@ -23,6 +23,47 @@ _CLOSES = {
 }
 
 
+#: Elements below this depth become children of the one that has it.
+DEEPEST = 512
+
+
+class Tags:
+    """Tags, comments and declarations of a source, read forward in time linear in its length.
+
+    A tag ends at the first ``>`` outside the quotes of a value. A quote without a second one is a
+    letter like any other; once quotes hold all that is left, they do not count any more. What no
+    ``>`` ends is text."""
+
+    def __init__(self, source: str):
+        self.source, self.last, self.quoted = source, source.rfind(">"), True
+
+    def end(self, at: int) -> int:
+        """The end of a tag whose name ends at ``at``; a ``>`` follows somewhere."""
+        if self.quoted:
+            if found := _REST.match(self.source, at):
+                return found.end()
+            self.quoted = False
+        return self.source.find(">", at) + 1
+
+    def next(self, at: int):
+        """(start, end, closing, name, attributes) of the next one from ``at``, None at the end. Name
+        is None for comments and declarations."""
+        found = _START.search(self.source, at)
+        if found is None:
+            return None
+        start, name = found.start(), found[2]
+        if found[0] == "<!--":
+            end = self.source.find("-->", found.end())
+            return start, len(self.source) if end < 0 else end + 3, False, None, ""
+        if start > self.last:
+            comment = self.source.find("<!--", start)  # all others need an end
+            return None if comment < 0 else (comment, len(self.source), False, None, "")
+        if name is None:
+            return start, self.source.find(">", start) + 1, False, None, ""
+        end = self.end(found.end())
+        return start, end, bool(found[1]), name.lower(), self.source[found.end():end - 1]
+
+
 class Page:
     """Nodes (tag, attributes, parent) and segments (node, text, letters within links)."""
 
@@ -32,6 +73,7 @@ class Page:
         self.tags, self.attributes, self.parents = ["#page"], [""], [-1]
         self.segments: list[list] = []
         stack, links, at, parts, linked = [0], 0, 0, [], 0
+        places: dict[str, list[int]] = {}  # of open elements in the stack, by tag
         skipped = ""  # an element whose content does not count, until its end tag
 
         def flush():
@@ -41,39 +83,40 @@ class Page:
                 self.segments.append([stack[-1], text, linked])
             parts, linked = [], 0
 
+        def leave(depth):
+            for i in stack[depth:]:
+                places[self.tags[i]].pop()
+            del stack[depth:]
+
+        def innermost(kinds):
+            return max((places[k][-1] for k in kinds if places.get(k)), default=0)
+
         def close(kinds, stop):
-            for i in range(len(stack) - 1, 0, -1):
-                tag = self.tags[stack[i]]
-                if tag in kinds:
-                    flush()
-                    del stack[i:]
-                    return
-                if tag in stop:
-                    return
-
-        for token in _TOKEN.finditer(source):
-            start, end = token.span()
-            if start < at:
-                continue
+            depth = innermost(kinds)
+            if depth and depth >= innermost(stop):
+                flush()
+                leave(depth)
+
+        tags = Tags(source)
+        while token := tags.next(at):
+            start, end, closing, name, attributes = token
             if start > at and not skipped:
                 parts.append(source[at:start])
                 if links:
                     linked += start - at
             at = end
-            name = token[2]
             if name is None:
                 continue
-            name = name.lower()
             if skipped:
-                if token[1] and name == skipped or name == "body":
+                if closing and name == skipped or name == "body":
                     skipped = ""
                 if name != "body":
                     continue
-            if token[1]:
+            if closing:
                 if name == "a":
                     links = 0
                 elif name not in _INLINE and name not in _VOID:
-                    if name == "p" and all(self.tags[i] != "p" for i in stack):
+                    if name == "p" and not places.get("p"):
                         parts.append(" ")
                     close({name}, {"article", "main", "body"} - {name}
                           if name in ("p", "li") else set())
@@ -83,7 +126,7 @@ class Page:
                 if name in _RAW:
                     stop = re.compile(f"</{name}", re.I).search(source, at)
                     at = stop.start() if stop else len(source)
-                if not token[3].rstrip().endswith("/"):
+                if not attributes.rstrip().endswith("/"):
                     skipped = name
             elif name == "a":
                 links = 1
@@ -97,10 +140,12 @@ class Page:
                 if name in _CLOSES:
                     close(*_CLOSES[name])
                 elif self.tags[stack[-1]] == "p":
-                    del stack[-1]
+                    leave(len(stack) - 1)
+                leave(min(len(stack), DEEPEST))
                 self.tags.append(name)
-                self.attributes.append(token[3])
+                self.attributes.append(attributes)
                 self.parents.append(stack[-1])
+                places.setdefault(name, []).append(len(stack))
                 stack.append(len(self.tags) - 1)
         if not skipped and at < len(source):
             parts.append(source[at:])

@@ -1,5 +1,11 @@
+import itertools
+import math
+import time
+
+import numpy as np
 import pytest
-from stillwell.llm.html_text import built, html_text, main_texts, trained, training_pages
+from stillwell.llm.html_text import (
+    FEATURES, Forest, built, html_text, main_texts, trained, training_pages)
 from stillwell.llm.html_tree import Page
 
 TEXT = ("The quick brown fox jumps over the lazy dog, and then it walks home to rest for a while. "
@@ -38,6 +44,15 @@ def test_articles_are_found(spark):
     assert made[21]["n_chars"] > 2000 * len(TEXT)
 
 
+def test_rows_without_ids(spark):
+    rows = [(None, None, h, None, None) for h, _ in GOOD] + [(1, None, GOOD[0][0], "x", 1)] * 2
+    table = spark.createDataFrame(
+        rows, "page_id long, url string, html string, text string, n_chars int")
+    made = html_text(table).collect()
+    assert sorted(r["text"] for r in made) == sorted([w for _, w in GOOD] + [GOOD[0][1]] * 2)
+    assert html_text(table.repartition(3)).exceptAll(html_text(table)).count() == 0
+
+
 def test_empty_table(spark):
     assert html_text(tables(spark, [])).collect() == []
 
@@ -69,3 +84,42 @@ def test_layouts_without_article_marks():
 ])
 def test_reading(source, segments):
     assert [s[1] for s in Page(source).segments] == segments
+
+
+@pytest.mark.parametrize("part", ["<a", "<a ", "if x<y and ", "<div>", "<div></p>", '<a "', "<a '\">",
+                                  "<!--", "<!x", "<p><li>", '<a ">" ', "&amp", "<table><tr><td>"])
+@pytest.mark.parametrize("tail", ["", ">", '">'])
+def test_broken_markup_takes_linear_time(part, tail):
+    began = time.process_time()
+    pages = [Page(part * ((1 << 20) // len(part)) + tail)]
+    main_texts(pages, np.zeros(len(FEATURES)), np.zeros((2, 2)))
+    assert time.process_time() - began < 10
+
+
+@pytest.mark.parametrize("source, segments", [
+    ("a <b c", ["a <b c"]), ("if x<y and z", ["if x<y and z"]), ("<p title='it>x", ["x"]),
+    ('<p title="a>b</p>', ["b"]), ("<p title=it's>x</p><p title='>'>y</p>", ["x", "y"]),
+    ("x<!-- y", ["x"]), ("a<? b", ["a<? b"]), ("a<!-- b --><c", ["a<c"]),
+    ("<div>" * 600 + "x" + "</div>" * 600 + "y", ["x", "y"]),
+])
+def test_reading_of_broken_markup(source, segments):
+    assert [s[1] for s in Page(source).segments] == segments
+
+
+def test_marginals_equal_enumeration():
+    rng = np.random.default_rng(1)
+    pages = [Page("<div><p>a<ul><li>b<li>c</ul></div>"), Page("<p>x"), Page("<ul><li>a<li><p>b</ul>")]
+    forest = Forest(pages)
+    n = len(forest.parent)
+    own, pair = rng.normal(size=n), rng.normal(size=(2, 2))
+    total, node, pairs = 0.0, np.zeros(n), np.zeros((n, 2, 2))
+    for state in itertools.product((0, 1), repeat=n):
+        weight = math.exp(sum(own[i] for i in range(n) if state[i]) + sum(
+            pair[state[p], state[i]] for i, p in enumerate(forest.parent) if p >= 0))
+        total += weight
+        for i, p in enumerate(forest.parent):
+            node[i] += weight * state[i]
+            if p >= 0:
+                pairs[i, state[p], state[i]] += weight
+    got, got_pairs = forest.marginals(own, pair)
+    assert np.allclose(got, node / total) and np.allclose(got_pairs, pairs / total)
