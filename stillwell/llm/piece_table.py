@@ -8,12 +8,13 @@ merges that made their edges tell. Ids are recovered backwards from the whole te
 """
 
 import re
+from array import array
 from itertools import groupby
 
 import numpy as np
 
 SPACE = "▁"
-KNOWN_PAIRS, KNOWN_WORDS = 1_000_000, 200_000
+KNOWN_PAIRS, KNOWN_WORDS, LONGEST_KNOWN = 1_000_000, 200_000, 64
 
 
 def merged(symbols: list[str], rank: dict[str, float]) -> tuple[list[str], dict]:
@@ -110,34 +111,50 @@ class PieceTable:
                 return True
 
 
+class Words(dict):
+    """Ids of words met lately; when ``KNOWN_WORDS`` are held, as many older ones are forgotten."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = array("i", self.encode(SPACE + word.replace(" ", SPACE))).tobytes()
+        if len(word) <= LONGEST_KNOWN:
+            if len(self) >= KNOWN_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Encodes texts in a task; keeps bounded memories of pairs and words."""
 
     def __init__(self, table: PieceTable):
         import ahocorasick
 
-        self.table, self.pairs, self.words = table, {}, {}
+        self.table, self.pairs, self.words = table, {}, Words(self.word)
         self.automaton = ahocorasick.Automaton()
         for piece, i in table.pieces.items():
             self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
-        self.cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if table.by_words else "(?s:.+)")
+        self.cut = re.compile(" ( *[^ ]+| *$)")
 
     def ids(self, text: str) -> bytes:
-        """Ids of a text, without an end, as little-endian 32-bit words."""
+        """Ids of a text, without an end, as 32-bit words."""
         if not text:
             return b""
-        known, out = self.words, []
-        for word in self.cut.findall(SPACE + text.replace(" ", SPACE)):
-            ids = known.get(word)
-            if ids is None:
-                ids = np.array(self.word(word), "<i4").tobytes()
-                if len(word) <= 64:
-                    if len(known) >= KNOWN_WORDS:
-                        known.clear()
-                    known[word] = ids
-            out.append(ids)
-        return b"".join(out)
+        text = text.replace(SPACE, " ")
+        if not self.table.by_words:
+            words = [text]
+        elif "  " in text or text[-1] == " " or text[0] == " ":
+            words = self.cut.findall(" " + text)  # a run of spaces belongs to the word behind it
+        else:
+            words = text.split(" ")
+        return b"".join(map(self.words.__getitem__, words))
 
     def word(self, word: str) -> list[int]:
         lengths, pairs, together = self.table.lengths, self.pairs, self.table.together
