@@ -44,7 +44,8 @@ def effective(spark, folder, obs):
         "phenomenon_time", F.timestamp_seconds(F.unix_seconds("phenomenon_time") - 15 * S.DAY)
     )
     keys = settle(obs.select("datastream_key").distinct())
-    return watermarks.effective_watermarks(keys, S.stored_watermarks(spark, folder), held)
+    return watermarks.effective_watermarks(
+        keys, S.stored_watermarks(spark, folder), lambda: watermarks.newest_per_datastream(held))
 
 
 # --- watermarks ------------------------------------------------------------------------

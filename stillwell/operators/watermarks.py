@@ -1,5 +1,7 @@
 """Per-datastream high-watermarks: what is new, what was loaded already, what comes next."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from stillwell.operators.joins import lookup_join
@@ -19,23 +21,23 @@ def newest_time(target: DataFrame, key: str) -> DataFrame:
 
 
 def effective_watermarks(
-    keys: DataFrame, stored: DataFrame, target: DataFrame | None = None
+    keys: DataFrame, stored: DataFrame, newest: Callable[[], DataFrame] | None = None
 ) -> DataFrame:
     """The stored watermark of each key, else the latest time the target holds for it.
 
-    ``keys`` holds each datastream of the batch once. The target is read only for keys
-    without a stored watermark, and not at all when every key has one. Keys with neither
-    are left out. The result is settled.
+    ``keys`` holds each datastream of the batch once. ``newest`` gives the latest stored time
+    per datastream; it is asked only if a key has no stored watermark. Keys with neither are
+    left out. The result is settled.
     """
     marked = settle(
         keys.join(stored.select("datastream_key", "watermark"), "datastream_key", "left")
     )
     known = marked.where(F.col("watermark").isNotNull())
     missing = marked.where(F.col("watermark").isNull()).select("datastream_key")
-    if target is None or missing.isEmpty():
+    if newest is None or missing.isEmpty():
         return known
-    held = lookup_join(target, missing, "datastream_key", "left_semi")
-    return known.unionByName(settle(newest_per_datastream(held)))
+    held = lookup_join(newest(), missing, "datastream_key", "left_semi")
+    return known.unionByName(settle(held.select("datastream_key", "watermark")))
 
 
 def with_watermark(obs: DataFrame, watermarks: DataFrame) -> DataFrame:

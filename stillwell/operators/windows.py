@@ -29,6 +29,19 @@ def require_inside(records: DataFrame, start, end) -> None:
         )
 
 
+def require_span(posted: DataFrame, start, end) -> None:
+    """The same refusal from the first and last times of what is to be posted."""
+    first, last = in_window(F.col("oldest"), F.lit(start), F.lit(end)), in_window(
+        F.col("newest"), F.lit(start), F.lit(end))
+    found = posted.agg(F.min("oldest").alias("first"), F.max("newest").alias("last"),
+                       F.count_if(~(first & last)).alias("bad")).first()
+    if found["bad"]:
+        raise ValueError(
+            f"record(s) from {found['first']} to {found['last']} outside [{start}, {end}); "
+            "nothing was deleted or posted"
+        )
+
+
 def rejected(records: DataFrame) -> DataFrame:
     """Records no target may accept: without a datastream or a time."""
     return records.where(F.col("datastream_key").isNull() | F.col("phenomenon_time").isNull())
@@ -86,24 +99,22 @@ def replace_window(
     return kept_by(existing, keys, start, end).unionByName(new)
 
 
-def window_results(
-    new: DataFrame, deleted: DataFrame, watermarks: DataFrame, *, counted: str | None = None
-) -> DataFrame:
-    """Counts per datastream of a window load; the watermark only moves forward.
+def window_results(new: DataFrame, deleted: DataFrame, watermarks: DataFrame) -> DataFrame:
+    """Counts per datastream of a window load; the watermark only moves forward."""
+    posted = new.groupBy("datastream_key").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("phenomenon_time").alias("newest"))
+    gone = deleted.groupBy("datastream_key").agg(F.count(F.lit(1)).alias("n"))
+    return summed_results(posted, gone, watermarks)
 
-    ``deleted`` holds deleted rows, or counts of them in the column ``counted``.
-    """
-    gone = F.sum(counted) if counted else F.count(F.lit(1))
+
+def summed_results(posted: DataFrame, gone: DataFrame, watermarks: DataFrame) -> DataFrame:
+    """The same from counts: ``rows`` and ``newest`` of what was posted, ``n`` of what has gone."""
     nothing = F.lit(0).cast("bigint")
-    posted = new.groupBy("datastream_key").agg(
-        F.count(F.lit(1)).alias("posted"), nothing.alias("deleted"),
-        F.max("phenomenon_time").alias("latest"),
-    )
-    removed = deleted.groupBy("datastream_key").agg(
-        nothing.alias("posted"), gone.alias("deleted"),
-        F.lit(None).cast("timestamp").alias("latest"),
-    )
-    touched = posted.unionByName(removed).groupBy("datastream_key").agg(
+    added = posted.select("datastream_key", F.col("rows").alias("posted"),
+                          nothing.alias("deleted"), F.col("newest").alias("latest"))
+    removed = gone.select("datastream_key", nothing.alias("posted"), F.col("n").alias("deleted"),
+                          F.lit(None).cast("timestamp").alias("latest"))
+    touched = added.unionByName(removed).groupBy("datastream_key").agg(
         F.sum("posted").alias("posted"), F.sum("deleted").alias("deleted"),
         F.max("latest").alias("latest"),
     )

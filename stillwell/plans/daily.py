@@ -5,13 +5,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stillwell import schemas
 from stillwell.operators.audit import load_totals, transform_stats
 from stillwell.operators.mapping import failed_stations, good_rows, is_failed
-from stillwell.operators.watermarks import (
-    effective_watermarks, newest_per_datastream, past_watermark,
-)
+from stillwell.operators.watermarks import effective_watermarks, past_watermark
 from stillwell.session import pin, settle
 from stillwell.sinks import state as progress
 from stillwell.sinks.entities import upsert_entities
-from stillwell.sinks.observations import read_batch, read_observations, write_batch
+from stillwell.sinks.observations import live_folders, newest_stored, read_summary, write_batch
 from stillwell.sinks.zone import Zone
 from stillwell.sources.scan import newest_load, paths_since, scan_new, scan_stations
 from stillwell.sources.specs import SourceSpec
@@ -53,20 +51,15 @@ def load_batch(
         )
         stored = progress.watermarks(progress.read_state(spark, place, snapshot), scope)
         # Rows an earlier attempt of this batch left behind do not count as loaded.
-        others = read_observations(spark, zone.observations).where(
-            (F.col("agency") == spec.agency.upper()) & (F.col("batch") != batch)
+        marks = effective_watermarks(
+            considered.select("datastream_key"), stored,
+            lambda: newest_stored(spark, zone.observations, spec.agency, without_batch=batch),
         )
-        marks = effective_watermarks(considered.select("datastream_key"), stored, others)
         # Most batches have no failed station, and then nothing has to be joined away.
         good = good_rows(flagged, outcomes) if stats["adapter_failures"] else flagged
         fresh = past_watermark(spec.observations(good), marks)
-        write_batch(fresh, zone.observations, spec.agency, batch)
-
-        written = (
-            read_batch(spark, zone.observations, spec.agency, batch)
-            .groupBy("datastream_key")
-            .agg(F.count(F.lit(1)).alias("posted"), F.max("phenomenon_time").alias("newest"))
-        )
+        written = write_batch(fresh, zone.observations, spec.agency, batch).groupBy(
+            "datastream_key").agg(F.sum("rows").alias("posted"), F.max("newest").alias("newest"))
         posted = F.coalesce("posted", F.lit(0)).cast("bigint")
         results = settle(
             considered.join(written, "datastream_key", "left")
@@ -118,5 +111,7 @@ def run_daily(spark: SparkSession, spec: SourceSpec, zone: Zone) -> dict:
 
 
 def recovered_watermarks(spark: SparkSession, zone: Zone) -> DataFrame:
-    """Watermarks rebuilt from the target alone."""
-    return newest_per_datastream(read_observations(spark, zone.observations))
+    """Watermarks rebuilt from the target alone, that is from its summaries."""
+    root = zone.observations
+    return read_summary(spark, root, live_folders(spark, root)).groupBy("datastream_key").agg(
+        F.max("newest").alias("watermark"))

@@ -120,11 +120,17 @@ STORED_OBSERVATION = T.StructType(
     + _fields(("agency", STRING), ("obs_month", STRING), ("batch", STRING)).fields
 )
 
+# Rows and times of each datastream in a month of a batch.
+SUMMARY = _fields(
+    ("obs_month", STRING), ("batch", STRING), ("datastream_key", STRING),
+    ("rows", LONG), ("oldest", TIME), ("newest", TIME),
+)
+STORED_SUMMARY = T.StructType(SUMMARY.fields + _fields(("agency", STRING), ("generation", LONG)).fields)
+
 # --- progress --------------------------------------------------------------------------
 # position: microseconds for load ids and datastream watermarks, seconds for ingest
-# cursors, 1 for a finished chunk. Every kind only ever grows, so merging is a max.
+# cursors, 1 for a finished chunk, a generation for a folder. Every kind only ever grows, so merging is a max.
 STATE = _fields(("scope", STRING), ("kind", STRING), ("key", STRING), ("position", LONG))
-COMMIT = _fields(("snapshot", LONG), ("note", STRING))
 
 CHUNK_TOTALS = _fields(
     ("rows_ingested", LONG), ("bundles_loaded", LONG), ("observations_posted", LONG),

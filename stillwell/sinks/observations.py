@@ -1,69 +1,177 @@
-"""The observation table: parquet by agency, observation month and batch.
+"""The observation table: parquet by agency, generation, observation month and batch.
 
-Every write overwrites only the partitions of its own batch, so a repeated attempt replaces
-what the failed one left. Months bound the work of a window replace.
+Every write goes into folders of a new generation, and one commit names the generation that is live
+in each folder it touches (positions as in ``state``, beside the table). Until then readers see the
+old rows, and afterwards the new ones; nothing that is live is ever changed in place. So an attempt
+that stops at any point leaves the table as it was, and what it wrote is never read.
+
+With every generation goes a summary: rows, first and last time of each datastream and month. The
+latest stored time of a datastream comes from there, without opening the months themselves.
 """
 
+import time
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stillwell import schemas
+from stillwell.files import escaped, holding, remove, unescaped
 from stillwell.operators.joins import fits_broadcast, lookup_join
-from stillwell.operators.windows import (
-    accepted, deleted_by, kept_by, require_inside, window_results,
-)
+from stillwell.operators.windows import accepted, deleted_by, kept_by, require_span, summed_results
 from stillwell.session import settle
-from stillwell.sources.scan import read_or_empty
+from stillwell.sinks.state import commit_state, read_state
+
+FOLDERS = ["agency", "generation", "obs_month", "batch"]
+OWN = ["obs_month", "batch"]
+FOLDER = "folder"
+
+
+@dataclass(frozen=True)
+class Folder:
+    """A live folder; ``generation`` is odd where the folder lost all its rows."""
+
+    agency: str
+    month: str
+    batch: str
+    generation: int
+
+    @property
+    def held(self) -> bool:
+        return self.generation % 2 == 0
+
+    def path(self, spark: SparkSession, root: str) -> str:
+        month, batch = escaped(spark, self.month), escaped(spark, self.batch)
+        return f"{_place(spark, root, self.agency, self.generation)}/obs_month={month}/batch={batch}"
+
+
+def _place(spark: SparkSession, root: str, agency: str, generation: int) -> str:
+    """Where one attempt writes, and no other."""
+    return f"{root}/agency={escaped(spark, agency.upper())}/generation={generation}"
+
+
+def _commits(root: str) -> str:
+    return f"{root}_folders"
+
+
+def _summaries(root: str) -> str:
+    return f"{root}_summary"
+
+
+def live_folders(
+    spark: SparkSession, root: str, agency: str | None = None, months: list[str] | None = None
+) -> list[Folder]:
+    """The live folders by name: what any read of the table opens, and nothing else."""
+    rows = read_state(spark, _commits(root)).where(F.col("kind") == FOLDER)
+    if agency is not None:
+        rows = rows.where(F.col("scope") == agency.upper())
+    if months is not None:
+        rows = rows.where(F.substring_index("key", "/", 1).isin(months))
+    return [Folder(r["scope"], *r["key"].split("/", 1), r["position"]) for r in rows.collect()]
 
-FOLDERS = ["agency", "obs_month", "batch"]
 
+def _read(spark: SparkSession, root: str, folders: list[Folder]) -> DataFrame:
+    shape = schemas.STORED_OBSERVATION
+    paths = [f.path(spark, root) for f in folders if f.held]
+    if not paths:
+        return spark.createDataFrame([], shape)
+    return spark.read.schema(shape).option("basePath", root).parquet(*paths)
 
-def read_observations(spark: SparkSession, root: str) -> DataFrame:
-    return read_or_empty(spark, root, schemas.STORED_OBSERVATION)
 
+def read_observations(
+    spark: SparkSession, root: str, agency: str | None = None, months: list[str] | None = None
+) -> DataFrame:
+    """Live observations, of one agency or some months if named; other folders are not listed."""
+    return _read(spark, root, live_folders(spark, root, agency, months))
+
+
+def read_summary(spark: SparkSession, root: str, folders: list[Folder]) -> DataFrame:
+    """``obs_month, batch, datastream_key, rows, oldest, newest`` of the given folders."""
+    kept = [f for f in folders if f.held]
+    paths = {_place(spark, _summaries(root), f.agency, f.generation) for f in kept}
+    if not paths:
+        return spark.createDataFrame([], schemas.SUMMARY)
+    rows = spark.read.schema(schemas.STORED_SUMMARY).option(
+        "basePath", _summaries(root)).parquet(*sorted(paths))
+    # A generation may hold folders that a later one has replaced.
+    live = spark.createDataFrame([(f.agency, f.generation, f.month, f.batch) for f in kept],
+                                 "agency string, generation bigint, obs_month string, batch string")
+    return lookup_join(rows, live, FOLDERS, "left_semi").select(*schemas.SUMMARY.names)
+
+
+def newest_stored(
+    spark: SparkSession, root: str, agency: str, *, without_batch: str | None = None
+) -> DataFrame:
+    """Latest stored time per datastream, from the summaries alone."""
+    folders = [f for f in live_folders(spark, root, agency) if f.batch != without_batch]
+    return read_summary(spark, root, folders).groupBy("datastream_key").agg(
+        F.max("newest").alias("watermark"))
+
+
+def _generation(folders: list[Folder]) -> int:
+    """Later than all before; even, since it holds rows."""
+    return max([time.time_ns() // 1000 * 2, *(f.generation + 2 - f.generation % 2 for f in folders)])
 
-def _placed(obs: DataFrame, agency: str, batch: str) -> DataFrame:
+
+def _placed(obs: DataFrame, batch: str) -> DataFrame:
     return obs.select(
-        *schemas.OBSERVATION.names, F.lit(agency.upper()).alias("agency"),
+        *schemas.OBSERVATION.names,
         F.date_format("phenomenon_time", "yyyy-MM").alias("obs_month"),
         F.lit(batch).alias("batch"),
     )
 
 
-def _overwrite(rows: DataFrame, root: str) -> None:
+def _add(rows: DataFrame, place: str) -> None:
     # Rebalancing by folder gives well-sized files and splits an oversized folder; sorting
     # inside files lets readers of one datastream skip row groups.
-    spread = rows.hint("rebalance", *[F.col(c) for c in FOLDERS])
-    ordered = spread.sortWithinPartitions(*FOLDERS, "datastream_key", "phenomenon_time")
-    (ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*FOLDERS).parquet(root))
+    spread = rows.hint("rebalance", *[F.col(c) for c in OWN])
+    ordered = spread.sortWithinPartitions(*OWN, "datastream_key", "phenomenon_time")
+    ordered.write.mode("append").partitionBy(*OWN).parquet(place)
 
 
-def _empty(spark: SparkSession, root: str, folders: DataFrame) -> None:
-    """Remove the given folders. Only their names reach the driver, and no job runs for them."""
-    jvm = spark._jvm
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    files = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    for row in folders.select(*FOLDERS).collect():
-        path = "/".join(f"{name}={escape(row[name])}" for name in FOLDERS)
-        files.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{path}"), True)
+def _written(spark: SparkSession, root: str, agency: str, generation: int) -> list[Folder]:
+    """The folders of a generation, by name."""
+    found = []
+    for path in holding(spark, f"{_place(spark, root, agency, generation)}/obs_month=*/batch=*"):
+        month, batch = (unescaped(spark, part.split("=", 1)[1]) for part in path.split("/")[-2:])
+        found.append(Folder(agency.upper(), month, batch, generation))
+    return found
 
 
-def write_batch(obs: DataFrame, root: str, agency: str, batch: str) -> None:
-    """Write the observations of one batch; all or nothing.
+def _counted(rows: DataFrame) -> DataFrame:
+    """The summary of stored rows; two narrow columns are read."""
+    return rows.groupBy(*OWN, "datastream_key").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("phenomenon_time").alias("oldest"),
+        F.max("phenomenon_time").alias("newest"))
 
-    What an uncommitted attempt of the same batch left behind goes first, since this attempt
-    may no longer touch every folder of it.
-    """
-    spark = obs.sparkSession
-    _empty(spark, root, read_batch(spark, root, agency, batch).select(*FOLDERS).distinct())
-    _overwrite(_placed(accepted(obs), agency, batch), root)
 
+def _commit(
+    spark: SparkSession, root: str, agency: str, generation: int,
+    held: list[Folder], touched: list[Folder],
+) -> None:
+    """Make ``held`` live in one step; other folders of ``touched`` are empty from now on."""
+    full = {(f.month, f.batch) for f in held}
+    rows = [(agency.upper(), FOLDER, f"{m}/{b}", generation) for m, b in sorted(full)]
+    gone = {(f.month, f.batch) for f in touched if f.held} - full
+    rows += [(agency.upper(), FOLDER, f"{m}/{b}", generation + 1) for m, b in sorted(gone)]
+    if rows:
+        commit_state(spark, _commits(root), spark.createDataFrame(rows, schemas.STATE))
 
-def read_batch(spark: SparkSession, root: str, agency: str, batch: str) -> DataFrame:
-    stored = read_observations(spark, root)
-    return stored.where((F.col("agency") == agency.upper()) & (F.col("batch") == batch))
+
+def write_batch(obs: DataFrame, root: str, agency: str, batch: str) -> DataFrame:
+    """Write the observations of one batch; all or nothing. Returns their summary.
+
+    What an earlier attempt of the same batch wrote is replaced by the same commit.
+    """
+    spark = obs.sparkSession
+    earlier = [f for f in live_folders(spark, root, agency) if f.batch == batch]
+    generation = _generation(earlier)
+    _add(_placed(accepted(obs), batch), _place(spark, root, agency, generation))
+    folders = _written(spark, root, agency, generation)
+    own = _place(spark, _summaries(root), agency, generation)
+    _counted(_read(spark, root, folders)).write.parquet(own)
+    _commit(spark, root, agency, generation, folders, earlier)
+    return spark.read.schema(schemas.SUMMARY).parquet(own)
 
 
 def months_of(start: datetime, end: datetime) -> list[str]:
@@ -75,11 +183,6 @@ def months_of(start: datetime, end: datetime) -> list[str]:
     return months
 
 
-def _months(spark: SparkSession, root: str, agency: str, months: list[str]) -> DataFrame:
-    stored = read_observations(spark, root)
-    return stored.where((F.col("agency") == agency.upper()) & F.col("obs_month").isin(months))
-
-
 def replace_window_in_place(
     spark: SparkSession, root: str, agency: str, batch: str, new: DataFrame,
     start: datetime, end: datetime, watermarks: DataFrame, keys: DataFrame | None = None,
@@ -87,41 +190,61 @@ def replace_window_in_place(
     """Replace ``[start, end)`` of every datastream in ``new`` and return counts per
     datastream. ``keys`` may name more datastreams, whose window is then cleared as well.
 
-    Only folders that lose a row are rewritten. The window is deleted first: folders that
-    lose every row go, the others are rewritten with what is left. Then the new rows are
-    written, in a commit of their own. So an interrupted run leaves a gap and never a double;
-    running the same window again closes it.
+    New rows, and the survivors of every folder that loses a row, are written beside the live
+    folders and switched by one commit. Rows outside the window are live at any point; so are
+    the old rows of the window until the new ones are.
     """
-    new = settle(accepted(new.select(*schemas.OBSERVATION.names)))
-    require_inside(new, start, end)
-    wanted = new.select("datastream_key")
+    live = live_folders(spark, root, agency, months_of(start, end))
+    generation = _generation(live)
+    place = _place(spark, root, agency, generation)
+    own = _place(spark, _summaries(root), agency, generation)
+    _add(_placed(accepted(new.select(*schemas.OBSERVATION.names)), batch), place)
+    written = _written(spark, root, agency, generation)
+    posted = settle(_counted(_read(spark, root, written)))
+    try:
+        require_span(posted, start, end)
+    except ValueError:
+        remove(spark, place)
+        raise
+    wanted = posted.select("datastream_key")
     if keys is not None:
         wanted = wanted.unionByName(keys.select("datastream_key"))
     wanted = settle(wanted.distinct())
     small = fits_broadcast(wanted)
-
-    months = months_of(start, end)
-    touched = _months(spark, root, agency, months)
     losses = settle(
-        deleted_by(touched, wanted, start, end, small=small)
-        .groupBy(*FOLDERS, "datastream_key").agg(F.count(F.lit(1)).alias("n"))
+        deleted_by(_read(spark, root, live), wanted, start, end, small=small)
+        .groupBy(*OWN, "datastream_key").agg(F.count(F.lit(1)).alias("n"))
     )
-    own = spark.createDataFrame([(agency.upper(), m, batch) for m in months],
-                                "agency string, obs_month string, batch string")
-    folders = settle(losses.select(*FOLDERS).unionByName(own).distinct())
-    affected = lookup_join(touched, folders, FOLDERS, "left_semi")
-    placed = _placed(new, agency, batch)
-
-    # Row totals come from file footers alone, so finding the emptied folders is cheap.
-    lost = losses.groupBy(*FOLDERS).agg(F.sum("n").alias("lost"))
-    totals = affected.groupBy(*FOLDERS).agg(F.count(F.lit(1)).alias("held"))
-    emptied = lost.join(totals, FOLDERS).where(F.col("lost") == F.col("held"))
-    _empty(spark, root, emptied)
-    # Listed again: the emptied folders are gone.
-    affected = lookup_join(_months(spark, root, agency, months), folders, FOLDERS, "left_semi")
-    kept = kept_by(affected, wanted, start, end, small=small).select(
-        *schemas.STORED_OBSERVATION.names)
-    left = settle(kept.where(F.col("batch") == batch))  # of an earlier attempt, other streams
-    _overwrite(kept, root)
-    _overwrite(left.unionByName(placed), root)
-    return window_results(new, losses, watermarks, counted="n")
+    # A folder of this batch is replaced as a whole, so rows of other datastreams move along.
+    hit = {(r["obs_month"], r["batch"]) for r in losses.select(*OWN).distinct().collect()}
+    hit |= {(f.month, f.batch) for f in written}
+    touched = [f for f in live if f.held and (f.month, f.batch) in hit]
+    summary = posted
+    if touched:
+        kept = kept_by(_read(spark, root, touched), wanted, start, end, small=small)
+        _add(kept.drop("agency"), place)
+        written = _written(spark, root, agency, generation)
+        summary = _counted(_read(spark, root, written))
+    summary.write.parquet(own)
+    _commit(spark, root, agency, generation, written, touched)
+    return summed_results(posted, losses, watermarks)
+
+
+def sweep(spark: SparkSession, root: str, agency: str, before: datetime) -> int:
+    """Remove folders begun before a time that no commit names any more; returns their number.
+
+    Give a time that no running attempt and no running reader goes back to.
+    """
+    live = {f.path(spark, root) for f in live_folders(spark, root, agency) if f.held}
+    limit, removed = int(before.timestamp() * 2_000_000), 0
+    for place in holding(spark, f"{root}/agency={escaped(spark, agency.upper())}/generation=*"):
+        generation = int(place.rsplit("=", 1)[1])
+        if generation >= limit:
+            continue
+        folders = _written(spark, root, agency, generation)
+        dead = [f.path(spark, root) for f in folders if f.path(spark, root) not in live]
+        whole = len(dead) == len(folders)
+        for path in [place, _place(spark, _summaries(root), agency, generation)] if whole else dead:
+            remove(spark, path)
+        removed += len(dead)
+    return removed

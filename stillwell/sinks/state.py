@@ -1,8 +1,10 @@
-"""Progress as one table of positions, committed as a whole after the data.
+"""Progress as one table of positions that only grow.
 
-A commit writes the merged table to a new snapshot folder and then adds one row to the
-commit table; a reader takes the snapshot of the newest row. A snapshot without its row
-is an attempt that never finished, and the next commit overwrites it.
+A commit is one folder with the positions it raises, visible once its write has finished; an
+attempt that never finished is a folder nobody reads. Positions merge by their maximum, so commits
+can be read in any order and more than once. Every ``FOLD`` commits the table is folded into a new
+base, with marks that name the commits it holds. Readers pass those over, and the next fold removes
+them. So a read opens a bounded number of folders, and one that began before a fold still finds them.
 """
 
 import uuid
@@ -11,41 +13,85 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stillwell import schemas
+from stillwell.files import finished, listed, remove, touch
 from stillwell.functions import from_iso
-from stillwell.sources.scan import read_or_empty
 
 LOAD, WATERMARK, CURSOR, CHUNK, ORIGIN = "load", "watermark", "cursor", "chunk", "origin"
+NOTE = "note"  # what a commit is about; goes when it is folded
+FOLD = 32
+
+
+def _number(name: str) -> int:
+    return int(name[1:].split("-")[0])
+
+
+def _parts(spark: SparkSession, root: str) -> tuple[str | None, list[str]]:
+    """The newest base, and the commits it does not hold."""
+    names = sorted(finished(spark, root))
+    base = max((n for n in names if n.startswith("b")), key=_number, default=None)
+    held = _held(spark, root, base)
+    return base, [n for n in names if n.startswith("c") and n not in held]
+
+
+def _held(spark: SparkSession, root: str, base: str | None) -> set[str]:
+    return set() if base is None else set(listed(spark, f"{root}/{base}/_holds"))
 
 
 def latest_snapshot(spark: SparkSession, root: str) -> int:
     """Number of the last finished commit, 0 before the first."""
-    commits = read_or_empty(spark, f"{root}/commits", schemas.COMMIT)
-    return commits.agg(F.max("snapshot")).first()[0] or 0
+    return max((_number(n) for n in finished(spark, root)), default=0)
 
 
-def read_state(spark: SparkSession, root: str, snapshot: int | None = None) -> DataFrame:
-    latest = latest_snapshot(spark, root) if snapshot is None else snapshot
-    if not latest:
+def _read(spark: SparkSession, root: str, base: str | None, commits: list[str]) -> DataFrame:
+    names = commits if base is None else [base, *commits]
+    if not names:
         return spark.createDataFrame([], schemas.STATE)
-    return spark.read.schema(schemas.STATE).parquet(f"{root}/snapshots/{latest:010d}")
+    return spark.read.schema(schemas.STATE).parquet(*[f"{root}/{name}" for name in names])
+
+
+def _merged(positions: DataFrame) -> DataFrame:
+    return positions.groupBy("scope", "kind", "key").agg(F.max("position").alias("position"))
+
+
+def read_state(spark: SparkSession, root: str, snapshot: int | None = None) -> DataFrame:
+    """The positions of all finished commits, or of those up to ``snapshot``."""
+    base, commits = _parts(spark, root)
+    if snapshot is not None:
+        commits = [n for n in commits if _number(n) <= snapshot]
+    return _merged(_read(spark, root, base, commits).where(F.col("kind") != NOTE))
 
 
 def merge_state(old: DataFrame, new: DataFrame) -> DataFrame:
     """Positions only grow, so merging twice gives the same table."""
-    both = old.select(*schemas.STATE.names).unionByName(new.select(*schemas.STATE.names))
-    return both.groupBy("scope", "kind", "key").agg(F.max("position").alias("position"))
+    return _merged(old.select(*schemas.STATE.names).unionByName(new.select(*schemas.STATE.names)))
 
 
 def commit_state(
     spark: SparkSession, root: str, new: DataFrame, note: str = "", *, snapshot: int | None = None
 ) -> int:
-    """Merge ``new`` over the given (or latest) snapshot; returns the new number."""
-    base = latest_snapshot(spark, root) if snapshot is None else snapshot
-    merged = merge_state(read_state(spark, root, base), new)
-    merged.write.mode("overwrite").parquet(f"{root}/snapshots/{base + 1:010d}")
-    line = spark.createDataFrame([(base + 1, note)], schemas.COMMIT)
-    line.coalesce(1).write.mode("append").parquet(f"{root}/commits")
-    return base + 1
+    """Add ``new`` after the given (or latest) commit; returns the new number."""
+    number = (latest_snapshot(spark, root) if snapshot is None else snapshot) + 1
+    line = spark.createDataFrame([("", NOTE, note, number)], schemas.STATE)
+    rows = new.select(*schemas.STATE.names).unionByName(line)
+    rows.hint("rebalance").write.parquet(f"{root}/c{number:010d}-{uuid.uuid4().hex[:8]}")
+    base, commits = _parts(spark, root)
+    if len(commits) >= FOLD:
+        _fold(spark, root, base, commits)
+    return number
+
+
+def _fold(spark: SparkSession, root: str, base: str | None, commits: list[str]) -> None:
+    """Write a new base, then remove what the last one held, and the bases before that one."""
+    number = max([*map(_number, commits), 0 if base is None else _number(base)])
+    new = f"b{number:010d}-{uuid.uuid4().hex[:8]}"
+    whole = _merged(_read(spark, root, base, commits).where(F.col("kind") != NOTE))
+    whole.hint("rebalance").write.parquet(f"{root}/{new}")
+    for name in commits:
+        touch(spark, f"{root}/{new}/_holds/{name}")
+    older = _held(spark, root, base)
+    for name in finished(spark, root):
+        if name in older or name.startswith("b") and name not in (base, new):
+            remove(spark, f"{root}/{name}")
 
 
 def origin(spark: SparkSession, root: str) -> tuple[str, int]:

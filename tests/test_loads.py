@@ -1,3 +1,4 @@
+import pathlib
 from datetime import datetime, timezone
 
 import pytest
@@ -11,7 +12,7 @@ from stillwell.plans.replay import run_replay
 from stillwell.sinks import state as progress
 from stillwell.sinks.entities import read_entity, upsert_entities
 from stillwell.sinks.observations import (
-    months_of, read_observations, replace_window_in_place, write_batch,
+    months_of, read_observations, replace_window_in_place, sweep, write_batch,
 )
 from stillwell.sinks.raw import append_load, replace_stations
 from stillwell.sinks.zone import Zone
@@ -71,7 +72,8 @@ def test_repeats_inside_one_batch_all_pass(spark):
 def test_the_target_answers_only_for_keys_without_a_mark(spark):
     keys = spark.createDataFrame([("a",), ("b",), ("c",)], "datastream_key string")
     held = obs(spark, ("a", "2026-05-01", 1.0), ("b", "2026-03-01", 1.0), ("z", "2026-04-01", 1.0))
-    got = watermarks.effective_watermarks(keys, marks(spark, ("a", "2026-01-01")), held)
+    got = watermarks.effective_watermarks(
+        keys, marks(spark, ("a", "2026-01-01")), lambda: watermarks.newest_per_datastream(held))
     assert {r["datastream_key"]: r["watermark"].month for r in got.collect()} == {"a": 1, "b": 3}
 
 
@@ -245,8 +247,8 @@ def stored(spark, zone):
     write_batch(obs(spark, ("a", "2026-01-06", 5.0)), zone.observations, "X", "two")
 
 
-def replace(spark, zone, new, start=JAN, end=FEB, known=(), **more):
-    return replace_window_in_place(spark, zone.observations, "X", "w", new, start, end,
+def replace(spark, zone, new, start=JAN, end=FEB, known=(), batch="w", **more):
+    return replace_window_in_place(spark, zone.observations, "X", batch, new, start, end,
                                    marks(spark, *known), **more)
 
 
@@ -366,25 +368,99 @@ def test_a_batch_can_be_loaded_directly(spark, loggers):
     assert report["observations_posted"] == 1
 
 
-def test_a_replace_that_stops_between_its_commits_leaves_no_double(spark, zone, monkeypatch):
+@pytest.mark.parametrize("step, at", [("_add", 1), ("_counted", 1), ("kept_by", 1), ("_add", 2),
+                                      ("_counted", 2), ("commit_state", 1)])
+def test_a_replace_that_stops_at_any_point_changes_nothing(spark, zone, monkeypatch, step, at):
     from stillwell.sinks import observations
 
     stored(spark, zone)
+    before = target(spark, zone)
     new = obs(spark, ("a", "2026-01-05", 9.0), ("a", "2026-01-31 23:59:59", 8.0))
-    real, calls = observations._overwrite, []
+    real, calls = getattr(observations, step), []
 
-    def stops(rows, root):
+    def stops(*args, **more):
         calls.append(1)
-        if len(calls) == 2:
+        if len(calls) == at:
             raise RuntimeError("lost")
-        real(rows, root)
-
-    monkeypatch.setattr(observations, "_overwrite", stops)
-    with pytest.raises(RuntimeError, match="lost"):
-        replace(spark, zone, new)
-    left = target(spark, zone)
-    assert len({(k, t) for k, t, _ in left}) == len(left)
-    assert [v for _, _, v in left] == [3.0, 4.0]
-    monkeypatch.setattr(observations, "_overwrite", real)
+        return real(*args, **more)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(observations, step, stops)
+        with pytest.raises(RuntimeError, match="lost"):
+            replace(spark, zone, new)
+    assert target(spark, zone) == before
     replace(spark, zone, new)
     assert [v for _, _, v in target(spark, zone)] == [9.0, 8.0, 3.0, 4.0]
+
+
+def test_readers_between_write_and_commit_see_the_old_rows(spark, zone, monkeypatch):
+    from stillwell.sinks import observations
+
+    stored(spark, zone)
+    before, real = target(spark, zone), observations._commit
+    seen = []
+
+    def looks(*args):
+        seen.append(target(spark, zone))
+        real(*args)
+
+    monkeypatch.setattr(observations, "_commit", looks)
+    replace(spark, zone, obs(spark, ("a", "2026-01-10", 10.0)))
+    assert seen == [before]
+    assert [v for _, _, v in target(spark, zone)] == [10.0, 3.0, 4.0]
+
+
+def test_a_new_station_opens_no_old_month(spark, loggers):
+    write_batch(obs(spark, ("pvacd-1-dtw", "2020-01-01 00:00:15", 1.0),
+                    ("pvacd-2-dtw", "2020-02-01 00:00:15", 1.0)), loggers.observations, "PVACD", "old")
+    for part in broken(loggers.observations):
+        part.write_bytes(b"no parquet")
+    start = seconds("2020-01-01")
+    append_load(raw(spark, (1, start + 15, 1.0), (1, start + 16, 1.0), (7, start, 1.0)),
+                loggers.raw(LOGGERS), 100.5)
+    report = run_daily(spark, LOGGERS, loggers)
+    assert (report["observations_posted"], report["observations_skipped"]) == (2, 1)
+    assert recovered_watermarks(spark, loggers).count() == 3
+
+
+def broken(root):
+    found = list(pathlib.Path(root).rglob("part-*.parquet"))
+    assert found
+    return found
+
+
+def test_a_foreign_folder_is_neither_listed_nor_opened(spark, zone):
+    stored(spark, zone)
+    # Of another agency, another month, and of an attempt that never committed.
+    write_batch(obs(spark, ("z", "2026-01-05", 1.0)), zone.observations, "Y", "one")
+    write_batch(obs(spark, ("a", "2025-05-05", 1.0)), zone.observations, "X", "may")
+    for part in broken(f"{zone.observations}/agency=Y"):
+        part.write_bytes(b"no parquet")
+    may = [p for p in broken(f"{zone.observations}/agency=X") if "obs_month=2025-05" in str(p)]
+    for part in may:
+        part.write_bytes(b"no parquet")
+    stray = pathlib.Path(zone.observations) / "agency=X/generation=2/obs_month=2026-01/batch=s"
+    stray.mkdir(parents=True)
+    (stray / "part-0.parquet").write_bytes(b"no parquet")
+    got = replace(spark, zone, obs(spark, ("a", "2026-01-10", 10.0))).first()
+    assert (got["posted"], got["deleted"]) == (1, 3)
+    held = read_observations(spark, zone.observations, "X", ["2026-01", "2026-02"]).collect()
+    assert sorted(r["result"] for r in held) == [3.0, 4.0, 10.0]
+
+
+def test_swept_folders_are_those_that_are_not_live(spark, zone):
+    stored(spark, zone)
+    replace(spark, zone, obs(spark, ("a", "2026-01-10", 10.0)))
+    before = target(spark, zone)
+    assert sweep(spark, zone.observations, "X", datetime(2020, 1, 1, tzinfo=timezone.utc)) == 0
+    assert sweep(spark, zone.observations, "X", datetime(2100, 1, 1, tzinfo=timezone.utc)) == 2
+    assert target(spark, zone) == before
+    assert sweep(spark, zone.observations, "X", datetime(2100, 1, 1, tzinfo=timezone.utc)) == 0
+
+
+def test_batches_with_odd_names_can_be_read(spark, zone):
+    write_batch(obs(spark, ("a", "2026-01-05", 1.0)), zone.observations, "X", "a/b=c %{d}")
+    got = replace(spark, zone, obs(spark, ("b", "2026-01-10", 2.0)), batch="e*:f").first()
+    assert got["posted"] == 1
+    assert {(r["batch"], r["result"]) for r in read_observations(spark, zone.observations).collect()
+            } == {("a/b=c %{d}", 1.0), ("e*:f", 2.0)}

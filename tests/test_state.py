@@ -31,7 +31,8 @@ def test_commits_merge_and_never_move_back(spark, tmp_path):
 def test_an_unfinished_snapshot_does_not_count(spark, tmp_path):
     root = str(tmp_path / "s")
     progress.commit_state(spark, root, state(spark, ("x", "load", "last", 5)))
-    state(spark, ("x", "load", "last", 99)).write.parquet(f"{root}/snapshots/0000000002")
+    state(spark, ("x", "load", "last", 99)).write.parquet(f"{root}/c0000000002-lost")
+    (tmp_path / "s/c0000000002-lost/_SUCCESS").unlink()
     assert held(spark, root) == {("load", "last"): 5}
     progress.commit_state(spark, root, state(spark, ("x", "load", "last", 6)))
     assert held(spark, root) == {("load", "last"): 6}
@@ -76,3 +77,39 @@ def test_import_of_json_checkpoints(spark, tmp_path):
     assert progress.import_chunks(spark, str(path)).count() == 2
     path.write_text("nope")
     assert progress.import_chunks(spark, str(path)).count() == 0
+
+
+def test_a_thousand_commits_leave_few_folders(spark, tmp_path, monkeypatch):
+    root = tmp_path / "s"
+    monkeypatch.setattr(progress, "FOLD", 5)
+    for n in range(1, 41):
+        assert progress.commit_state(spark, str(root), state(
+            spark, ("x", "load", "last", n), ("x", "chunk", f"k{n}", 1))) == n
+        assert len(list(root.iterdir())) <= 3 * progress.FOLD
+    assert held(spark, str(root)) == {("load", "last"): 40} | {
+        ("chunk", f"k{n}"): 1 for n in range(1, 41)}
+    assert progress.latest_snapshot(spark, str(root)) == 40
+
+
+def test_a_read_that_began_before_a_fold_finds_its_files(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "s")
+    monkeypatch.setattr(progress, "FOLD", 4)
+    for n in range(1, 7):
+        progress.commit_state(spark, root, state(spark, ("x", "load", "last", n)))
+    before = progress.read_state(spark, root)  # listed now, read after the next fold
+    for n in range(7, 12):
+        progress.commit_state(spark, root, state(spark, ("x", "load", "last", n)))
+    assert before.first()["position"] == 6
+    assert progress.last_number(progress.read_state(spark, root), "x") == 11
+
+
+def test_a_late_commit_of_an_old_number_is_not_lost(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "s")
+    monkeypatch.setattr(progress, "FOLD", 3)
+    for n in range(1, 5):
+        progress.commit_state(spark, root, state(spark, ("x", "load", "last", n)))
+    # Another writer took its number before the fold and finished after it.
+    progress.commit_state(spark, root, state(spark, ("x", "chunk", "late", 1)), snapshot=1)
+    for n in range(5, 20):
+        progress.commit_state(spark, root, state(spark, ("x", "load", "last", n)))
+    assert held(spark, root) == {("load", "last"): 19, ("chunk", "late"): 1}
