@@ -12,12 +12,25 @@ def _store(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    store, at = _store(spark, path)
+    return store.exists(at)
+
+
 def listed(spark: SparkSession, root: str) -> list[str]:
     """Names of what lies in a folder; none where it does not exist."""
     store, at = _store(spark, root)
     return [e.getPath().getName() for e in store.listStatus(at)] if store.exists(at) else []
 
 
+def entries(spark: SparkSession, root: str) -> list[tuple[str, bool]]:
+    """(path, whether it is a folder) of what lies in a folder; none where it does not exist."""
+    store, at = _store(spark, root)
+    if not store.exists(at):
+        return []
+    return [(e.getPath().toString(), e.isDirectory()) for e in store.listStatus(at)]
+
+
 def finished(spark: SparkSession, root: str) -> list[str]:
     """Names of the folders in ``root`` that a Spark write has finished."""
     store, at = _store(spark, f"{root}/*/_SUCCESS")

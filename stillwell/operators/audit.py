@@ -95,28 +95,39 @@ def advanced_cursors(
 
 
 # --- transform and load ----------------------------------------------------------------
-def transform_stats(
-    outcomes: DataFrame, before: float | None, after: float | None
-) -> DataFrame:
-    """Totals over station outcomes, with the load id before and after."""
+def outcome_totals() -> list[Column]:
+    """Totals over station outcomes."""
     failed = is_failed()
-    return outcomes.agg(
+    return [
         _zero(F.sum("rows")).alias("rows_read"),
         F.count(F.lit(1)).alias("locations_grouped"),
         F.count_if(~failed).alias("bundles_produced"),
         F.count_if(failed).alias("adapter_failures"),
+    ]
+
+
+def transform_stats(
+    outcomes: DataFrame, before: float | None, after: float | None
+) -> DataFrame:
+    """Totals over station outcomes, with the load id before and after."""
+    return outcomes.agg(
+        *outcome_totals(),
         F.lit(before).cast("double").alias("watermark_before"),
         F.lit(after).cast("double").alias("watermark_after"),
     )
 
 
-def load_totals(results: DataFrame, bundles: int) -> DataFrame:
-    return results.agg(
-        F.lit(bundles).cast("bigint").alias("bundles_loaded"),
+def result_totals() -> list[Column]:
+    """Totals over the load results of datastreams."""
+    return [
         _zero(F.sum("posted")).alias("observations_posted"),
         _zero(F.sum("skipped")).alias("observations_skipped"),
         _zero(F.sum("deleted")).alias("observations_deleted"),
-    )
+    ]
+
+
+def load_totals(results: DataFrame, bundles: int) -> DataFrame:
+    return results.agg(F.lit(bundles).cast("bigint").alias("bundles_loaded"), *result_totals())
 
 
 def chunk_totals(chunks: DataFrame) -> DataFrame:

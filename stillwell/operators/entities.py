@@ -11,6 +11,13 @@ def new_entities(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     return candidates.join(keys, "external_key", "left_anti").dropDuplicates(["external_key"])
 
 
+def missing_keys(candidates: DataFrame, existing: DataFrame) -> DataFrame:
+    """Keys of any entity table that it lacks, each once, and how often they are given."""
+    by = ["entity", "external_key"]
+    return candidates.groupBy(*by).agg(F.count(F.lit(1)).alias("copies")).join(
+        existing, by, "left_anti")
+
+
 def entity_id(key: Column) -> Column:
     """A stable integer id of an external key."""
     return F.xxhash64(key)

@@ -46,18 +46,22 @@ def within(readings: DataFrame, start, end, column: str = "timestamp") -> DataFr
     return readings.where(in_window(F.col(column), F.lit(start), F.lit(end)))
 
 
-def cut_pages(readings: DataFrame, end: int, *, station: str = "location_id") -> DataFrame:
+def cut_pages(
+    readings: DataFrame, end: int | Column, *, station: str | list[str] = "location_id"
+) -> DataFrame:
     """Rows before ``end``, from pages up to the first one that reaches ``end``.
 
     Later pages count as unread even where they hold earlier readings. Rows without a time
-    stay with their page, so that they reach the quarantine.
+    stay with their page, so that they reach the quarantine. ``end`` may be a column that is
+    the same for all rows of a ``station``, which may be several columns.
     """
+    by = [station] if isinstance(station, str) else station
     cuts = (
         readings.where(F.col("timestamp") >= end)
-        .groupBy(station).agg(F.min("page").alias("_cut"))
+        .groupBy(*by).agg(F.min("page").alias("_cut"))
     )
     early = readings.where(F.col("timestamp").isNull() | (F.col("timestamp") < end))
-    marked = lookup_join(early, cuts, station, derived=True)
+    marked = lookup_join(early, cuts, by, derived=True)
     return marked.where(F.col("_cut").isNull() | (F.col("page") <= F.col("_cut"))).drop("_cut")
 
 

@@ -16,9 +16,11 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def unique_readings(readings: DataFrame, order: list[str]) -> DataFrame:
-    """One row per ``reading_id``: the last arrival."""
+    """One row per ``reading_id``: the last arrival. Rows without an id are all kept."""
     latest = Window.partitionBy("reading_id").orderBy(*[F.desc(name) for name in order])
     place = "_place"
-    return readings.withColumn(place, F.row_number().over(latest)).where(
-        F.col(place) == 1).drop(place).select(
+    named = readings.where(F.col("reading_id").isNotNull())
+    first = named.withColumn(place, F.row_number().over(latest)).where(
+        F.col(place) == 1).drop(place)
+    return first.unionByName(readings.where(F.col("reading_id").isNull())).select(
         "reading_id", *[name for name in readings.columns if name != "reading_id"])

@@ -8,7 +8,7 @@ rows of the hot ones number at most ``HOT_KEYS`` (the lookup has one row per key
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from stillwell.session import settle
+from stillwell.session import settle, settle_observed
 
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
@@ -24,11 +24,15 @@ def _width(field: T.StructField):
     return F.lit(16).cast("bigint")
 
 
+def _measures(df: DataFrame) -> list:
+    width = sum((_width(field) for field in df.schema.fields), F.lit(16).cast("bigint"))
+    return [F.count(F.lit(1)).alias("_n"), F.sum(width).alias("_size")]
+
+
 def measure(df: DataFrame) -> tuple[int, int]:
     """Rows and approximate in-memory bytes of ``df``, by one aggregate."""
-    width = sum((_width(field) for field in df.schema.fields), F.lit(16).cast("bigint"))
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).first()
-    return row["n"], row["size"] or 0
+    row = df.agg(*_measures(df)).first()
+    return row["_n"], row["_size"] or 0
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -36,6 +40,12 @@ def fits_broadcast(df: DataFrame) -> bool:
     return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
+def settle_measured(df: DataFrame, *metrics) -> tuple[DataFrame, bool, dict]:
+    """``df`` settled, whether it fits a broadcast, and other aggregates: no job of their own."""
+    kept, seen = settle_observed(df, *_measures(df), *metrics)
+    return kept, seen["_n"] <= BROADCAST_ROWS and (seen["_size"] or 0) <= BROADCAST_BYTES, seen
+
+
 def hottest_keys(facts: DataFrame, on: list[str], top: int | None = None) -> DataFrame:
     """The most frequent keys, at most ``top`` of them; counts combine before the shuffle."""
     present = facts.select(*on).dropna()
@@ -69,7 +79,7 @@ def lookup_join(
     """
     on = [on] if isinstance(on, str) else list(on)
     if derived:
-        lookup = settle(lookup)
+        lookup, small, _ = settle_measured(lookup)
     if fits_broadcast(lookup) if small is None else small:
         return facts.join(F.broadcast(lookup), on, how)
     return split_join(facts, lookup, on, how)

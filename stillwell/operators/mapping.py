@@ -10,13 +10,20 @@ from stillwell.session import settle
 
 
 # --- stations --------------------------------------------------------------------------
-def describe_stations(ids: DataFrame, table: DataFrame) -> DataFrame:
-    """Each ``location_id`` (given once) with what the station table says about it.
+def describe_stations(
+    ids: DataFrame, table: DataFrame, small: bool | None = None
+) -> DataFrame:
+    """Each ``location_id`` (given once) with what the station table says about it. ``small``:
+    the ids are known to fit a broadcast, and with them the rows of the table that they need.
 
     A station missing from the table gets empty texts and no coordinates; a null that the
     table itself holds stays null.
     """
-    return with_station(ids.select("location_id"), table).select(
+    wanted = ids.select("location_id")
+    if small:
+        own = wanted.select(F.col("location_id").alias("id"))
+        table = table.join(F.broadcast(own), "id", "left_semi")
+    return with_station(wanted, table, small or None).select(
         "location_id", "location_name", "location_description", "latitude", "longitude"
     )
 
@@ -26,14 +33,16 @@ def stations_of(readings: DataFrame, table: DataFrame) -> DataFrame:
     return describe_stations(readings.select("location_id").distinct(), table)
 
 
-def with_station(readings: DataFrame, table: DataFrame) -> DataFrame:
+def with_station(
+    readings: DataFrame, table: DataFrame, small: bool | None = None
+) -> DataFrame:
     """Readings with the same metadata on every row."""
     known = table.select(
         F.col("id").alias("location_id"), F.col("name").alias("_name"),
         F.col("description").alias("_text"), "latitude", "longitude",
         F.lit(True).alias("_known"),
     )
-    joined = lookup_join(readings, known, "location_id")
+    joined = lookup_join(readings, known, "location_id", small=small)
     absent = F.col("_known").isNull()
     return joined.withColumns({
         "location_name": F.when(absent, F.lit("")).otherwise(F.col("_name")),
@@ -175,9 +184,11 @@ def out_of_range(seconds: Column) -> Column:
 
 
 def station_outcomes(
-    flagged: DataFrame, first: list[str] | None = None, order: list[str] | None = None
+    flagged: DataFrame, first: list[str] | None = None, order: list[str] | None = None,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Rows and failure reason per station: one bad reading fails the whole station.
+    """Rows and failure reason per station: one bad reading fails the whole station. ``by`` may
+    name columns whose values are judged apart.
 
     ``first`` names columns whose values on the station's first row (by ``order``) ride
     along as a struct, so no second pass is needed for them.
@@ -186,10 +197,11 @@ def station_outcomes(
     Spark's hash aggregate can hold; each task so shrinks its files to a few rows per
     station before anything is shuffled.
     """
-    keys = ["location_id", "failure"]
+    own = [*by, "location_id"]
+    keys = [*own, "failure"]
     counted = [F.count(F.lit(1)).alias("rows")]
     if first:
-        keys += [*first, *order[:-1]]
+        keys += [c for c in (*first, *order[:-1]) if c not in keys]
         counted.append(F.min(order[-1]).alias(order[-1]))
     small = flagged.groupBy(*keys).agg(*counted)
     bad = F.when(F.col("failure").isNotNull(), F.col("rows")).otherwise(0)
@@ -199,7 +211,7 @@ def station_outcomes(
     ]
     if first:
         totals.append(F.min_by(F.struct(*first), F.struct(*order)).alias("first"))
-    return small.groupBy("location_id").agg(*totals)
+    return small.groupBy(*own).agg(*totals)
 
 
 def is_failed() -> Column:
@@ -211,10 +223,12 @@ def failed_stations(outcomes: DataFrame) -> DataFrame:
     return outcomes.where(is_failed())
 
 
-def good_rows(flagged: DataFrame, outcomes: DataFrame) -> DataFrame:
+def good_rows(
+    flagged: DataFrame, outcomes: DataFrame, *, small: bool | None = None
+) -> DataFrame:
     """Rows of the stations without a failure."""
     failed = failed_stations(outcomes).select("location_id")
-    kept = lookup_join(flagged, failed, "location_id", "left_anti")
+    kept = lookup_join(flagged, failed, "location_id", "left_anti", small=small)
     return kept.where(F.col("location_id").isNotNull())
 
 

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from stillwell.operators.joins import lookup_join
+from stillwell.operators.joins import lookup_join, settle_measured
 from stillwell.session import settle
 
 
@@ -29,20 +29,24 @@ def effective_watermarks(
     per datastream; it is asked only if a key has no stored watermark. Keys with neither are
     left out. The result is settled.
     """
-    marked = settle(
-        keys.join(stored.select("datastream_key", "watermark"), "datastream_key", "left")
+    marked, small, seen = settle_measured(
+        keys.join(stored.select("datastream_key", "watermark"), "datastream_key", "left"),
+        F.count_if(F.col("watermark").isNull()).alias("missing"),
     )
     known = marked.where(F.col("watermark").isNotNull())
     missing = marked.where(F.col("watermark").isNull()).select("datastream_key")
-    if newest is None or missing.isEmpty():
+    if newest is None or not seen["missing"]:
         return known
-    held = lookup_join(newest(), missing, "datastream_key", "left_semi")
+    held = lookup_join(newest(), missing, "datastream_key", "left_semi", small=small or None)
     return known.unionByName(settle(held.select("datastream_key", "watermark")))
 
 
-def with_watermark(obs: DataFrame, watermarks: DataFrame) -> DataFrame:
+def with_watermark(
+    obs: DataFrame, watermarks: DataFrame, *, small: bool | None = None
+) -> DataFrame:
     """Observations with the watermark of their datastream; null where there is none."""
-    return lookup_join(obs, watermarks.select("datastream_key", "watermark"), "datastream_key")
+    marks = watermarks.select("datastream_key", "watermark")
+    return lookup_join(obs, marks, "datastream_key", small=small)
 
 
 def is_new():
@@ -50,8 +54,10 @@ def is_new():
     return F.col("watermark").isNull() | (F.col("phenomenon_time") > F.col("watermark"))
 
 
-def past_watermark(obs: DataFrame, watermarks: DataFrame) -> DataFrame:
-    return with_watermark(obs, watermarks).where(is_new()).drop("watermark")
+def past_watermark(
+    obs: DataFrame, watermarks: DataFrame, *, small: bool | None = None
+) -> DataFrame:
+    return with_watermark(obs, watermarks, small=small).where(is_new()).drop("watermark")
 
 
 def load_results(marked: DataFrame) -> DataFrame:

@@ -29,15 +29,18 @@ def require_inside(records: DataFrame, start, end) -> None:
         )
 
 
-def require_span(posted: DataFrame, start, end) -> None:
+def outside_span(start, end) -> list:
+    """Aggregates over ``oldest`` and ``newest`` that ``require_span`` judges."""
+    times = [in_window(F.col(c), F.lit(start), F.lit(end)) for c in ("oldest", "newest")]
+    return [F.min("oldest").alias("first"), F.max("newest").alias("last"),
+            F.count_if(~(times[0] & times[1])).alias("outside")]
+
+
+def require_span(span: dict, start, end) -> None:
     """The same refusal from the first and last times of what is to be posted."""
-    first, last = in_window(F.col("oldest"), F.lit(start), F.lit(end)), in_window(
-        F.col("newest"), F.lit(start), F.lit(end))
-    found = posted.agg(F.min("oldest").alias("first"), F.max("newest").alias("last"),
-                       F.count_if(~(first & last)).alias("bad")).first()
-    if found["bad"]:
+    if span["outside"]:
         raise ValueError(
-            f"record(s) from {found['first']} to {found['last']} outside [{start}, {end}); "
+            f"record(s) from {span['first']} to {span['last']}, outside [{start}, {end}); "
             "nothing was deleted or posted"
         )
 
@@ -107,19 +110,23 @@ def window_results(new: DataFrame, deleted: DataFrame, watermarks: DataFrame) ->
     return summed_results(posted, gone, watermarks)
 
 
-def summed_results(posted: DataFrame, gone: DataFrame, watermarks: DataFrame) -> DataFrame:
+def summed_results(
+    posted: DataFrame, gone: DataFrame | None, watermarks: DataFrame, *, small: bool | None = None
+) -> DataFrame:
     """The same from counts: ``rows`` and ``newest`` of what was posted, ``n`` of what has gone."""
     nothing = F.lit(0).cast("bigint")
-    added = posted.select("datastream_key", F.col("rows").alias("posted"),
-                          nothing.alias("deleted"), F.col("newest").alias("latest"))
-    removed = gone.select("datastream_key", nothing.alias("posted"), F.col("n").alias("deleted"),
-                          F.lit(None).cast("timestamp").alias("latest"))
-    touched = added.unionByName(removed).groupBy("datastream_key").agg(
+    touched = posted.select("datastream_key", F.col("rows").alias("posted"),
+                            nothing.alias("deleted"), F.col("newest").alias("latest"))
+    if gone is not None:
+        touched = touched.unionByName(gone.select(
+            "datastream_key", nothing.alias("posted"), F.col("n").alias("deleted"),
+            F.lit(None).cast("timestamp").alias("latest")))
+    touched = touched.groupBy("datastream_key").agg(
         F.sum("posted").alias("posted"), F.sum("deleted").alias("deleted"),
         F.max("latest").alias("latest"),
     )
     marked = lookup_join(
-        touched, watermarks.select("datastream_key", "watermark"), "datastream_key"
+        touched, watermarks.select("datastream_key", "watermark"), "datastream_key", small=small
     )
     return marked.select(
         "datastream_key", F.col("posted").alias("considered"), "posted",

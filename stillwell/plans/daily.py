@@ -3,15 +3,16 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stillwell import schemas
-from stillwell.operators.audit import load_totals, transform_stats
+from stillwell.operators.audit import outcome_totals, result_totals
+from stillwell.operators.joins import settle_measured
 from stillwell.operators.mapping import failed_stations, good_rows, is_failed
 from stillwell.operators.watermarks import effective_watermarks, past_watermark
-from stillwell.session import pin, settle
+from stillwell.session import pin, settle, settle_observed
 from stillwell.sinks import state as progress
 from stillwell.sinks.entities import upsert_entities
 from stillwell.sinks.observations import live_folders, newest_stored, read_summary, write_batch
 from stillwell.sinks.zone import Zone
-from stillwell.sources.scan import newest_load, paths_since, scan_new, scan_stations
+from stillwell.sources.scan import newest_of, paths_since, scan_new, scan_stations
 from stillwell.sources.specs import SourceSpec
 
 
@@ -25,7 +26,7 @@ def station_table(spark: SparkSession, spec: SourceSpec, zone: Zone) -> DataFram
 def load_batch(
     spark: SparkSession, spec: SourceSpec, zone: Zone, raw: DataFrame, *, batch: str,
     scope: str, stations: DataFrame | None = None, extra_state: DataFrame | None = None,
-    before: float | None = None, after: float | None = None, snapshot: int | None = None,
+    before: float | None = None, after: float | None = None,
 ) -> dict:
     """Map ``raw`` and append what is new, then commit all progress at once.
 
@@ -34,34 +35,36 @@ def load_batch(
     not run again once committed (``run_daily`` and ``run_stream`` see to that).
     """
     place = zone.progress(scope)
-    snapshot = progress.latest_snapshot(spark, place) if snapshot is None else snapshot
     flagged = spec.flagged(raw)
-    outcomes = settle(spec.outcomes(flagged))
-    stats = transform_stats(outcomes, before, after).first().asDict()
+    outcomes, small, seen = settle_measured(spec.outcomes(flagged), *outcome_totals())
+    small = small or None  # unknown for what derives from many outcomes
+    stats = {c: n for c, n in seen.items() if not c.startswith("_")}
+    stats |= {"watermark_before": before, "watermark_after": after}
     quarantined = failed_stations(outcomes).select("location_id", "failure", "bad_rows")
     updates, results = extra_state, None
+    loaded = {"observations_posted": 0, "observations_skipped": 0, "observations_deleted": 0}
     if stats["bundles_produced"]:
         passed = outcomes.where(~is_failed())
         if stations is None:
             stations = station_table(spark, spec, zone)
-        described = settle(spec.stations(passed, stations))
+        described = settle(spec.stations(passed, stations, small))
         upsert_entities(spark, zone, spec.entities(described))
         considered = passed.select(
             spec.stream_key().alias("datastream_key"), F.col("rows").alias("considered")
         )
-        stored = progress.watermarks(progress.read_state(spark, place, snapshot), scope)
+        stored = progress.watermarks(progress.read_state(spark, place), scope)
         # Rows an earlier attempt of this batch left behind do not count as loaded.
         marks = effective_watermarks(
             considered.select("datastream_key"), stored,
             lambda: newest_stored(spark, zone.observations, spec.agency, without_batch=batch),
         )
         # Most batches have no failed station, and then nothing has to be joined away.
-        good = good_rows(flagged, outcomes) if stats["adapter_failures"] else flagged
-        fresh = past_watermark(spec.observations(good), marks)
+        good = good_rows(flagged, outcomes, small=small) if stats["adapter_failures"] else flagged
+        fresh = past_watermark(spec.observations(good), marks, small=small)
         written = write_batch(fresh, zone.observations, spec.agency, batch).groupBy(
             "datastream_key").agg(F.sum("rows").alias("posted"), F.max("newest").alias("newest"))
         posted = F.coalesce("posted", F.lit(0)).cast("bigint")
-        results = settle(
+        results, loaded = settle_observed(
             considered.join(written, "datastream_key", "left")
             .join(marks, "datastream_key", "left")
             .select(
@@ -69,7 +72,8 @@ def load_batch(
                 (F.col("considered") - posted).alias("skipped"),
                 F.lit(0).cast("bigint").alias("deleted"),
                 F.greatest("newest", "watermark").alias("new_watermark"),
-            )
+            ),
+            *result_totals(),
         )
         # A watermark recovered from the target is not stored while nothing new was posted.
         moved = progress.watermark_rows(
@@ -77,12 +81,9 @@ def load_batch(
         )
         updates = moved if updates is None else updates.unionByName(moved)
     if updates is not None:
-        progress.commit_state(spark, place, updates, batch, snapshot=snapshot)
-    totals = {"bundles_loaded": 0, "observations_posted": 0, "observations_skipped": 0,
-              "observations_deleted": 0}
-    if results is not None:
-        totals = load_totals(results, stats["bundles_produced"]).first().asDict()
-    return {**stats, **totals, "results": results, "quarantined": quarantined}
+        progress.commit_state(spark, place, updates, batch)
+    return {**stats, "bundles_loaded": stats["bundles_produced"], **loaded,
+            "results": results, "quarantined": quarantined}
 
 
 def run_daily(spark: SparkSession, spec: SourceSpec, zone: Zone) -> dict:
@@ -93,10 +94,11 @@ def run_daily(spark: SparkSession, spec: SourceSpec, zone: Zone) -> dict:
     """
     pin(spark)
     place = zone.progress(spec.dataset)
-    origin, snapshot = progress.origin(spark, place)
-    since = progress.last_load(progress.read_state(spark, place, snapshot), spec.dataset)
+    origin = progress.origin(spark, place)
+    last = progress.last_of(progress.positions(spark, place, progress.LOAD), spec.dataset)
+    since = None if last is None else last / 1e6
     paths = paths_since(spark, zone.raw(spec), since)
-    newest = newest_load(spark, paths, since)
+    newest = newest_of(spark, paths, since)
     if newest is None or newest == since:
         return {"rows_read": 0, "bundles_loaded": 0, "observations_posted": 0,
                 "observations_skipped": 0, "watermark_before": since, "watermark_after": newest,
@@ -106,7 +108,7 @@ def run_daily(spark: SparkSession, spec: SourceSpec, zone: Zone) -> dict:
     mark = progress.load_rows(spark, spec.dataset, newest)
     return load_batch(
         spark, spec, zone, raw, batch=batch, scope=spec.dataset, extra_state=mark,
-        before=since, after=newest, snapshot=snapshot,
+        before=since, after=newest,
     )
 
 

@@ -2,7 +2,8 @@
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -40,3 +41,19 @@ def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the durable folder, so later reads neither recompute nor vary."""
     durable_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def settle_observed(df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict]:
+    """``settle`` with aggregates over the rows, taken by the same job."""
+    seen = Observation()
+    kept = settle(df.observe(seen, *metrics))
+    return kept, observed(seen, kept, *metrics)
+
+
+def observed(seen: Observation, written: DataFrame, *metrics: Column) -> dict:
+    """What a job observed. A job whose rows were planned away has observed nothing; then what it
+    wrote, which is empty, is asked."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return written.agg(*metrics).first().asDict()

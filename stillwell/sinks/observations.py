@@ -12,15 +12,17 @@ latest stored time of a datastream comes from there, without opening the months
 import time
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stillwell import schemas
 from stillwell.files import escaped, holding, remove, unescaped
-from stillwell.operators.joins import fits_broadcast, lookup_join
-from stillwell.operators.windows import accepted, deleted_by, kept_by, require_span, summed_results
-from stillwell.session import settle
-from stillwell.sinks.state import commit_state, read_state
+from stillwell.operators.joins import BROADCAST_ROWS, lookup_join, settle_measured
+from stillwell.operators.windows import (
+    accepted, deleted_by, kept_by, outside_span, require_span, summed_results,
+)
+from stillwell.sinks.state import commit_state, positions
 
 FOLDERS = ["agency", "generation", "obs_month", "batch"]
 OWN = ["obs_month", "batch"]
@@ -62,12 +64,10 @@ def live_folders(
     spark: SparkSession, root: str, agency: str | None = None, months: list[str] | None = None
 ) -> list[Folder]:
     """The live folders by name: what any read of the table opens, and nothing else."""
-    rows = read_state(spark, _commits(root)).where(F.col("kind") == FOLDER)
-    if agency is not None:
-        rows = rows.where(F.col("scope") == agency.upper())
-    if months is not None:
-        rows = rows.where(F.substring_index("key", "/", 1).isin(months))
-    return [Folder(r["scope"], *r["key"].split("/", 1), r["position"]) for r in rows.collect()]
+    found = positions(spark, _commits(root), FOLDER)
+    folders = [Folder(scope, *key.split("/", 1), n) for (scope, _, key), n in found.items()]
+    return [f for f in folders if (agency is None or f.agency == agency.upper())
+            and (months is None or f.month in months)]
 
 
 def _read(spark: SparkSession, root: str, folders: list[Folder]) -> DataFrame:
@@ -96,7 +96,8 @@ def read_summary(spark: SparkSession, root: str, folders: list[Folder]) -> DataF
     # A generation may hold folders that a later one has replaced.
     live = spark.createDataFrame([(f.agency, f.generation, f.month, f.batch) for f in kept],
                                  "agency string, generation bigint, obs_month string, batch string")
-    return lookup_join(rows, live, FOLDERS, "left_semi").select(*schemas.SUMMARY.names)
+    return lookup_join(rows, live, FOLDERS, "left_semi", small=len(kept) <= BROADCAST_ROWS).select(
+        *schemas.SUMMARY.names)
 
 
 def newest_stored(
@@ -155,7 +156,8 @@ def _commit(
     gone = {(f.month, f.batch) for f in touched if f.held} - full
     rows += [(agency.upper(), FOLDER, f"{m}/{b}", generation + 1) for m, b in sorted(gone)]
     if rows:
-        commit_state(spark, _commits(root), spark.createDataFrame(rows, schemas.STATE))
+        named = spark.createDataFrame(rows, schemas.STATE).coalesce(1)
+        commit_state(spark, _commits(root), named)
 
 
 def write_batch(obs: DataFrame, root: str, agency: str, batch: str) -> DataFrame:
@@ -186,6 +188,7 @@ def months_of(start: datetime, end: datetime) -> list[str]:
 def replace_window_in_place(
     spark: SparkSession, root: str, agency: str, batch: str, new: DataFrame,
     start: datetime, end: datetime, watermarks: DataFrame, keys: DataFrame | None = None,
+    *, few_marks: bool | None = None,
 ) -> DataFrame:
     """Replace ``[start, end)`` of every datastream in ``new`` and return counts per
     datastream. ``keys`` may name more datastreams, whose window is then cleared as well.
@@ -200,25 +203,28 @@ def replace_window_in_place(
     own = _place(spark, _summaries(root), agency, generation)
     _add(_placed(accepted(new.select(*schemas.OBSERVATION.names)), batch), place)
     written = _written(spark, root, agency, generation)
-    posted = settle(_counted(_read(spark, root, written)))
+    posted, small, span = settle_measured(_counted(_read(spark, root, written)),
+                                          *outside_span(start, end))
     try:
-        require_span(posted, start, end)
+        require_span(span, start, end)
     except ValueError:
         remove(spark, place)
         raise
-    wanted = posted.select("datastream_key")
-    if keys is not None:
-        wanted = wanted.unionByName(keys.select("datastream_key"))
-    wanted = settle(wanted.distinct())
-    small = fits_broadcast(wanted)
-    losses = settle(
-        deleted_by(_read(spark, root, live), wanted, start, end, small=small)
-        .groupBy(*OWN, "datastream_key").agg(F.count(F.lit(1)).alias("n"))
-    )
-    # A folder of this batch is replaced as a whole, so rows of other datastreams move along.
-    hit = {(r["obs_month"], r["batch"]) for r in losses.select(*OWN).distinct().collect()}
-    hit |= {(f.month, f.batch) for f in written}
-    touched = [f for f in live if f.held and (f.month, f.batch) in hit]
+    wanted = posted.select("datastream_key").distinct()
+    if keys is not None or not small:
+        named = [] if keys is None else [keys.select("datastream_key")]
+        wanted, small, _ = settle_measured(reduce(
+            DataFrame.unionByName, named, posted.select("datastream_key")).distinct())
+    losses, touched = None, []
+    if any(f.held for f in live):
+        # The folders that lose a row are told by the same job that counts the losses.
+        at = F.collect_set(F.struct(*OWN)).alias("hit")
+        losses, _, seen = settle_measured(
+            deleted_by(_read(spark, root, live), wanted, start, end, small=small)
+            .groupBy(*OWN, "datastream_key").agg(F.count(F.lit(1)).alias("n")), at)
+        # A folder of this batch is replaced as a whole: rows of other datastreams move along.
+        hit = {tuple(r) for r in seen["hit"]} | {(f.month, f.batch) for f in written}
+        touched = [f for f in live if f.held and (f.month, f.batch) in hit]
     summary = posted
     if touched:
         kept = kept_by(_read(spark, root, touched), wanted, start, end, small=small)
@@ -227,7 +233,7 @@ def replace_window_in_place(
         summary = _counted(_read(spark, root, written))
     summary.write.parquet(own)
     _commit(spark, root, agency, generation, written, touched)
-    return summed_results(posted, losses, watermarks)
+    return summed_results(posted, losses, watermarks, small=few_marks or None)
 
 
 def sweep(spark: SparkSession, root: str, agency: str, before: datetime) -> int:

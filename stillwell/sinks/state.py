@@ -61,6 +61,17 @@ def read_state(spark: SparkSession, root: str, snapshot: int | None = None) -> D
     return _merged(_read(spark, root, base, commits).where(F.col("kind") != NOTE))
 
 
+def positions(spark: SparkSession, root: str, *kinds: str) -> dict[tuple[str, str, str], int]:
+    """(scope, kind, key) to position of kinds that the driver may hold: marks of loads and
+    folder names. Rows merge as they arrive, so nothing is shuffled."""
+    base, commits = _parts(spark, root)
+    found: dict[tuple[str, str, str], int] = {}
+    for row in _read(spark, root, base, commits).where(F.col("kind").isin(*kinds)).collect():
+        key = row["scope"], row["kind"], row["key"]
+        found[key] = max(row["position"], found.get(key, row["position"]))
+    return found
+
+
 def merge_state(old: DataFrame, new: DataFrame) -> DataFrame:
     """Positions only grow, so merging twice gives the same table."""
     return _merged(old.select(*schemas.STATE.names).unionByName(new.select(*schemas.STATE.names)))
@@ -71,9 +82,9 @@ def commit_state(
 ) -> int:
     """Add ``new`` after the given (or latest) commit; returns the new number."""
     number = (latest_snapshot(spark, root) if snapshot is None else snapshot) + 1
-    line = spark.createDataFrame([("", NOTE, note, number)], schemas.STATE)
+    line = spark.createDataFrame([("", NOTE, note, number)], schemas.STATE).coalesce(1)
     rows = new.select(*schemas.STATE.names).unionByName(line)
-    rows.hint("rebalance").write.parquet(f"{root}/c{number:010d}-{uuid.uuid4().hex[:8]}")
+    rows.write.parquet(f"{root}/c{number:010d}-{uuid.uuid4().hex[:8]}")
     base, commits = _parts(spark, root)
     if len(commits) >= FOLD:
         _fold(spark, root, base, commits)
@@ -94,21 +105,19 @@ def _fold(spark: SparkSession, root: str, base: str | None, commits: list[str])
             remove(spark, f"{root}/{name}")
 
 
-def origin(spark: SparkSession, root: str) -> tuple[str, int]:
-    """A name for this progress table, given before its first data, and its snapshot.
+def origin(spark: SparkSession, root: str) -> str:
+    """A name for this progress table, given before its first data.
 
     Batches carry the name. Should the progress be lost, its successor has another name, so
     no batch of the old one is ever taken for an unfinished attempt.
     """
-    snapshot = latest_snapshot(spark, root)
-    if snapshot:
-        found = read_state(spark, root, snapshot).where(F.col("kind") == ORIGIN)
-        name = found.agg(F.min("key")).first()[0]
-        if name:
-            return name, snapshot
+    names = [key for _, _, key in positions(spark, root, ORIGIN)]
+    if names:
+        return min(names)
     name = uuid.uuid4().hex[:12]
     row = spark.createDataFrame([("", ORIGIN, name, 1)], schemas.STATE)
-    return name, commit_state(spark, root, row, "origin", snapshot=snapshot)
+    commit_state(spark, root, row, "origin")
+    return name
 
 
 # --- typed views -----------------------------------------------------------------------
@@ -159,6 +168,11 @@ def last_number(state: DataFrame, scope: str) -> int | None:
     return _of(state, scope, LOAD).agg(F.max("position")).first()[0]
 
 
+def last_of(marks: dict, scope: str) -> int | None:
+    """The same from ``positions``."""
+    return marks.get((scope, LOAD, "last"))
+
+
 def number_rows(spark: SparkSession, scope: str, number: int) -> DataFrame:
     return spark.createDataFrame([(scope, LOAD, "last", number)], schemas.STATE)
 

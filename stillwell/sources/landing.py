@@ -55,17 +55,17 @@ def require_intact(rows: DataFrame, what: str) -> DataFrame:
     return rows.where(whole).drop(DAMAGED)
 
 
-def flatten_pages(pages: DataFrame) -> DataFrame:
+def flatten_pages(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per (station, parameter, reading), still carrying its page."""
     parameters = pages.select(
-        "location_id", "page", F.explode("payload.parameters").alias("p")
+        "location_id", "page", F.explode("payload.parameters").alias("p"), *carry
     )
     readings = parameters.select(
-        "location_id", "page", F.col("p.parameterId").alias("parameter_id"),
+        *carry, "location_id", "page", F.col("p.parameterId").alias("parameter_id"),
         F.col("p.unitId").alias("unit_id"), F.explode("p.readings").alias("r"),
     )
     return readings.select(
-        reading_id(F.col("location_id"), F.col("parameter_id"), F.col("r.timestamp"))
+        *carry, reading_id(F.col("location_id"), F.col("parameter_id"), F.col("r.timestamp"))
         .alias("reading_id"),
         "location_id", F.col("r.timestamp").alias("timestamp"), "parameter_id", "unit_id",
         F.col("r.value").alias("value"), "page",
@@ -87,6 +87,16 @@ def window_readings(pages: DataFrame, ids, start: int, end: int) -> DataFrame:
     return rows.select(*schemas.LOGGER_READINGS.names)
 
 
+def windows_readings(pages: DataFrame, ids, windows: str) -> DataFrame:
+    """The same for many windows at once: ``windows`` names a struct of ``start`` and ``end`` that
+    says which window a page was fetched for. Rows keep that struct."""
+    rows = flatten_pages(only_stations(pages, ids), (windows,))
+    start, end = F.col(f"{windows}.start"), F.col(f"{windows}.end")
+    rows = rows.where(F.col("timestamp").isNull() | (F.col("timestamp") >= start))
+    rows = cut_pages(rows, end, station=[windows, "location_id"])
+    return rows.select(*schemas.LOGGER_READINGS.names, windows)
+
+
 def merge_pages(pages: DataFrame) -> DataFrame:
     """Readings of one station and parameter in page order, numbered; nothing is regrouped.
 

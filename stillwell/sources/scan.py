@@ -10,6 +10,7 @@ import re
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from stillwell.files import entries, exists, listed
 from stillwell.operators.grouping import last_per_key
 
 LOAD_PATTERN = r"(?:/load_id=(\d+\.\d+)/[^/]*|/(\d+\.\d+)\.[^/]*)$"
@@ -24,12 +25,9 @@ def load_id_of(path: Column) -> Column:
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet under ``path``, or no rows where nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def paths_since(spark: SparkSession, root: str, since: float | None) -> list[str]:
@@ -39,30 +37,41 @@ def paths_since(spark: SparkSession, root: str, since: float | None) -> list[str
     old loads cost one name each. Files of any other layout are picked by their own load id,
     in whatever folder they lie.
     """
-    if since is None:
-        return [root]
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return []
-    found, open_ = [], [path]
+    return sorted(path for path, load_id in named_loads(spark, root)
+                  if since is None or load_id > since)
+
+
+def named_loads(spark: SparkSession, root: str) -> list[tuple[str, float]]:
+    """Every load folder, and every data file outside of one, with its load id, by name alone."""
+    found, open_ = [], [root]
     while open_:
-        for entry in files.listStatus(open_.pop()):
-            name, at = entry.getPath().getName(), entry.getPath().toString()
-            if entry.isDirectory():
-                own = re.fullmatch(r"load_id=(\d+\.\d+)", name)
-                if own is None:
-                    open_.append(entry.getPath())
-                elif float(own[1]) > since:
-                    found.append(at)
-            elif (own := re.match(r"(\d+\.\d+)\..*parquet$", name)) and float(own[1]) > since:
-                found.append(at)
-    return sorted(found)
+        for path, is_folder in entries(spark, open_.pop()):
+            name = path.rsplit("/", 1)[1]
+            if is_folder:
+                if own := re.fullmatch(r"load_id=(\d+\.\d+)", name):
+                    found.append((path, float(own[1])))
+                elif not name.startswith(("_", ".")):
+                    open_.append(path)
+            elif own := re.match(r"(\d+\.\d+)\..*parquet$", name):
+                found.append((path, float(own[1])))
+    return found
+
+
+def newest_of(spark: SparkSession, paths: list[str], since: float | None) -> float | None:
+    """Highest load id among ``paths`` that holds a data file, never below ``since``. A folder
+    without one is a load that is still being written."""
+    def key(path):
+        return float(re.search(r"(?:load_id=|/)(\d+\.\d+)[^/]*$", path)[1])
+
+    for path in sorted(paths, key=key, reverse=True):
+        if "/load_id=" not in path or any(n.endswith(".parquet") for n in listed(spark, path)):
+            return key(path)
+    return since
 
 
 def list_loads(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """Every data file with its load id; contents are not read."""
-    if not root:
+    if not root or isinstance(root, str) and not exists(spark, root):
         return spark.createDataFrame([], "path string, load_id double")
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
@@ -99,7 +108,7 @@ def _empty_scan(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def _guarded(spark, root, schema, chosen) -> DataFrame:
-    if not root:
+    if not root or isinstance(root, str) and not exists(spark, root):
         return _empty_scan(spark, schema)
     try:
         return _scan(spark, root, schema, chosen)

@@ -32,7 +32,7 @@ class SourceSpec:
     failure: Callable[[], Column]
     time: Callable[[], Column]
     result: Callable[[], Column]
-    stations: Callable[[DataFrame, DataFrame | None], DataFrame]
+    stations: Callable[..., DataFrame]  # of outcomes, station table, whether outcomes are few
     first_columns: tuple[str, ...] = ()
     specific: Callable[[], Column | None] = lambda: None
     location_specific: Callable[[], Column | None] | None = None
@@ -47,9 +47,9 @@ class SourceSpec:
         """Kept rows with the reason, if any, that fails their station."""
         return self.keep(raw).withColumn("failure", self.failure())
 
-    def outcomes(self, flagged: DataFrame) -> DataFrame:
+    def outcomes(self, flagged: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         first = list(self.first_columns)
-        return mapping.station_outcomes(flagged, first or None, ARRIVAL if first else None)
+        return mapping.station_outcomes(flagged, first or None, ARRIVAL if first else None, by)
 
     def source_id(self) -> Column:
         return F.col("location_id").cast("string")
@@ -133,7 +133,7 @@ CITY_WELLS = SourceSpec(
     backfill_table="cabq_backfill_readings", sensor=C.MANUAL_SENSOR,
     location_text=C.LOCATION_COLLECTED, keep=lambda raw: raw,
     failure=lambda: _bad_time(F.col("timestamp") / 1000), time=_city_time,
-    result=lambda: F.col("value"), stations=lambda outcomes, _table: mapping.name_stations(outcomes),
+    result=lambda: F.col("value"), stations=lambda outcomes, _table, small=None: mapping.name_stations(outcomes),
     first_columns=("location_name", "latitude", "longitude"),
 )
 
@@ -163,7 +163,8 @@ DIVERS = SourceSpec(
     stations_table="san_acacia_locations", backfill_table="san_acacia_backfill_readings",
     sensor=C.DIVER_SENSOR, location_text=C.LOCATION_MADE, keep=lambda raw: raw,
     failure=_logger_failure, time=_logger_time, result=lambda: F.col("value"),
-    stations=lambda outcomes, table: outcomes.select("location_id").join(table, "location_id"),
+    stations=lambda outcomes, table, small=None: outcomes.select("location_id").join(
+        table, "location_id"),
     specific=lambda: F.col("specific"),
     location_specific=lambda: F.create_map().cast("map<string,string>"),
     quality=lambda: F.col("result_quality"), shown_agency="SanAcaciaReach",

@@ -177,3 +177,42 @@ def test_a_bad_station_does_not_drop_the_good_one(spark, zone):
         pages(spark, (111, "2026-01-05", None), (222, "2026-01-05", 1.0)), None))
     assert (report["bundles_loaded"], report["adapter_failures"]) == (1, 1)
     assert [k for k, _, _ in target(spark, zone)] == ["pvacd-222-dtw"]
+
+
+def jobs(spark):
+    return spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+
+
+def test_jobs_of_a_chunk_are_few(spark, zone):
+    """Chunks share one landing scan, so a further one costs its window and its commit only."""
+    def fetch(start, _end):
+        return pages(spark, (111, f"2026-{start.month:02}-05", 1.0),
+                     (222, f"2026-{start.month:02}-06", 2.0)), None
+
+    began = jobs(spark)
+    run(spark, zone, fetch, end=date(2026, 2, 1))
+    one = jobs(spark) - began
+    run(spark, zone, fetch, end=date(2026, 5, 1), run_key="four")
+    four = jobs(spark) - began - one
+    assert four <= 4 * 25 and (four - one) / 3 <= 25, (one, four)
+    assert len(target(spark, zone)) == 8
+
+
+def test_chunks_beyond_a_wave_and_a_fault_in_the_second(spark, zone, monkeypatch):
+    monkeypatch.setattr(backfill, "WAVE", 2)
+
+    def fetch(start, _end):
+        log = spark.createDataFrame([("111", 1, 403 if start.month == 4 else 200, None)],
+                                    schemas.FETCH_LOG)
+        return pages(spark, (111, f"2026-{start.month:02}-05", 1.0)), log
+
+    with pytest.raises(RuntimeError, match="refused by the vendor, first: 111"):
+        run(spark, zone, fetch, end=date(2026, 6, 1))
+    assert [t for _, t, _ in target(spark, zone)] == ["01-05", "02-05", "03-05"]
+
+
+def test_each_chunk_judges_its_stations_apart(spark, zone):
+    rows = [(111, "2026-01-05", None), (111, "2026-02-05", 1.0), (222, "2026-01-05", 2.0)]
+    report = run(spark, zone, lambda *_: (pages(spark, *rows), None))
+    assert (report["bundles_loaded"], report["adapter_failures"]) == (2, 1)
+    assert target(spark, zone) == [("pvacd-111-dtw", "02-05", 3.28), ("pvacd-222-dtw", "01-05", 6.56)]

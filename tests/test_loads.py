@@ -14,7 +14,7 @@ from stillwell.sinks.entities import read_entity, upsert_entities
 from stillwell.sinks.observations import (
     months_of, read_observations, replace_window_in_place, sweep, write_batch,
 )
-from stillwell.sinks.raw import append_load, replace_stations
+from stillwell.sinks.raw import append_load, loads_meeting, replace_stations
 from stillwell.sinks.zone import Zone
 from stillwell.sources.specs import CITY_WELLS, LOGGERS
 from stillwell.streaming import incremental
@@ -464,3 +464,71 @@ def test_batches_with_odd_names_can_be_read(spark, zone):
     assert got["posted"] == 1
     assert {(r["batch"], r["result"]) for r in read_observations(spark, zone.observations).collect()
             } == {("a/b=c %{d}", 1.0), ("e*:f", 2.0)}
+
+
+# --- replay by event times, streams by bounded batches ---------------------------------
+def test_replay_opens_only_loads_that_meet_the_window(spark, loggers):
+    root = loggers.raw(LOGGERS)
+    old, start = seconds("2020-01-05"), seconds("2026-01-05")
+    append_load(raw(spark, (1, old, 1.0)), root, 50.5)
+    append_load(raw(spark, (1, start, 1.0), (2, start, 5.0)), root, 100.5)
+    append_load(raw(spark, (1, start, 2.0), (1, seconds("2026-02-05"), 9.0)), root, 200.5)
+    for part in broken(f"{root}/year=1970/month=01/day=01/load_id=50.500000"):
+        part.write_bytes(b"no parquet")
+    assert len(loads_meeting(spark, root, seconds("2026-01-01"), seconds("2026-02-01"))) == 2
+    run_replay(spark, LOGGERS, loggers, JAN, FEB, run_key="fix")
+    assert [(k, round(v, 4)) for k, _, v in target(spark, loggers)] == [
+        ("pvacd-1-dtw", 6.5617), ("pvacd-2-dtw", 16.4042)]
+
+
+def test_loads_without_bounds_are_opened(spark, loggers):
+    root, start = loggers.raw(LOGGERS), seconds("2026-01-05")
+    raw(spark, (1, start, 1.0)).write.parquet(f"{root}/year=2026/load_id=300.500000")
+    assert len(loads_meeting(spark, root, 0, 1)) == 1
+    run_replay(spark, LOGGERS, loggers, JAN, FEB, run_key="fix")
+    assert len(target(spark, loggers)) == 1
+
+
+def test_a_reading_without_a_time_fails_its_station_in_a_replay_too(spark, loggers):
+    start = seconds("2026-01-05")
+    append_load(raw(spark, (1, start, 1.0), (1, None, 1.0), (2, start, 1.0)),
+                loggers.raw(LOGGERS), 100.5)
+    run_replay(spark, LOGGERS, loggers, JAN, FEB, run_key="fix")
+    assert [k for k, _, _ in target(spark, loggers)] == ["pvacd-2-dtw"]
+
+
+def test_a_load_written_again_widens_its_bounds(spark, loggers):
+    root = loggers.raw(LOGGERS)
+    for t in (100, 900):
+        append_load(raw(spark, (1, t, 1.0)), root, 100.5)
+    assert [len(loads_meeting(spark, root, *w)) for w in ((0, 100), (100, 101), (900, 901), (901, 999))
+            ] == [0, 1, 1, 0]
+
+
+def test_a_stream_in_small_batches_loads_the_same(spark, tmp_path):
+    tables = []
+    for name, bounds in (("whole", {}), ("one", {"max_files": 1}), ("bytes", {"max_bytes": 1})):
+        zone = Zone(str(tmp_path / name))
+        replace_stations(spark.createDataFrame([(1, "one", "d", 1.0, 2.0)], schemas.LOGGER_STATIONS),
+                         zone.stations(LOGGERS))
+        for n in range(3):
+            append_load(raw(spark, (1, 10 + n, float(n)), (2, 20 + n, 1.0)).coalesce(1),
+                        zone.raw(LOGGERS), 100.5 + n)
+        reports = run_stream(spark, LOGGERS, zone, str(tmp_path / f"{name}-cp"), **bounds)
+        assert len(reports) == (3 if bounds else 1)
+        assert sum(r["observations_posted"] for r in reports) == 6
+        tables.append(target(spark, zone))
+    assert tables[0] == tables[1] == tables[2] and len(tables[0]) == 6
+
+
+def test_jobs_of_a_daily_run(spark, loggers):
+    def jobs():
+        return spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+
+    counts = []
+    for load_id, second in ((100.5, 10), (200.5, 20)):
+        append_load(raw(spark, (1, second, 1.0), (2, second, 1.0)), loggers.raw(LOGGERS), load_id)
+        began = jobs()
+        run_daily(spark, LOGGERS, loggers)
+        counts.append(jobs() - began)
+    assert counts[0] <= 50 and counts[1] <= 35, counts
