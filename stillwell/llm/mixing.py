@@ -59,7 +59,9 @@ def classified(docs: DataFrame, labels: DataFrame, sample_rows: int) -> tuple[Da
     share = sample_rows / max(1, known.count())
     if share < 1:
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**40)) < int(share * 2**40))
-    examples = stored(docs.join(F.broadcast(known), "doc_id").select("text", "domain"), "examples")
+    # However often a doc_id is repeated, one of its rows is an example.
+    examples = stored(docs.join(F.broadcast(known), "doc_id").groupBy("doc_id", "domain").agg(
+        F.min("text").alias("text")).select("text", "domain"), "examples")
     names = [r[0] for r in examples.select("domain").distinct().orderBy("domain").collect()]
     tokens = F.size("words").cast("long").alias("tokens")
     if len(names) < 2:

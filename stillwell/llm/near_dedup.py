@@ -7,10 +7,11 @@ node and agrees in enough of ``SIZE`` places is a candidate; candidates are link
 full sets are similar enough.
 
 How often nodes choose two places, how many places must agree and how many trees there are follow
-from the threshold (``Plan``). All trees see the same signature, so the chance to lose a pair at the
-threshold is the mean over the places it agrees in: at 85 % (12 trees) 1e-9 where first nodes are
-small and 1.1e-3 six branchings deep, at 80 % (16 trees) 5e-11 and 9e-4. Agreement in too few
-places has a chance of at most 1.6e-7 for such a pair.
+from the threshold (``Plan``): trees are added until a pair at the threshold is found with a chance of
+0.9988 six branchings deep and 0.9 at the greatest depth, 22. All trees see the same signature, so
+the chance to lose it is the mean over the places it agrees in: at 85 % (13 trees) 7.7e-4 six deep and
+0.097 at the greatest depth, at 80 % (18 trees) 4.8e-4 and 0.097; other candidates that join the
+pair are left aside. Agreement in too few places has a chance of at most 1.6e-7 for such a pair.
 
 Links are not listed: a group of n sets leaves at most n - 1 of them in a node, and sets that are
 already connected are not compared again. Candidate groups with more shingles than one task should
@@ -38,19 +39,22 @@ TASK_NODE, LEVELS = 4096, 10
 TASK_SHINGLES = 2_000_000
 PIVOTS, PIVOT_SHINGLES = 256, 4_000_000
 DEEP, LOST, DISAGREE = 6, 1.2e-3, 1.6e-7
+DEEPEST, LOST_DEEPEST = LEVELS + DEPTH, 0.1
 
 
 class Plan:
     """``second`` of 1000 nodes choose a second place, so the places chosen are 1 / threshold on
     average; ``agree`` places make a candidate; with ``trees`` trees a pair at the threshold is lost
-    ``DEEP`` branchings deep with a chance of at most ``LOST``."""
+    ``DEEP`` branchings deep with a chance of at most ``LOST``, and as deep as nodes can go with one
+    of at most ``LOST_DEEPEST``."""
 
     def __init__(self, percent: int):
         self.percent, self.second = percent, min(1000, 1000 * (100 - percent) // max(1, percent))
         self.agree, self.trees = 0, TREES
         while sum(self.agreeing(k) for k in range(self.agree + 1)) <= DISAGREE:
             self.agree += 1
-        while self.trees < SIZE and self.loss(DEEP) > LOST:
+        while self.trees < SIZE and (
+                self.loss(DEEP) > LOST or self.loss(DEEPEST) > LOST_DEEPEST):
             self.trees += 1
 
     def agreeing(self, places: int) -> float:

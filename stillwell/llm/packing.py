@@ -164,7 +164,8 @@ def best_fit_packing(docs: DataFrame, tokenizer: str, limit: int = LIMIT,
         Window.unboundedPreceding, -1)
     before = per_task.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0))
                              .alias("before"))
-    numbered = cut.join(before, ["length", "task"]).withColumn(
+    # As many rows as lengths and tasks meet, so they are shuffled, not broadcast.
+    numbered = cut.join(before.hint("shuffle_merge"), ["length", "task"]).withColumn(
         "number", F.col("number") + F.col("before"))
 
     def place(batches):

@@ -2,8 +2,10 @@
 
 A pre-token is a run of bytes between ASCII white space, lower-cased: the library cuts texts at
 least there, and it lower-cases itself. Pieces are counted once for each distinct pre-token by
-the library. Counts of frequent pre-tokens (at most ``HEAD``) go to the tasks as a dict; the
-others meet the per-document frequencies in a shuffle join.
+the library. Counts of frequent pre-tokens (at most ``HEAD`` of at most ``LONGEST`` bytes each, some
+6 MB) go to the tasks as a dict; the others, long ones among them, meet the per-document frequencies
+in a shuffle join. A task gathers pre-tokens from at most ``GATHERED`` bytes of text at a time, or one
+text. Texts without ASCII white space are pre-tokens as a whole.
 
 Cases: null text counts as empty and has no tokens; texts that hold the opening of a special
 token are not lower-cased, so the library sees it as it stands; repeated rows count each on its
@@ -18,6 +20,7 @@ from stillwell.llm.common import ROW, documents, loaded, map_arrow, stored, utf8
 
 HEAD = 100_000
 DISTINCT = 100_000
+LONGEST, GATHERED = 64, 32 << 20
 _STOPS = b".,"
 
 
@@ -37,13 +40,14 @@ def pretokens(text: bytes) -> Counter:
 def vocabulary(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Each distinct pre-token with its frequency in the corpus and its number of pieces."""
     def distinct(batches):
-        kept = Counter()
+        kept, size = Counter(), 0
         for b in batches:
             for text in utf8(b["text"]):
                 kept.update(pretokens(text))
-            if len(kept) > DISTINCT:
-                yield {"word": list(kept), "n": list(kept.values())}
-                kept = Counter()
+                size += len(text)
+                if len(kept) > DISTINCT or size > GATHERED:
+                    yield {"word": list(kept), "n": list(kept.values())}
+                    kept, size = Counter(), 0
         yield {"word": list(kept), "n": list(kept.values())}
 
     def counted(batches):
@@ -63,7 +67,8 @@ def token_counts(table: DataFrame, tokenizer: str, limit: int = 2048,
     """doc_id, n_bytes, n_tokens, over_limit of each row of ``table``."""
     docs = documents(table)
     words = stored(vocabulary(docs, tokenizer), "pieces")
-    top = words.orderBy(F.desc("n"), "word").limit(head).select("word", "pieces").toArrow()
+    top = words.filter(F.octet_length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(
+        head).select("word", "pieces").toArrow()
     known = docs.sparkSession.sparkContext.broadcast(
         dict(zip(top["word"].to_pylist(), top["pieces"].to_pylist())))
 

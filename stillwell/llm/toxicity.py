@@ -10,7 +10,8 @@ The model is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``); docu
 cover all documents. Cases: null and empty texts, and texts without such a word, get the calibrated
 share of toxic examples among examples without one; null labels teach nothing; of repeated labels
 the highest counts; without any label the score is ``PRIOR`` for all; rows are judged one by one, so
-repeated rows get equal scores; equal nearness is settled by the smaller doc_id.
+repeated rows get equal scores; equal nearness is settled by the examples' words and labels, never
+by their doc_id; of rows that repeat a doc_id one is an example.
 """
 
 import math
@@ -50,8 +51,9 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, learn: Column, limit: int)
     part = known
     if share < 1:
         part = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**40)) < int(share * 2**40))
-    return stored(docs.join(F.broadcast(part), "doc_id").select(ROW, "doc_id", "text", "toxic"),
-                  "examples")
+    one = F.min(F.struct("text", ROW)).alias("row")  # however often a doc_id is repeated
+    return stored(docs.join(F.broadcast(part), "doc_id").groupBy("doc_id", "toxic").agg(one).select(
+        f"row.{ROW}", "doc_id", "row.text", "toxic"), "examples")
 
 
 def surprising(found: DataFrame, base: float, looked_at: int) -> DataFrame:
@@ -129,13 +131,19 @@ def vectors(docs: DataFrame, terms: list[bytes]) -> DataFrame:
     return map_arrow(docs, count, f"{ROW} long, doc_id long, terms array<int>, times array<int>")
 
 
+def content(example: tuple) -> tuple:
+    doc_id, label, terms, counts = example
+    return list(terms), list(counts), label, doc_id
+
+
 class BlockMaxIndex:
     """Unit vectors of the examples as postings by term, cut into blocks of ``block`` examples."""
 
     def __init__(self, examples: list[tuple], idf: np.ndarray, block: int = BLOCK):
         """``examples``: (doc_id, label, terms, counts), none without terms."""
-        # Alike examples stand together, which makes the bounds of the blocks tight.
-        examples = sorted(examples, key=lambda e: (list(e[2]), e[0]))
+        # Alike examples stand together, which makes the bounds of the blocks tight. Their order
+        # settles ties; doc_id only tells apart what is the same.
+        examples = sorted(examples, key=content)
         self.idf, self.block = idf, block
         self.ids = np.array([e[0] for e in examples], np.int64)
         self.labels = np.array([e[1] for e in examples], np.float64)
@@ -181,10 +189,10 @@ class BlockMaxIndex:
                 hit = hit[self.ids[hit + start] != without]
             places, scores = np.append(places, hit + start), np.append(scores, own[hit])
             if len(places) >= k:
-                best = np.lexsort((self.ids[places], -np.round(scores, 12)))[:k]
+                best = np.lexsort((places, -np.round(scores, 12)))[:k]
                 places, scores = places[best], scores[best]
                 least = scores[-1]
-        best = np.lexsort((self.ids[places], -np.round(scores, 12)))[:k]
+        best = np.lexsort((places, -np.round(scores, 12)))[:k]
         return places[best], scores[best], opened
 
 
@@ -201,7 +209,7 @@ class Scorer:
         self.slope, self.shift = 1.0, 0.0
         if examples:
             step = -(-len(examples) // CALIBRATED)
-            part = sorted(examples)[::step]
+            part = sorted(examples, key=content)[::step]
             own = [self.vote(e[2], e[3], e[0])[0] for e in part]
             self.slope, self.shift = calibrated(np.array(own), np.array([e[1] for e in part]))
 

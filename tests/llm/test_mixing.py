@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from data import documents, prose
 from stillwell.llm.common import documents as narrow
@@ -76,3 +77,34 @@ def test_missed_targets_are_told(spark):
     with pytest.warns(UserWarning, match="misses its targets"):
         made = mixing(documents(spark, rows), labelled(spark, labels), {"good": 9, "poor": 1})
     assert all(r["rate"] == pytest.approx(1, abs=0.01) for r in made.collect())
+
+
+@pytest.mark.parametrize("weights", [{"good": 0.6, "poor": 0.3, "toxic": 0.1},
+                                     {"good": 0.05, "poor": 0.9, "toxic": 0.05}])
+def test_domains_equal_the_dense_least_squares_solution(spark, weights):
+    """Nonnegative least squares over all rates at once, by coordinate descent."""
+    rows, labels = corpus(120)
+    made = mixing(documents(spark, rows), labelled(spark, labels), weights).collect()
+    names = sorted(weights)
+    n = np.array([r["n_tokens"] for r in made], float)
+    a = (n[:, None] * np.array([[r["posterior"][k] for k in names] for r in made])).T
+    goal = np.array([weights[k] for k in names]) / sum(weights.values()) * n.sum()
+    rate, off = np.ones(len(n)), a.sum(axis=1) - goal
+    for _ in range(3000):
+        for i in range(len(n)):
+            new = max(0.0, rate[i] - a[:, i] @ off / (a[:, i] @ a[:, i]))
+            off += (new - rate[i]) * a[:, i]
+            rate[i] = new
+        if abs(off).max() < 1e-9 * n.sum():
+            break
+    got = a @ np.array([r["rate"] for r in made]) - goal
+    assert abs(got - off).max() <= 0.005 * n.sum()
+
+
+def test_a_repeated_doc_id_gives_one_example(spark):
+    from stillwell.llm.mixing import classified
+    rows, labels = corpus(40)
+    many = rows + [(1, f"beta words {i}") for i in range(500)]
+    known, names = classified(narrow(documents(spark, many)),
+                              domains_of(labelled(spark, labels)), 10_000)
+    assert names == ["good", "poor", "toxic"] and known.count() == len(many)

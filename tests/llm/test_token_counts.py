@@ -38,3 +38,19 @@ def test_stops_are_split_only_where_the_library_does():
         pieces = sum(n * len(library.encode(w.decode(), add_special_tokens=False).ids)
                      for w, n in pretokens(text.encode()).items())
         assert pieces == length(text)
+
+
+def test_long_runs_are_not_broadcast(spark, monkeypatch):
+    from stillwell.llm import token_counts as module
+    sent = []
+    real = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast",
+                        lambda self, value: sent.append(value) or real(self, value))
+    monkeypatch.setattr(module, "GATHERED", 5000)
+    rng = random.Random(4)
+    rows = [(i, "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(3000))) for i in range(40)]
+    rows += [(100, "a short text, and a longer one"), (101, "x" * 200 + " short"), (102, rows[0][1])]
+    made = collected(token_counts(documents(spark, rows), PATH), "doc_id")
+    assert [(r["doc_id"], r["n_tokens"]) for r in made] == [(i, length(t)) for i, t in rows]
+    held = [v for v in sent if isinstance(v, dict)]
+    assert held and all(len(word) <= module.LONGEST for words in held for word in words)
