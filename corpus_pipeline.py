@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from stillwell.llm.common import ROW, free_name, keyed, likely, stored
 
-#: Shares of the tokens by domain in the mix.
+#: Shares of the tokens by domain in the mix. What the first stage left of toxic texts is no domain
+#: of its own: their labels are not used.
 WEIGHTS = {"good": 0.85, "poor": 0.15}
 #: Near copies share so many percent of their shingles of five words.
 SIMILAR = 80
@@ -70,7 +71,8 @@ def mixing(spark, docs, sf_dir):
     from stillwell.llm.mixing import domains_of, mixed_rates
     rows, narrow, key = _with_key(docs)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    copies = mixed_rates(narrow, domains_of(labels), WEIGHTS, least=1.0)
+    domains = domains_of(labels).filter(F.col("domain").isin(*WEIGHTS))
+    copies = mixed_rates(narrow, domains, WEIGHTS, least=1.0)
     times = free_name(rows, "_more")
     more = stored(copies.filter("copies > 1").select(
         F.col(ROW).alias(key), (F.col("copies") - 1).alias(times)), "copies")
