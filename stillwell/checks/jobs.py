@@ -168,13 +168,9 @@ def dry_run_plan(spark, folder):
                        F.date_format("chunk_end", day).alias("chunk_end"), "locations")
 
 
-@check(W("readings", "log") + """SELECT reading_id, location_id, "timestamp", parameter_id, value
-    FROM readings
-    WHERE location_id IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 20)
-      AND CAST(location_id AS VARCHAR) IN (SELECT location_id FROM outcomes WHERE outcome = 'ok')
-    """)
-def ingest_load(spark, folder):
-    """Landed pages of the allowed stations whose last fetch succeeded."""
+def _ingested(spark, folder):
+    """A zone after an ingest of the allowed stations, and its report. Refused fetches count as
+    fetches without data, since a refusal fails the whole ingest."""
     zone = Zone(S.scratch(spark, "zone"))
     listed = S.stations(spark, folder).select(
         "id", "name", "description", F.struct("latitude", "longitude").alias("gps")
@@ -188,10 +184,42 @@ def ingest_load(spark, folder):
         spark, LOGGERS, zone, station_list=listed, pages=reading_pages(S.readings(spark, folder)),
         log=soft, allowed=allowed, start_ts=S.EPOCH_2024,
     )
+    return zone, report
+
+
+ASKED = """SELECT {what} FROM readings
+    WHERE location_id IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 20)
+      AND CAST(location_id AS VARCHAR) IN (SELECT location_id FROM outcomes WHERE outcome = 'ok')
+    """
+
+
+@check(W("readings", "log") + ASKED.format(
+    what='reading_id, location_id, "timestamp", parameter_id, value'))
+def ingest_load(spark, folder):
+    """Landed pages of the allowed stations whose last fetch succeeded."""
+    zone, report = _ingested(spark, folder)
     rows = scan_load(spark, zone.raw(LOGGERS), LOGGERS.schema, report["load_id"])
     return rows.select("reading_id", "location_id", "timestamp", "parameter_id", "value")
 
 
+@check(W("readings", "log") + """, listed AS (
+      SELECT CASE WHEN s_nationkey >= 20 THEN 'skipped' WHEN outcome = 'fatal' THEN 'no_data'
+                  ELSE coalesce(outcome, 'error') END AS outcome
+      FROM (SELECT DISTINCT s_suppkey, s_nationkey FROM supplier)
+      LEFT JOIN outcomes ON outcomes.location_id = CAST(s_suppkey AS VARCHAR))
+    SELECT (""" + ASKED.format(what="count(*)") + """) AS rows_yielded,
+    count(*) FILTER (outcome = 'ok') AS locations_fetched,
+    count(*) FILTER (outcome = 'skipped') AS locations_skipped,
+    count(*) FILTER (outcome = 'no_data') AS locations_no_data,
+    count(*) FILTER (outcome = 'error') AS locations_errored FROM listed""")
+def ingest_report(spark, folder):
+    """The statistics of that ingest; its rows are counted by the write itself."""
+    _, report = _ingested(spark, folder)
+    names = [n for n in report if n != "load_id"]
+    return spark.createDataFrame([tuple(report[n] for n in names)],
+                                 ", ".join(f"{n} bigint" for n in names))
+
+
 @check(W("readings") + """SELECT datastream_key, time_us, result FROM (
       SELECT concat('pvacd-', location_id, '-dtw') AS datastream_key,
              "timestamp" * 1000000 AS time_us, value * CAST(3.28084 AS DOUBLE) AS result,

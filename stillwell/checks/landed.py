@@ -49,11 +49,15 @@ def landed_readings(spark, folder):
     return landing.logger_readings(_landed_pages(spark, folder))
 
 
-@check(W("readings") + """SELECT location_id, parameter_id, event_id // 200 AS page, "timestamp",
-    value FROM readings""")
+@check(W("readings") + """SELECT location_id, parameter_id, event_id // 200 AS page,
+    dense_rank() OVER (PARTITION BY location_id, event_id // 200
+      ORDER BY parameter_id NULLS FIRST, unit_id NULLS FIRST) - 1 AS slot,
+    row_number() OVER (PARTITION BY location_id, event_id // 200, parameter_id, unit_id
+      ORDER BY event_id) - 1 AS slot_position, "timestamp", value FROM readings""")
 def merged_pages(spark, folder):
     merged = landing.merge_pages(_landed_pages(spark, folder))
-    return merged.select("location_id", "parameter_id", "page", "timestamp", "value")
+    places = [F.col(c).cast("bigint").alias(c) for c in ("slot", "slot_position")]
+    return merged.select("location_id", "parameter_id", "page", *places, "timestamp", "value")
 
 
 @check(W("readings") + """, early AS (SELECT *, event_id // 200 AS page FROM readings

@@ -250,14 +250,28 @@ def rejected_records(spark, folder):
     return bad.select("location_id", F.unix_millis("phenomenon_time").alias("millis"))
 
 
-@check(W("readings", "obs") + FLAT + " FROM obs WHERE " + IN_WINDOW)
+@check(W("readings", "obs") + FLAT + " FROM obs")
 def normal_load_table(spark, folder):
+    """A batch written twice is there once."""
     root = S.scratch(spark, "observation")
-    write_batch(_fresh(spark, folder), root, "PVACD", "once")
-    write_batch(_fresh(spark, folder), root, "PVACD", "once")
+    obs = good_observations_of(spark, folder)
+    for _ in range(2):
+        write_batch(obs, root, "PVACD", "once")
     return S.flat(read_observations(spark, root))
 
 
+@check(W("readings", "obs") + """SELECT datastream_key,
+    strftime(make_timestamp(time_us), '%Y-%m') AS obs_month, count(*) AS rows,
+    min(time_us) AS oldest_us, max(time_us) AS newest_us FROM obs GROUP BY 1, 2""")
+def stored_summary(spark, folder):
+    """What a batch keeps of each datastream and month beside its rows."""
+    root = S.scratch(spark, "observation")
+    written = write_batch(good_observations_of(spark, folder), root, "PVACD", "once")
+    return written.select("datastream_key", "obs_month", "rows",
+                          F.unix_micros("oldest").alias("oldest_us"),
+                          F.unix_micros("newest").alias("newest_us"))
+
+
 @check(W("readings", "obs") + """SELECT datastream_key, time_us, result FROM (
       SELECT concat('pvacd-', location_id, '-dtw') AS datastream_key,
              "timestamp" * 1000000 AS time_us, value * CAST(3.28084 AS DOUBLE) AS result,
@@ -411,35 +425,36 @@ def things_expanded(spark, folder):
     )
 
 
-@check(W("readings", "stations") + PRESENT + """SELECT concat('pvacd-', location_id) AS thing_key,
-    CAST(1 AS BIGINT) AS datastreams, concat('pvacd-', location_id, '-dtw') AS first_key
-    FROM present""")
+@check(W("readings", "stations") + PRESENT + EXPANDED)
 def things_nested(spark, folder):
+    """The arrays unfolded again: every thing with all that is said of each of its datastreams."""
     rows = entities.nested(_expanded(spark, folder))
     return rows.select(
-        "thing_key", F.size("datastreams").cast("bigint").alias("datastreams"),
-        F.col("datastreams")[0]["datastream_key"].alias("first_key"),
+        "thing_key", "thing_name", "location_name", F.col("coordinates")[0].alias("longitude"),
+        F.col("coordinates")[1].alias("latitude"), F.inline_outer("datastreams"),
     )
 
 
 @check(W("readings", "obs") + """, placed AS (
-      SELECT location_id, (row_number() OVER (PARTITION BY location_id
+      SELECT *, (row_number() OVER (PARTITION BY location_id
                ORDER BY time_us, event_id) - 1) // 5 AS page FROM obs)
-    SELECT concat('pvacd-', location_id) AS thing_key, page, CAST(1 AS BIGINT) AS keys,
-           count(*) AS observations FROM placed GROUP BY 1, 2
-    UNION ALL SELECT DISTINCT concat('pvacd-', location_id), 0, CAST(0 AS BIGINT), 0
+    SELECT concat('pvacd-', location_id) AS thing_key, page, datastream_key,
+           row_number() OVER (PARTITION BY location_id, page ORDER BY time_us, event_id) - 1
+             AS place, time_us, result FROM placed
+    UNION ALL SELECT DISTINCT concat('pvacd-', location_id), 0, NULL, NULL, NULL, NULL
     FROM readings WHERE location_id NOT IN (SELECT location_id FROM obs)""")
 def bundle_pages(spark, folder):
+    """The bundles unfolded again: each observation at its place in its page."""
     obs = good_observations_of(spark, folder, carry=("row",))
     streams = _tables(spark, folder)["datastream"]
     pages = mapping.bundles(streams, settle(obs), ["phenomenon_time", "row"], size=5)
-    total = F.aggregate(
-        F.map_values("observations"), F.lit(0), lambda n, part: n + F.size(part)
-    )
-    return pages.select(
-        "thing_key", "page", F.size("observations").cast("bigint").alias("keys"),
-        total.cast("bigint").alias("observations"),
-    )
+    by_key = pages.select("thing_key", "page", F.explode_outer("observations").alias(
+        "datastream_key", "held"))
+    each = by_key.select("thing_key", "page", "datastream_key", F.posexplode_outer("held").alias(
+        "place", "at"))
+    return each.select("thing_key", "page", "datastream_key", F.col("place").cast("bigint")
+                       .alias("place"), F.unix_micros("at.phenomenon_time").alias("time_us"),
+                       "at.result")
 
 
 @check(W("readings", "obs") + "SELECT count(*) AS observations FROM obs")

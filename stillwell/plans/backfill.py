@@ -53,11 +53,32 @@ def plan_chunks(
     plan = month_plan(spark, start, end)
     if requested:
         return keyed_plan(plan, requested)
-    row = ids.agg(
+    row = _digest(ids).first()
+    return digest_plan(plan, F.lit(f"all:{row['n']}:{row['h']}"))
+
+
+def finished_for_all(
+    finished: set[str], ids: DataFrame
+) -> set[tuple[str, str]]:
+    """(start, end) of finished chunks whose key lists just these stations, as deployments that
+    named every station in the key left them. Keys and stations are compared by count and digest."""
+    listed = [k.split("_", 2) for k in finished if k.count("_") >= 2 and "_all:" not in k]
+    if not listed:
+        return set()
+    spark, kind = ids.sparkSession, ids.schema["location_id"].dataType
+    row = _digest(ids).first()
+    keys = spark.createDataFrame([tuple(k) for k in listed], "s string, e string, list string")
+    hashes = F.transform(F.split("list", ","), lambda i: F.xxhash64(i.try_cast(kind)))
+    digest = F.aggregate(hashes, F.lit(0).cast("bigint"), lambda a, b: a.bitwiseXOR(b))
+    same = keys.where((F.size(hashes) == row["n"]) & (digest == row["h"]))
+    return {(r["s"], r["e"]) for r in same.select("s", "e").collect()}
+
+
+def _digest(ids: DataFrame) -> DataFrame:
+    return ids.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.bit_xor(F.xxhash64("location_id")), F.lit(0)).alias("h"),
-    ).first()
-    return digest_plan(plan, F.lit(f"all:{row['n']}:{row['h']}"))
+    )
 
 
 def dry_run(
@@ -217,7 +238,9 @@ def run_backfill(
     # One row per month of the requested range.
     every = plan.select("chunk_key", F.unix_seconds("chunk_start").alias("s"),
                         F.unix_seconds("chunk_end").alias("e")).collect()
-    todo = sorted((r for r in every if r["chunk_key"] not in finished), key=lambda r: r["s"])
+    whole = set() if requested else finished_for_all(finished, ids)
+    todo = sorted((r for r in every if r["chunk_key"] not in finished
+                   and tuple(r["chunk_key"].split("_", 2)[:2]) not in whole), key=lambda r: r["s"])
     planned = len(every)
     results, fault, base = [], None, new_load_id()
     for at in range(0, len(todo), WAVE):

@@ -10,7 +10,7 @@ from stillwell.operators.filters import from_cursor, only_stations
 from stillwell.operators.joins import lookup_join
 from stillwell.session import pin, settle
 from stillwell.sinks import state as progress
-from stillwell.sinks.raw import append_load, load_folder, new_load_id, replace_stations
+from stillwell.sinks.raw import land, load_folder, new_load_id, replace_stations
 from stillwell.sinks.zone import Zone
 from stillwell.sources.landing import (
     attributes, city_readings, damaged_pages, distinct_stations, flatten_stations, logger_readings,
@@ -93,14 +93,13 @@ def run_ingest(
     rows = logger_readings(lookup_join(pages, fetched, "location_id", "left_semi"))
     rows = from_cursor(rows, floors.where(F.col("location_id").isNotNull()), start_ts)
     replace_stations(flatten_stations(station_list), zone.stations(spec))
-    load_id = append_load(
-        rows.select(*spec.schema.names), zone.raw(spec), claimed_load(spark, place)
-    )
+    landed = land(rows.select(*spec.schema.names), zone.raw(spec), claimed_load(spark, place))
+    load_id = landed.load_id
     written = scan_written(spark, load_folder(zone.raw(spec), load_id), spec.schema)
     moved = advanced_cursors(
         written, outcomes.join(old, "location_id", "left"), start_ts
     )
-    stats = ingest_stats(outcomes, written.count()).first().asDict()
+    stats = ingest_stats(outcomes, landed.rows).first().asDict()
     progress.commit_state(
         spark, place, progress.cursor_rows(moved, spec.dataset), f"ingest-{load_id:.6f}"
     )
@@ -136,15 +135,14 @@ def run_city_ingest(
         measured, old.withColumnRenamed("location_id", "sys_loc_code"), start_ts,
         station="sys_loc_code", seconds=second, by_day=True,
     )
-    load_id = append_load(
-        city_readings(recent, stations), zone.raw(spec), claimed_load(spark, place)
-    )
+    landed = land(city_readings(recent, stations), zone.raw(spec), claimed_load(spark, place))
+    load_id = landed.load_id
     written = scan_written(spark, load_folder(zone.raw(spec), load_id), spec.schema)
     moved = advanced_cursors(
         written, outcomes.join(old, "location_id", "left"), start_ts,
         seconds=millis_to_seconds(F.col("timestamp")),
     )
-    stats = ingest_stats(outcomes, written.count()).first().asDict()
+    stats = ingest_stats(outcomes, landed.rows).first().asDict()
     progress.commit_state(
         spark, place, progress.cursor_rows(moved, spec.dataset), f"ingest-{load_id:.6f}"
     )

@@ -216,3 +216,16 @@ def test_each_chunk_judges_its_stations_apart(spark, zone):
     report = run(spark, zone, lambda *_: (pages(spark, *rows), None))
     assert (report["bundles_loaded"], report["adapter_failures"]) == (2, 1)
     assert target(spark, zone) == [("pvacd-111-dtw", "02-05", 3.28), ("pvacd-222-dtw", "01-05", 6.56)]
+
+
+def test_imported_checkpoints_of_all_stations_are_known(spark, zone):
+    """Earlier deployments listed every station in the key of an all-stations run."""
+    month = "2026-{:02}-01T00:00:00+00:00_2026-{:02}-01T00:00:00+00:00_{}"
+    keys = spark.createDataFrame([(month.format(1, 2, "111,222"),), (month.format(2, 3, "111"),)],
+                                 "chunk_key string")
+    place = zone.progress("raw_pvacd_backfill")
+    progress.commit_state(spark, place, progress.chunk_rows(keys, "r"))
+    fetch = lambda *_: (pages(spark, (111, "2026-01-05", 1.0), (111, "2026-02-05", 1.0)), None)
+    report = run(spark, zone, fetch, requested=[])
+    assert (report["chunks_processed"], report["chunks_skipped"]) == (1, 1)
+    assert [t for _, t, _ in target(spark, zone)] == ["02-05"]
