@@ -17,28 +17,33 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
 def _numbered_by_range(
     df: DataFrame, keys: list[str], order: list[str], position: str
 ) -> DataFrame:
-    # Ranges are cut over keys and order together, so one key may span many tasks. Rows of a
-    # key are contiguous inside a task; adding the counts of the earlier tasks places them.
-    spread = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
-    spread = settle(spread.withColumn("_at", F.monotonically_increasing_id()))
-    # As one struct the keys are never null themselves, so rows with a null key find their run.
-    spread = spread.withColumns({
-        "_task": F.shiftright("_at", 33), "_key": F.struct(*keys),
-    })
-    runs = spread.groupBy("_key", "_task").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first")
-    )
-    earlier = Window.partitionBy("_key").orderBy("_task").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    runs = runs.select(
-        "_key", "_task", "_first",
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-    )
-    placed = lookup_join(spread, runs, ["_key", "_task"], "inner", derived=True)
-    return placed.withColumn(
-        position, (F.col("_before") + F.col("_at") - F.col("_first") + 1).cast("bigint")
-    ).drop("_at", "_task", "_key", "_first", "_before")
+    # Only keys and order are sorted and stored. Ranges are cut over both together, so one key may
+    # span many tasks; adding the counts of the earlier tasks places its rows. As one struct the
+    # keys are never null themselves, so rows with a null key find their run.
+    own = F.struct(*keys, *order)
+    counts = df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("_same"))
+    spread = counts.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    spread = settle(spread.select(
+        own.alias("_own"), F.struct(*keys).alias("_key"), "_same",
+        F.monotonically_increasing_id().alias("_at"))).withColumn("_task", F.shiftright("_at", 33))
+    by_task = Window.partitionBy("_key", "_task")
+    before = Window.unboundedPreceding, -1
+    within = F.coalesce(F.sum("_same").over(by_task.orderBy("_at").rowsBetween(*before)), F.lit(0))
+    runs = spread.groupBy("_key", "_task").agg(F.sum("_same").alias("_rows"))
+    earlier = Window.partitionBy("_key").orderBy("_task").rowsBetween(*before)
+    runs = runs.select("_key", "_task",
+                       F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    starts = lookup_join(spread.withColumn("_within", within), runs, ["_key", "_task"], "inner",
+                         derived=True).select(
+        "_own", "_same", (F.col("_before") + F.col("_within") + 1).alias("_start"))
+    placed = df.withColumn("_own", own).join(starts, "_own")
+    # Rows that the order does not tell apart follow one another as they come.
+    ties = Window.partitionBy("_own").orderBy(F.lit(0))
+    one, more = placed.where("_same = 1"), placed.where("_same > 1")
+    single = one.withColumn(position, F.col("_start").cast("bigint"))
+    tied = more.withColumn(position, (
+        F.col("_start") + F.row_number().over(ties) - 1).cast("bigint"))
+    return single.unionByName(tied).drop("_own", "_same", "_start")
 
 
 def numbered(

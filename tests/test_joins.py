@@ -87,3 +87,20 @@ def test_pages_are_bounded_and_whole(spark):
     pages = ordering.paged(facts, ["k"], ["id"], ["id"], size=10).orderBy("page").collect()
     assert [len(p["readings"]) for p in pages] == [10, 10, 5]
     assert [r["id"] for p in pages for r in p["readings"]] == list(range(25))
+
+
+def test_numbering_by_range_stores_keys_and_order_only(skewed, monkeypatch):
+    stored = []
+    real = ordering.settle
+    monkeypatch.setattr(ordering, "settle", lambda df: stored.append(df.schema) or real(df))
+    facts = skewed.withColumns({"t": F.col("id") % 50, "payload": F.repeat(F.lit("x"), 100)})
+    got = ordering.numbered(facts, ["key"], ["t", "id"], group_limit=0)
+    want = ordering.numbered(facts, ["key"], ["t", "id"])
+    assert rows(got) == rows(want)
+    assert stored and not any("payload" in schema.simpleString() for schema in stored)
+
+
+def test_numbering_by_range_of_rows_the_order_does_not_tell_apart(skewed):
+    facts = skewed.withColumn("t", F.col("id") % 7).select("key", "t")
+    got = ordering.numbered(facts, ["key"], ["t"], group_limit=0)
+    assert rows(got) == rows(ordering.numbered(facts, ["key"], ["t"]))
