@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from stillwell.session import observed
 from stillwell.sinks.state import commit_state, positions
-from stillwell.sources.scan import named_loads
+from stillwell.sources.scan import load_folder, named_loads
 
 EARLIEST, LATEST, TIMELESS = "earliest", "latest", "timeless"
 
@@ -29,12 +29,6 @@ def new_load_id() -> float:
     return round(datetime.now(timezone.utc).timestamp(), 6)
 
 
-def load_folder(root: str, load_id: float) -> str:
-    """Date folders of the load's own time, then the load: never of event time."""
-    when = datetime.fromtimestamp(load_id, timezone.utc)
-    return f"{root}/year={when:%Y}/month={when:%m}/day={when:%d}/load_id={load_id:.6f}"
-
-
 def _bounds() -> list:
     return [F.min("timestamp").cast("bigint").alias(EARLIEST),
             F.max("timestamp").cast("bigint").alias(LATEST),

@@ -6,6 +6,7 @@ prunes files while Spark lists them, so files of old loads are never opened.
 """
 
 import re
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -16,6 +17,12 @@ from stillwell.operators.grouping import last_per_key
 LOAD_PATTERN = r"(?:/load_id=(\d+\.\d+)/[^/]*|/(\d+\.\d+)\.[^/]*)$"
 
 
+def load_folder(root: str, load_id: float) -> str:
+    """Date folders of the load's own time, then the load: never of event time."""
+    when = datetime.fromtimestamp(load_id, timezone.utc)
+    return f"{root}/year={when:%Y}/month={when:%m}/day={when:%d}/load_id={load_id:.6f}"
+
+
 def load_id_of(path: Column) -> Column:
     """Load id of a file path; null where the name has none."""
     folder = F.regexp_extract(path, LOAD_PATTERN, 1)
@@ -137,9 +144,13 @@ def scan_new(
 
 
 def scan_load(spark: SparkSession, root: str, schema: T.StructType, load_id: float) -> DataFrame:
-    """Rows of exactly one load, wherever under ``root`` its files lie."""
-    wanted = load_id_of(F.col("_metadata.file_path")) == F.lit(float(load_id))
-    return _guarded(spark, root, schema, wanted)
+    """Rows of exactly one load. Its own folder is read alone; where there is none, its files are
+    found by name wherever under ``root`` they lie."""
+    folder = load_folder(root, load_id)
+    if exists(spark, folder):
+        return scan_written(spark, folder, schema)
+    named = [path for path, own in named_loads(spark, root) if own == float(load_id)]
+    return _guarded(spark, named, schema, F.lit(True))
 
 
 def scan_written(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:

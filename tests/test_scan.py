@@ -155,3 +155,17 @@ def test_station_scan_keeps_the_last_row(spark, tmp_path):
     assert got == {1: None, 2: "two"}
     replace_stations(table.where("id = 2"), root)
     assert scan.scan_stations(spark, root, schemas.LOGGER_STATIONS).count() == 1
+
+
+def test_a_load_with_a_folder_of_its_own_lists_no_other(spark, tmp_path):
+    root = tmp_path / "raw"
+    append_load(rows_of(spark, (1, "4", 10)), str(root), 1781192390.5)
+    other = root / "year=2020/month=01/day=01/load_id=1577836800.000000"
+    other.mkdir(parents=True)
+    (other / "part-0.parquet").write_bytes(b"broken")
+    (root / "elsewhere").mkdir()
+    (root / "elsewhere").chmod(0)  # a folder nobody may list
+    try:
+        assert scan.scan_load(spark, str(root), SCHEMA, 1781192390.5).count() == 1
+    finally:
+        (root / "elsewhere").chmod(0o755)
