@@ -49,6 +49,23 @@ LEVELS_DESCRIPTION = (
 ELEVATIONS_NAME = "Groundwater Elevations"
 ELEVATIONS_PREFIX = "Water level elevation relative to NAVD88 — "
 
+# Names of the sources, their agencies, datasets and tables.
+LOGGER_SOURCE = {
+    "name": "hydrovu", "agency": "PVACD", "dataset": "raw_pvacd",
+    "readings_table": "hydrovu_readings", "stations_table": "hydrovu_locations",
+    "backfill_table": "hydrovu_backfill_readings",
+}
+CITY_SOURCE = {
+    "name": "cabq", "agency": "CABQ", "dataset": "raw_cabq",
+    "readings_table": "cabq_readings", "stations_table": None,
+    "backfill_table": "cabq_backfill_readings",
+}
+DIVER_SOURCE = {
+    "name": "san_acacia", "agency": "SanAcaciaReach", "dataset": "raw_sanacaciareach",
+    "readings_table": "san_acacia_readings", "stations_table": "san_acacia_locations",
+    "backfill_table": "san_acacia_backfill_readings",
+}
+
 # Codes and factors.
 DTW_PARAMETER = "4"
 METRE_UNIT = "35"

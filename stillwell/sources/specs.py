@@ -111,11 +111,8 @@ def _description() -> Column:
 
 
 LOGGERS = SourceSpec(
-    name="hydrovu", agency="PVACD", dataset="raw_pvacd",
-    schema=schemas.LOGGER_READINGS, readings_table="hydrovu_readings",
-    stations_table="hydrovu_locations", backfill_table="hydrovu_backfill_readings",
-    sensor=C.LOGGER_SENSOR, location_text=C.LOCATION_MADE,
-    keep=depth_rows, failure=_logger_failure, time=_logger_time,
+    **C.LOGGER_SOURCE, schema=schemas.LOGGER_READINGS, sensor=C.LOGGER_SENSOR,
+    location_text=C.LOCATION_MADE, keep=depth_rows, failure=_logger_failure, time=_logger_time,
     result=lambda: metres_to_feet(F.col("value")),
     stations=mapping.describe_stations, specific=_description,
 )
@@ -128,12 +125,11 @@ def _city_time() -> Column:
 
 
 CITY_WELLS = SourceSpec(
-    name="cabq", agency="CABQ", dataset="raw_cabq",
-    schema=schemas.CITY_READINGS, readings_table="cabq_readings", stations_table=None,
-    backfill_table="cabq_backfill_readings", sensor=C.MANUAL_SENSOR,
+    **C.CITY_SOURCE, schema=schemas.CITY_READINGS, sensor=C.MANUAL_SENSOR,
     location_text=C.LOCATION_COLLECTED, keep=lambda raw: raw,
     failure=lambda: _bad_time(F.col("timestamp") / 1000), time=_city_time,
-    result=lambda: F.col("value"), stations=lambda outcomes, _table, small=None: mapping.name_stations(outcomes),
+    result=lambda: F.col("value"),
+    stations=lambda outcomes, _table, small=None: mapping.name_stations(outcomes),
     first_columns=("location_name", "latitude", "longitude"),
 )
 
@@ -158,10 +154,7 @@ def diver_stations(wells: DataFrame) -> DataFrame:
 
 
 DIVERS = SourceSpec(
-    name="san_acacia", agency="SanAcaciaReach", dataset="raw_sanacaciareach",
-    schema=schemas.DIVER_READINGS, readings_table="san_acacia_readings",
-    stations_table="san_acacia_locations", backfill_table="san_acacia_backfill_readings",
-    sensor=C.DIVER_SENSOR, location_text=C.LOCATION_MADE, keep=lambda raw: raw,
+    **C.DIVER_SOURCE, schema=schemas.DIVER_READINGS, sensor=C.DIVER_SENSOR, location_text=C.LOCATION_MADE, keep=lambda raw: raw,
     failure=_logger_failure, time=_logger_time, result=lambda: F.col("value"),
     stations=lambda outcomes, table, small=None: outcomes.select("location_id").join(
         table, "location_id"),
