@@ -94,8 +94,8 @@ def run_daily(spark: SparkSession, spec: SourceSpec, zone: Zone) -> dict:
     """
     pin(spark)
     place = zone.progress(spec.dataset)
-    origin = progress.origin(spark, place)
-    last = progress.last_of(progress.positions(spark, place, progress.LOAD), spec.dataset)
+    marks = progress.positions(spark, place, progress.ORIGIN, progress.LOAD)
+    origin, last = progress.origin(spark, place, marks), progress.last_of(marks, spec.dataset)
     since = None if last is None else last / 1e6
     paths = paths_since(spark, zone.raw(spec), since)
     newest = newest_of(spark, paths, since)

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stillwell import schemas
+from stillwell.files import exists
 from stillwell.operators.entities import missing_keys
 from stillwell.operators.joins import lookup_join, settle_measured
 from stillwell.sinks.zone import Zone
@@ -24,6 +25,7 @@ def upsert_entities(spark: SparkSession, zone: Zone, tables: dict[str, DataFrame
     something are written.
     """
     names = [name for name in schemas.ENTITIES if name in tables]
+    held = {name for name in names if exists(spark, zone.entity(name))}
 
     def keys(of):
         return reduce(DataFrame.unionByName, [
@@ -36,8 +38,10 @@ def upsert_entities(spark: SparkSession, zone: Zone, tables: dict[str, DataFrame
     )
     for name in names:
         if seen[name]:
-            own = missing.where(F.col("entity") == name).select("external_key")
-            rows = lookup_join(tables[name], own, "external_key", "left_semi", small=small)
+            rows = tables[name]
+            if name in held:  # an empty table misses all
+                own = missing.where(F.col("entity") == name).select("external_key")
+                rows = lookup_join(rows, own, "external_key", "left_semi", small=small)
             if seen["copies"] > 1:
                 rows = rows.dropDuplicates(["external_key"])
             files = -(-seen[name] // ROWS_PER_FILE)

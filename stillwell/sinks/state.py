@@ -105,13 +105,13 @@ def _fold(spark: SparkSession, root: str, base: str | None, commits: list[str])
             remove(spark, f"{root}/{name}")
 
 
-def origin(spark: SparkSession, root: str) -> str:
-    """A name for this progress table, given before its first data.
+def origin(spark: SparkSession, root: str, marks: dict) -> str:
+    """A name for this progress table, given before its first data. ``marks``: its positions.
 
     Batches carry the name. Should the progress be lost, its successor has another name, so
     no batch of the old one is ever taken for an unfinished attempt.
     """
-    names = [key for _, _, key in positions(spark, root, ORIGIN)]
+    names = [key for _, kind, key in marks if kind == ORIGIN]
     if names:
         return min(names)
     name = uuid.uuid4().hex[:12]
