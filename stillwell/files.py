@@ -31,6 +31,18 @@ def entries(spark: SparkSession, root: str) -> list[tuple[str, bool]]:
     return [(e.getPath().toString(), e.isDirectory()) for e in store.listStatus(at)]
 
 
+def holds_file(spark: SparkSession, root: str, suffix: str) -> bool:
+    """Whether a file with that ending lies anywhere in a folder; stops at the first one."""
+    waiting = [root]
+    while waiting:
+        for path, is_folder in entries(spark, waiting.pop()):
+            if is_folder:
+                waiting.append(path)
+            elif path.endswith(suffix):
+                return True
+    return False
+
+
 def finished(spark: SparkSession, root: str) -> list[str]:
     """Names of the folders in ``root`` that a Spark write has finished."""
     store, at = _store(spark, f"{root}/*/_SUCCESS")

@@ -11,7 +11,7 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from stillwell.files import entries, exists, listed
+from stillwell.files import entries, exists, holds_file, listed
 from stillwell.operators.grouping import last_per_key
 
 LOAD_PATTERN = r"(?:/load_id=(\d+\.\d+)/[^/]*|/(\d+\.\d+)\.[^/]*)$"
@@ -160,15 +160,9 @@ def scan_written(spark: SparkSession, folder: str, schema: T.StructType) -> Data
 
 def scan_stations(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """The station table, last row per id in file and row order. Missing files are an error."""
-    missing = FileNotFoundError(f"no station files under {root}; run the ingest first")
-    try:
-        files = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise missing from None
-    if not files.inputFiles():
-        raise missing
+    if not holds_file(spark, root, ".parquet"):
+        raise FileNotFoundError(f"no station files under {root}; run the ingest first")
+    files = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
     rows = files.select(
         *schema.names,
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
