@@ -226,11 +226,13 @@ def html_text(table: DataFrame, pages: int = PAGES) -> DataFrame:
     rows = table.select(F.col("page_id").cast("long").alias("page_id"), "url",
                         F.coalesce("html", F.lit("")).alias("html"))
     place = F.xxhash64("page_id", "url", "html")
-    sample = (rows.filter(F.col("html").rlike("(?i)<(article|main)[\\s>]")
-                          & (F.length("html") <= LONGEST))
-              .select("html", place.alias("place")).orderBy("place", "html").limit(pages))
-    model = Shared(table.sparkSession, trained(*training_pages(
-        [r["html"] for r in sample.collect()])))
+    marked_ = rows.filter(F.col("html").rlike("(?i)<(article|main)[\\s>]") & (
+        F.length("html") <= LONGEST)).select("html", place.alias("place"))
+    # First the places alone, so that no task sends pages that are not chosen in the end.
+    first = [r[0] for r in marked_.select("place").distinct().orderBy("place").limit(pages).collect()]
+    chosen = marked_.filter(F.col("place") <= max(first)).groupBy("place").agg(
+        F.min("html").alias("html")).orderBy("place").collect() if first else []
+    model = Shared(table.sparkSession, trained(*training_pages([r["html"] for r in chosen])))
 
     def extract(batches):
         weights, pair = model.value
