@@ -53,11 +53,9 @@ def _merged(positions: DataFrame) -> DataFrame:
     return positions.groupBy("scope", "kind", "key").agg(F.max("position").alias("position"))
 
 
-def read_state(spark: SparkSession, root: str, snapshot: int | None = None) -> DataFrame:
-    """The positions of all finished commits, or of those up to ``snapshot``."""
+def read_state(spark: SparkSession, root: str) -> DataFrame:
+    """The positions of all finished commits."""
     base, commits = _parts(spark, root)
-    if snapshot is not None:
-        commits = [n for n in commits if _number(n) <= snapshot]
     return _merged(_read(spark, root, base, commits).where(F.col("kind") != NOTE))
 
 
