@@ -7,6 +7,7 @@ prunes files while Spark lists them, so files of old loads are never opened.
 
 import re
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -14,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from stillwell.files import entries, exists, holds_file, listed
 from stillwell.operators.grouping import last_per_key
 
-LOAD_PATTERN = r"(?:/load_id=(\d+\.\d+)/[^/]*|/(\d+\.\d+)\.[^/]*)$"
+LOAD_FOLDER = r"^[^/]*/load_id=(\d+\.\d+)/"
+LOAD_NAME = r"^[^/]*/(\d+\.\d+)\."
 
 
 def load_folder(root: str, load_id: float) -> str:
@@ -24,10 +26,14 @@ def load_folder(root: str, load_id: float) -> str:
 
 
 def load_id_of(path: Column) -> Column:
-    """Load id of a file path; null where the name has none."""
-    folder = F.regexp_extract(path, LOAD_PATTERN, 1)
-    name = F.regexp_extract(path, LOAD_PATTERN, 2)
-    return F.when(folder != "", folder).otherwise(name).try_cast("double")
+    """Load id of a file path; null where the name has none.
+
+    Scans evaluate this for every row, so only the end of the path is searched, from its start,
+    and no part of it twice; text that does not match is empty, which is no number.
+    """
+    folder = F.regexp_extract(F.substring_index(path, "/", -3), LOAD_FOLDER, 1)
+    name = F.regexp_extract(F.substring_index(path, "/", -2), LOAD_NAME, 1)
+    return F.coalesce(folder.try_cast("double"), name.try_cast("double"))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -135,11 +141,12 @@ def scan_new(
     give the arrival order.
     """
     load_id = load_id_of(F.col("_metadata.file_path"))
-    chosen = load_id.isNotNull()
+    bounds = []  # a file without a load id meets none of them
     if since is not None:
-        chosen = chosen & (load_id > F.lit(float(since)))
+        bounds.append(load_id > F.lit(float(since)))
     if until is not None:
-        chosen = chosen & (load_id <= F.lit(float(until)))
+        bounds.append(load_id <= F.lit(float(until)))
+    chosen = reduce(Column.__and__, bounds) if bounds else load_id.isNotNull()
     return _guarded(spark, root, schema, chosen)
 
 

@@ -41,11 +41,22 @@ def raw(spark, tmp_path):
     ("gs://b/t/year=2024/month=06/day=18/1781192390.555875.0.parquet", 1781192390.555875),
     ("/t/100.0.1.parquet", 100.0), ("/t/not-a-load-id.parquet", None), ("/t/README.parquet", None),
     ("/t/year=2024/load_id=1781192390.555875/part-0.snappy.parquet", 1781192390.555875),
+    ("/t/load_id=7.5/8.25.0.parquet", 7.5), ("/load_id=7.5/part-0.parquet", 7.5),
+    ("/t/load_id=7.5/more/part-0.parquet", None), ("/t/load_id=7/part-0.parquet", None),
+    ("/t/xload_id=7.5/part-0.parquet", None), ("load_id=7.5/part-0.parquet", None),
+    ("/1.5.x", 1.5), ("1.5.parquet", None), (None, None),
 ])
 def test_load_id_of_a_path(spark, name, expected):
     assert spark.range(1).select(scan.load_id_of(F.lit(name)).alias("x")).first()["x"] == expected
 
 
+def test_a_scan_searches_the_end_of_each_path_once_a_bound(spark, raw, capsys):
+    scan.scan_new(spark, raw, SCHEMA, until=250.0).select("timestamp").explain("extended")
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1]
+    rows = plan.split("== Physical Plan ==")[0]
+    assert rows.count("regexp_extract(") == rows.count("regexp_extract(substring_index(") == 2
+
+
 def test_first_scan_reads_every_named_file(spark, raw):
     got = sorted(r["timestamp"] for r in scan.scan_new(spark, raw, SCHEMA).collect())
     assert got == [10, 20, 20, 21, 30]
