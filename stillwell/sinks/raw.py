@@ -44,6 +44,19 @@ def _note(spark: SparkSession, root: str, bounds: DataFrame) -> None:
     commit_state(spark, f"{root}_bounds", rows.where(F.col("position").isNotNull()).coalesce(1))
 
 
+FOLDERS = ["year", "month", "day", "load_id"]
+
+
+def _placed(rows: DataFrame, load_id: str) -> DataFrame:
+    """Rows dealt by their load alone; folder names follow from it and are not shuffled."""
+    when = F.timestamp_seconds(F.col(load_id))
+    return rows.hint("rebalance", F.col(load_id)).withColumns({
+        "year": F.date_format(when, "yyyy"), "month": F.date_format(when, "MM"),
+        "day": F.date_format(when, "dd"),
+        "load_id": F.format_string("%.6f", F.col(load_id).cast("double")),
+    })
+
+
 BOUNDS = f"load string, {EARLIEST} bigint, {LATEST} bigint, {TIMELESS} bigint"
 
 
@@ -87,8 +100,10 @@ def append_loads(
     and ``named``, the write itself counts their event times."""
     spark, seen = rows.sparkSession, Observation()
     if named is None:
-        own = F.format_string("%.6f", F.col(load_id).cast("double")).alias("load")
-        bounds = rows.groupBy(own).agg(*_bounds())
+        # Names are made of the few loads, not of every row; bounds of equal names merge.
+        own = F.col(load_id).cast("double").alias("load")
+        bounds = rows.groupBy(own).agg(*_bounds()).withColumn(
+            "load", F.format_string("%.6f", "load"))
     else:
         time = [F.when(F.col(load_id) == F.lit(n), F.col("timestamp")) for n in named]
         counts = [m for i, n in enumerate(named) for m in (
@@ -97,16 +112,8 @@ def append_loads(
             F.count_if((F.col(load_id) == F.lit(n)) & F.col("timestamp").isNull())
             .alias(f"{TIMELESS}{i}"))]
         rows = rows.observe(seen, *counts)
-    when = F.timestamp_seconds(F.col(load_id))
-    placed = rows.withColumns({
-        "year": F.date_format(when, "yyyy"), "month": F.date_format(when, "MM"),
-        "day": F.date_format(when, "dd"),
-        "load_id": F.format_string("%.6f", F.col(load_id).cast("double")),
-    })
-    folders = ["year", "month", "day", "load_id"]
-    spread = placed.hint("rebalance", *[F.col(c) for c in folders])
-    (spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*folders).parquet(root))
+    (_placed(rows, load_id).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*FOLDERS).parquet(root))
     if named is not None:
         found = observed(seen, rows.limit(0), *counts)
         bounds = spark.createDataFrame(

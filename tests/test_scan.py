@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stillwell import schemas
 from stillwell.operators.filters import depth_rows
+from stillwell.sinks import raw as raw_sink
 from stillwell.sinks.raw import append_load, append_loads, load_folder, replace_stations
 from stillwell.sources import scan
 
@@ -180,3 +181,22 @@ def test_a_load_with_a_folder_of_its_own_lists_no_other(spark, tmp_path):
         assert scan.scan_load(spark, str(root), SCHEMA, 1781192390.5).count() == 1
     finally:
         (root / "elsewhere").chmod(0o755)
+
+
+def test_names_of_loads_are_not_shuffled(spark, capsys):
+    rows = rows_of(spark, (1, "4", 10)).withColumn("load_id", F.lit(100.0) + F.rand())
+    raw_sink._placed(rows, "load_id").explain()
+    plan = capsys.readouterr().out
+    assert plan.index("format_string") < plan.index("Exchange")
+    assert plan.count("format_string") == 1
+
+
+def test_loads_of_one_name_share_their_folder_and_bounds(spark, tmp_path):
+    rows = rows_of(spark, (1, "4", 10), (1, "4", 70)).withColumn(
+        "load_id", F.when(F.col("timestamp") == 10, 100.0).otherwise(100.0000001))
+    append_loads(rows, str(tmp_path / "raw"))
+    assert [i for _, i in scan.named_loads(spark, str(tmp_path / "raw"))] == [100.0]
+    for at in (10, 70):
+        assert raw_sink.loads_meeting(spark, str(tmp_path / "raw"), at, at + 1)
+    assert not raw_sink.loads_meeting(spark, str(tmp_path / "raw"), 71, 99)
+    assert scan.scan_load(spark, str(tmp_path / "raw"), SCHEMA, 100.0).count() == 2
