@@ -156,9 +156,11 @@ def faults(chunks: list[Chunk]) -> dict[str, str]:
 
 
 def land_chunks(spec: SourceSpec, zone: Zone, chunks: list[Chunk], ids: DataFrame) -> None:
-    """Land all chunks in one scan of their pages, one load each."""
-    pages = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
-        c.pages.withColumns({"window": c.window, "load_id": F.lit(c.load_id)}) for c in chunks])
+    """Land all chunks in one scan of their pages, one load each. The cut-off and the rows both
+    need the pages, which are fetched once."""
+    pages = settle(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        c.pages.select("location_id", "page", "payload", c.window.alias("window"))
+        for c in chunks]))
     loads = F.create_map(*[x for c in chunks for x in (c.window, F.lit(c.load_id))])
     rows = windows_readings(pages, ids, "window")
     append_loads(rows.withColumn("load_id", loads[F.col("window")]).drop("window"),

@@ -229,3 +229,20 @@ def test_imported_checkpoints_of_all_stations_are_known(spark, zone):
     report = run(spark, zone, fetch, requested=[])
     assert (report["chunks_processed"], report["chunks_skipped"]) == (1, 1)
     assert [t for _, t, _ in target(spark, zone)] == ["02-05"]
+
+
+def test_pages_are_fetched_once(spark, zone):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def noted(page):
+        read.add(1)
+        return page
+
+    def fetch(_start, _end):
+        return pages(spark, (111, "2026-01-05", 1.0), (222, "2026-02-05", 2.0)).withColumn(
+            "page", noted("page")), None
+
+    run(spark, zone, fetch)
+    assert read.value == 4  # two pages for each of two chunks
+    assert [row[0] for row in target(spark, zone)] == ["pvacd-111-dtw", "pvacd-222-dtw"]
